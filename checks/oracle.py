@@ -94,7 +94,8 @@ FROM (SELECT *, alight_s - arrive_s + transfer_seconds AS travel_seconds FROM wa
     "left_off": """
 SELECT *, stop_probability * not_left_probability AS alighting_probability
 FROM (SELECT *, coalesce(product(1 - stop_probability) OVER (PARTITION BY card_id, tap_s, run_id
-                ORDER BY alight_depart_s, alight_s, alight_sequence, arrive_s, board_sequence, stop_id
+                ORDER BY alight_depart_s NULLS FIRST, alight_s NULLS FIRST,
+                alight_sequence NULLS FIRST, arrive_s, board_sequence, stop_id
                 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 1) AS not_left_probability
       FROM (SELECT *, CASE WHEN alight_s <> alight_depart_s
                       THEN g * g / nullif(t * t + g * g, 0) ELSE 0 END AS stop_probability
@@ -289,7 +290,9 @@ FROM walk w JOIN (SELECT service_date, head, count(*) AS n,
                   FROM walk GROUP BY service_date, head) c
   ON c.service_date = w.service_date AND c.head = w.head""",
     "runs": _runs(True),
-    "places": "SELECT stop_id, avg(stop_lat) AS stop_lat, avg(stop_lon) AS stop_lon FROM runs GROUP BY stop_id",
+    "places": """
+SELECT stop_id, round(avg(stop_lat), 9) AS stop_lat, round(avg(stop_lon), 9) AS stop_lon
+FROM runs GROUP BY stop_id""",
     "legs": f"""
 SELECT *, {_NEXT}
 FROM (SELECT t.*, p.stop_lat, p.stop_lon FROM taps t LEFT JOIN places p ON p.stop_id = t.stop_id) x

@@ -1,7 +1,7 @@
 """Registered queries, each with the SQL text that must give the same rows.
 
-``@query(name, sql)`` takes a function of a ``World``. Doubles are rounded to
-six digits on both sides; times are epoch seconds; arrays are joined to text.
+``@query(name, sql)`` takes a function of a ``World``. Doubles are rounded on
+both sides, meters and seconds to four digits and all others to six; times are epoch seconds; arrays are joined to text.
 """
 
 from __future__ import annotations
@@ -44,6 +44,15 @@ def r6s(*names: str) -> str:
     return ", ".join(r6(*names))
 
 
+def r4(*names: str) -> list[str]:
+    """Meters and seconds: a haversine of near points is good to about 1e-9 of these."""
+    return [f"round({n}, 4) AS {n.split('.')[-1]}" for n in names]
+
+
+def r4s(*names: str) -> str:
+    return ", ".join(r4(*names))
+
+
 def big(*names: str) -> list[str]:
     return [f"CAST({n} AS bigint) AS {n}" for n in names]
 
@@ -390,12 +399,12 @@ def _(w):
 
 
 @query("W12_look_ahead", f"""SELECT journey_id, card_id, dt_s, event, stop_id, line_id, stop_id_next, stop_id_next_next, event_type_next_next, trip_stop_id_next,
- {r6s('distance_to_next_stop', 'distance_to_next_next_stop', 'alighting_distance_to_next_stop', 'confidence_next')},
+ {r4s('distance_to_next_stop', 'distance_to_next_next_stop', 'alighting_distance_to_next_stop')}, {r6s('confidence_next')},
  CAST(date_diff('day', CAST(make_timestamp(dt_s * 1000000) AS date), CAST(make_timestamp(dt2 * 1000000) AS date)) AS int) AS days_to_next_origin FROM ahead""")
 def _(w):
     return compare.look_ahead(w.events, w.following).selectExpr(
         *EVENT, "stop_id_next", "stop_id_next_next", "event_type_next_next", "trip_stop_id_next",
-        *r6("distance_to_next_stop", "distance_to_next_next_stop", "alighting_distance_to_next_stop", "confidence_next"),
+        *r4("distance_to_next_stop", "distance_to_next_next_stop", "alighting_distance_to_next_stop"), *r6("confidence_next"),
         "days_to_next_origin",
     )
 
@@ -469,14 +478,14 @@ def _(w):
     return boarding.scored_onboard_candidates(w.tap_keys(False), w.runs).selectExpr(*TAP_RUN, *r6("boarding_probability"))
 
 
-@query("A3_transfer_walk", f"SELECT {', '.join(TAP_RUN)}, alight_sequence, {r6s('transfer_meters', 'transfer_seconds', 'walk_all_seconds')} FROM walked")
+@query("A3_transfer_walk", f"SELECT {', '.join(TAP_RUN)}, alight_sequence, {r4s('transfer_meters', 'transfer_seconds', 'walk_all_seconds')} FROM walked")
 def _(w):
-    return w.walked.selectExpr(*TAP_RUN, "alight_sequence", *r6("transfer_meters", "transfer_seconds", "walk_all_seconds"))
+    return w.walked.selectExpr(*TAP_RUN, "alight_sequence", *r4("transfer_meters", "transfer_seconds", "walk_all_seconds"))
 
 
-@query("A4_travel_times", f"SELECT {', '.join(TAP_RUN)}, alight_sequence, {r6s('travel_seconds', 'min_travel_seconds', 'max_travel_seconds')} FROM timed")
+@query("A4_travel_times", f"SELECT {', '.join(TAP_RUN)}, alight_sequence, {r4s('travel_seconds', 'min_travel_seconds', 'max_travel_seconds')} FROM timed")
 def _(w):
-    return w.timed.selectExpr(*TAP_RUN, "alight_sequence", *r6("travel_seconds", "min_travel_seconds", "max_travel_seconds"))
+    return w.timed.selectExpr(*TAP_RUN, "alight_sequence", *r4("travel_seconds", "min_travel_seconds", "max_travel_seconds"))
 
 
 @query("A4_alighting_probability", f"SELECT {', '.join(TAP_RUN)}, alight_sequence, {r6s('stop_probability', 'not_left_probability', 'alighting_probability')} FROM left_off")
@@ -509,14 +518,14 @@ def _(w):
 
 
 @query("A7_great_circle", """SELECT a.stop_id AS a, b.stop_id AS b, round(2 * 6371000 * asin(sqrt(pow(sin((radians(a.stop_lat) - radians(b.stop_lat)) / 2), 2)
- + cos(radians(a.stop_lat)) * cos(radians(b.stop_lat)) * pow(sin((radians(a.stop_lon) - radians(b.stop_lon)) / 2), 2))), 6) AS meters
+ + cos(radians(a.stop_lat)) * cos(radians(b.stop_lat)) * pow(sin((radians(a.stop_lon) - radians(b.stop_lon)) / 2), 2))), 4) AS meters
 FROM fx_stops a JOIN fx_stops b ON b.stop_id = a.stop_id + 1 AND b.release_date = a.release_date""")
 def _(w):
     s = w.raw("stops")
     b = s.selectExpr("stop_id - 1 AS a", "stop_id AS b", "stop_lat AS b_lat", "stop_lon AS b_lon", "release_date")
     a = s.selectExpr("stop_id AS a", "stop_lat", "stop_lon", "release_date")
     d = great_circle_meters(F.col("stop_lat"), F.col("stop_lon"), F.col("b_lat"), F.col("b_lon"))
-    return a.join(b, ["a", "release_date"]).select("a", "b", F.round(d, 6).alias("meters"))
+    return a.join(b, ["a", "release_date"]).select("a", "b", F.round(d, 4).alias("meters"))
 
 
 # ---------------------------------------------------------------- journeys
@@ -608,22 +617,22 @@ def _(w):
 
 
 @query("R7_confidence_spread", f"""SELECT is_single_stop_ride, is_platform, count(*) AS n, round(avg(confidence_next), 6) AS confidence_mean, round(stddev_samp(confidence_next), 6) AS confidence_std,
- round(avg(alighting_distance_to_next_stop), 6) AS distance_mean, round(stddev_samp(alighting_distance_to_next_stop), 6) AS distance_std FROM lone GROUP BY is_single_stop_ride, is_platform""")
+ round(avg(alighting_distance_to_next_stop), 4) AS distance_mean, round(stddev_samp(alighting_distance_to_next_stop), 4) AS distance_std FROM lone GROUP BY is_single_stop_ride, is_platform""")
 def _(w):
     return compare.confidence_spread(w.lone).selectExpr(
-        "is_single_stop_ride", "is_platform", "n", *r6("confidence_mean", "confidence_std", "distance_mean", "distance_std")
+        "is_single_stop_ride", "is_platform", "n", *r6("confidence_mean", "confidence_std"), *r4("distance_mean", "distance_std")
     )
 
 
 _DESC = ["count", "mean", "std", "min", "max"] + [f"{p}%" for p in range(0, 100, 10)]
 
 
-def _describe_sql(by: str, value: str, table: str) -> str:
+def _describe_sql(by: str, value: str, table: str, digits: int = 6) -> str:
     agg = {"count": f"CAST(count({value}) AS double)", "mean": f"avg({value})", "std": f"stddev_samp({value})",
            "min": f"min({value})", "max": f"max({value})"}
     agg |= {f"{p}%": f"quantile_cont({value}, {p / 100})" for p in range(0, 100, 10)}
     return " UNION ALL ".join(
-        f"SELECT {by}, '{k}' AS statistic, round({v}, 6) AS figure FROM {table} GROUP BY {by}" for k, v in agg.items()
+        f"SELECT {by}, '{k}' AS statistic, round({v}, {digits}) AS figure FROM {table} GROUP BY {by}" for k, v in agg.items()
     )
 
 
@@ -634,11 +643,11 @@ def _(w):
     )
 
 
-@query("R8_describe_distance", _describe_sql("is_single_stop_ride", "feet", "(SELECT *, origin_destination_distance_meters * 3.3 AS feet FROM profiles) q"))
+@query("R8_describe_distance", _describe_sql("is_single_stop_ride", "feet", "(SELECT *, origin_destination_distance_meters * 3.3 AS feet FROM profiles) q", 4))
 def _(w):
     feet = w.profiles.withColumn("feet", F.col("origin_destination_distance_meters") * 3.3)
     return profiles.describe(feet, ["is_single_stop_ride"], "feet", [p / 100 for p in range(0, 100, 10)]).selectExpr(
-        "is_single_stop_ride", "statistic", *r6("figure")
+        "is_single_stop_ride", "statistic", *r4("figure")
     )
 
 
@@ -730,12 +739,11 @@ PROFILE = {
     "K9_inter_boarding_time": ["max_inter_boarding_time_seconds"],
     "K10_journey_time": ["journey_time_seconds"],
 }
-_ROUNDED = ("distance", "confidence_")
-
-
 def _shown(name: str, array_join: bool) -> str:
-    if any(part in name for part in _ROUNDED):
-        return f"round({name}, 6) AS {name}"
+    if "distance" in name:
+        return r4(name)[0]
+    if "confidence_" in name:
+        return r6(name)[0]
     if name == "line_ids_used" and array_join:
         return "array_join(line_ids_used, ',') AS line_ids_used"
     return name

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from math import pi
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -10,12 +12,11 @@ EARTH_RADIUS_METERS = 6_371_000
 
 def great_circle_meters(lat_a: Column, lon_a: Column, lat_b: Column, lon_b: Column) -> Column:
     """Haversine distance in meters; null when any coordinate is null."""
-    dlat = F.sin((F.radians(lat_a) - F.radians(lat_b)) / 2)
-    dlon = F.sin((F.radians(lon_a) - F.radians(lon_b)) / 2)
-    h = dlat * dlat + F.cos(F.radians(lat_a)) * F.cos(F.radians(lat_b)) * dlon * dlon
-    # rounding can lift antipodal points just above 1
-    h = F.when(h > 1, F.lit(1.0)).otherwise(h)
-    return 2 * EARTH_RADIUS_METERS * F.asin(F.sqrt(h))
+    dlat = F.pow(F.sin((F.radians(lat_a) - F.radians(lat_b)) / 2), F.lit(2.0))
+    dlon = F.pow(F.sin((F.radians(lon_a) - F.radians(lon_b)) / 2), F.lit(2.0))
+    h = dlat + F.cos(F.radians(lat_a)) * F.cos(F.radians(lat_b)) * dlon
+    # rounding can lift antipodal points just above 1, where asin gives NaN
+    return 2 * EARTH_RADIUS_METERS * F.nanvl(F.asin(F.sqrt(h)), F.lit(pi / 2))
 
 
 def sphere_cell(lat: Column, lon: Column, size_meters: float) -> list[Column]:

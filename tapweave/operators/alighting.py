@@ -70,7 +70,10 @@ def alighting_candidates(
         & (F.col("alight_s") > F.col("tap_s"))
         & (F.col("alight_s") <= F.col("next_s"))
     )
-    return left.join(right, on, "left").drop("a_date", "a_run", "a_part", "run_found")
+    # Partitioned ahead of the join, whatever join is chosen: the rows multiply
+    # after this shuffle and stay in place for all windows of the run.
+    keys = ["service_date", "run_key"] + (["part"] if hot_runs is not None else [])
+    return left.repartition(*keys).join(right, on, "left").drop("a_date", "a_run", "a_part", "run_found")
 
 
 def add_transfer_walk(candidates: DataFrame, speed: float) -> DataFrame:
@@ -94,8 +97,15 @@ def add_transfer_walk(candidates: DataFrame, speed: float) -> DataFrame:
 _TAP_RUN = ["service_date", "run_key", "part", "card_id", "datetime"]
 
 
+def _along_run():
+    """Stops in riding order; one sort serves the travel times and the probabilities."""
+    return Window.partitionBy(*_TAP_RUN).orderBy(
+        "alight_depart_s", "alight_s", "alight_sequence", "arrive_s", "board_sequence", "stop_id"
+    )
+
+
 def add_travel_times(candidates: DataFrame) -> DataFrame:
-    group = Window.partitionBy(*_TAP_RUN)
+    group = _along_run().rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     seconds = F.col("alight_s") - F.col("arrive_s") + F.col("transfer_seconds")
     return candidates.withColumn("travel_seconds", seconds).withColumns(
         {
@@ -116,10 +126,7 @@ def add_alighting_probability(candidates: DataFrame, allow_no_stops: bool = Fals
     chance = F.try_divide(gamma * gamma, t * t + gamma * gamma)
     if not allow_no_stops:
         chance = F.when(F.col("alight_s") != F.col("alight_depart_s"), chance).otherwise(F.lit(0.0))
-    order = Window.partitionBy(*_TAP_RUN).orderBy(
-        "alight_depart_s", "alight_s", "alight_sequence", "arrive_s", "board_sequence", "stop_id"
-    )
-    earlier = order.rowsBetween(Window.unboundedPreceding, -1)
+    earlier = _along_run().rowsBetween(Window.unboundedPreceding, -1)
     return candidates.withColumn("stop_probability", chance).withColumn(
         "not_left_probability",
         F.coalesce(F.product(1 - F.col("stop_probability")).over(earlier), F.lit(1.0)),
@@ -155,14 +162,17 @@ def add_confidence(candidates: DataFrame) -> DataFrame:
     The weight of a route and direction counts once however many rows it has.
     """
     tap = Window.partitionBy("card_id", "datetime")
-    route = Window.partitionBy("card_id", "datetime", "board_route", "board_direction_id")
+    route = Window.partitionBy("card_id", "datetime", "board_route", "board_direction_id").orderBy(
+        *_preference(F.col("alighting_probability"))
+    )
+    whole = route.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    # sorted by route within the tap first: the windows over the tap need no sort then
     timed = candidates.withColumns(
         {
-            "__fastest": F.min("min_travel_seconds").over(tap),
-            "__route_fastest": F.min("min_travel_seconds").over(route),
-            "__place": F.row_number().over(route.orderBy(*_preference(F.col("alighting_probability")))),
+            "__place": F.row_number().over(route),
+            "__route_fastest": F.min("min_travel_seconds").over(whole),
         }
-    )
+    ).withColumn("__fastest", F.min("min_travel_seconds").over(tap))
     weighed = timed.withColumn("__utility", F.exp(F.try_divide(F.col("__fastest"), F.col("__route_fastest"))))
     once = F.when(F.col("__place") == 1, F.col("__utility"))
     summed = weighed.withColumn("__utilities", F.sum(once).over(tap))

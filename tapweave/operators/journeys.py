@@ -110,10 +110,10 @@ def add_validity_score(legs: DataFrame, whole_journey: bool = False) -> DataFram
     if whole_journey:
         frame = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
         here = [F.first(c).over(frame) for c in ("stop_lat", "stop_lon")]
-        there = [F.last(c).over(frame) for c in ("next_lat", "next_lon")]
+        there = [F.last(c).over(frame) for c in ("stop_lat_next", "stop_lon_next")]
     else:
         frame = order.rowsBetween(Window.unboundedPreceding, 0)
-        here, there = [F.col("stop_lat"), F.col("stop_lon")], [F.col("next_lat"), F.col("next_lon")]
+        here, there = [F.col("stop_lat"), F.col("stop_lon")], [F.col("stop_lat_next"), F.col("stop_lon_next")]
     scored = legs.withColumns(
         {
             "origin_origin_meters": great_circle_meters(*here, *there),

@@ -47,6 +47,11 @@ def boarding_candidates(legs: DataFrame, runs: DataFrame, s: Settings) -> DataFr
     return platform.unionByName(boarding.scored_onboard_candidates(on_board, runs))
 
 
+# Columns that no later step reads; the multiplied rows are sorted without them.
+_BEFORE_SCORING = ("walk_all_seconds", "next_lat", "next_lon", "stop_id_old", "trip_type")
+_AFTER_SCORING = ("alight_depart_s", "travel_seconds", "max_travel_seconds", "stop_probability", "not_left_probability")
+
+
 def choose_rides(candidates: DataFrame, runs: DataFrame, s: Settings) -> DataFrame:
     """One ride per tap.
 
@@ -58,9 +63,9 @@ def choose_rides(candidates: DataFrame, runs: DataFrame, s: Settings) -> DataFra
         # the candidates are a written table here, so counting their keys is cheap
         hot = hot_keys(candidates.where(F.col("run_id").isNotNull()), ["service_date", "run_id"], s.hot_rows)
     reached = alighting.alighting_candidates(candidates, runs, hot)
-    timed = alighting.add_travel_times(alighting.add_transfer_walk(reached, s.walking_speed))
-    scored = alighting.add_alighting_probability(timed, s.allow_no_stops)
-    best = alighting.best_stop_per_run(scored).repartition("card_id")
+    walked = alighting.add_transfer_walk(reached, s.walking_speed).drop(*_BEFORE_SCORING)
+    scored = alighting.add_alighting_probability(alighting.add_travel_times(walked), s.allow_no_stops)
+    best = alighting.best_stop_per_run(scored.drop(*_AFTER_SCORING)).repartition("card_id")
     return alighting.choose_alighting(alighting.add_confidence(best))
 
 

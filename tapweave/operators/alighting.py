@@ -148,12 +148,22 @@ def best_stop_per_run(candidates: DataFrame) -> DataFrame:
     """Reduce the stops of a run to the best one per tap, route and direction.
 
     Route choice weighs all stops of a route and direction alike, so the winner
-    of the tap is among these rows. Still in the partitioning of the run: the
-    many stop candidates are never shuffled.
+    of the tap is among these rows. Without any travel time that weight may turn
+    out null, and then arrival alone decides, so the first arrival is kept too.
+    Still in the partitioning of the run: the many stop candidates are never
+    shuffled.
     """
     score = F.col("alighting_probability") * F.col("boarding_probability")
     order = Window.partitionBy(*_TAP_RUN, "board_route", "board_direction_id").orderBy(*_preference(score))
-    return candidates.withColumn("__n", F.row_number().over(order)).where(F.col("__n") == 1).drop("__n")
+    whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    unweighed = (F.col("line_id") == PLATFORM_LINE) & F.col("min_travel_seconds").isNull()
+    arrival = F.when(unweighed, F.struct("alight_s", "board_sequence", "alight_sequence", "stop_id"))
+    placed = candidates.withColumn("__arrival", arrival).withColumns(
+        {"__n": F.row_number().over(order), "__first": F.min("__arrival").over(whole)}
+    )
+    return placed.where((F.col("__n") == 1) | (F.col("__arrival") == F.col("__first"))).drop(
+        "__n", "__arrival", "__first"
+    )
 
 
 def add_confidence(candidates: DataFrame) -> DataFrame:

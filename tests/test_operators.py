@@ -304,6 +304,20 @@ def test_hot_runs_give_the_same_candidates(spark):
     assert sorted(plain.drop("part").collect()) == sorted(salted.drop("part").collect())
 
 
+def test_first_arrival_wins_when_the_route_weight_is_null(spark):
+    # no position at the next tap: a stop without dwell scores 0, the rest null,
+    # and the weight of the route makes all of them null
+    v = spark.createDataFrame([visit(1, 0, line=200, old=90, depart=30)], VISIT)
+    k = keys(spark, [("a", 5, 1000, 200, 1)]).withColumn("next_lat", F.lit(None).cast("double"))
+    c = boarding.score_platform_boarding(boarding.platform_candidates(k, v, pairs(spark, [(1, 1, 45.0, -122.0)])))
+    stops = [visit(1, 200, stop=9, seq=2), visit(1, 400, stop=10, seq=3, depart=400)]
+    reached = alighting.alighting_candidates(c, spark.createDataFrame(stops, VISIT))
+    scored = alighting.add_alighting_probability(alighting.add_travel_times(alighting.add_transfer_walk(reached, 1.5)))
+    full = alighting.choose_alighting(alighting.add_confidence(scored))
+    short = alighting.choose_alighting(alighting.add_confidence(alighting.best_stop_per_run(scored)))
+    assert col(full, "alight_stop_id") == col(short, "alight_stop_id") == [9]
+
+
 def test_single_stop_has_no_probability(spark):
     out = alighting.alighting_candidates(candidates(spark), spark.createDataFrame([visit(1, 500, stop=9, seq=2)], VISIT))
     timed = alighting.add_travel_times(alighting.add_transfer_walk(out, 1.5))

@@ -16,6 +16,7 @@ from checks.oracle import sql
 from checks.world import S, World, world
 from tapweave.config import PLATFORM_REPORT_LINES, VISIT_SOURCE
 from tapweave.functions.geo import great_circle_meters
+from tapweave.functions.quantiles import exact_quantiles
 from tapweave.functions.stage import stage_folder
 from tapweave.operators import (
     alighting, boarding, compare, interline, journeys, metrics, profiles, relational, schedule, taps, visits,
@@ -53,14 +54,6 @@ def r4s(*names: str) -> str:
     return ", ".join(r4(*names))
 
 
-def big(*names: str) -> list[str]:
-    return [f"CAST({n} AS bigint) AS {n}" for n in names]
-
-
-def bigs(*names: str) -> str:
-    return ", ".join(big(*names))
-
-
 TAP_S = "CAST(datetime AS bigint) AS tap_s"
 ARR = ["CAST(arrive_datetime AS bigint) AS arr_s", "CAST(departure_datetime AS bigint) AS dep_s"]
 
@@ -660,8 +653,6 @@ def _(w):
 
 @query("R9_medians_by_cutoff", "SELECT validity_score > 0.5 AS above, round(quantile_cont(journey_time_seconds, 0.5), 6) AS median_seconds FROM profiles GROUP BY 1")
 def _(w):
-    from tapweave.functions.quantiles import exact_quantiles
-
     df = w.profiles.withColumn("above", F.expr("validity_score > 0.5"))
     return exact_quantiles(df, ["above"], "journey_time_seconds", [0.5]).selectExpr("above", "round(quantile, 6) AS median_seconds")
 
@@ -925,10 +916,8 @@ def _(w):
 def _(w):
     out = scratch(w)
     w.raw("trips").coalesce(1).write.mode("overwrite").option("header", True).csv(f"{out}/text/trips.txt")
-    w.spark.read.text(f"{out}/text/trips.txt")  # the text file of a release
     schema = "trip_id int, route_id string, service_id string, direction_id int, block_id int"
-    frame = readers.read_csv(w.spark, f"{out}/text/trips.txt", schema)
-    frame.write.mode("overwrite").parquet(f"{out}/feed/trips/RELEASE_DATE=2024-01-16")
+    sinks.land_release(w.spark, f"{out}/text/trips.txt", f"{out}/feed", "trips", "2024-01-16", schema)
     return readers.read_feed(w.spark, f"{out}/feed", "trips", landed=True).selectExpr(
         "trip_id", "route_id", "CAST(RELEASE_DATE AS string) AS release_date"
     )

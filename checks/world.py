@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from checks.fixtures import FIXTURE_SETTINGS, fixture
 from tapweave.config import PLATFORM_LINE
 from tapweave.functions.stage import stage
-from tapweave.operators import alighting, boarding, compare, interline, journeys, profiles, taps, visits
+from tapweave.operators import alighting, boarding, compare, interline, journeys, profiles, visits
 from tapweave.plans import infer as plan
 from tapweave.plans import prepare as prep
 

@@ -42,11 +42,11 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 
 def land_release(
-    spark: SparkSession, text_folder: str, target: str, kind: str, release_date: str, schema: str | None = None
+    spark: SparkSession, text_path: str, target: str, kind: str, release_date: str, schema: str | None = None
 ) -> None:
     """Convert the text file of one kind of a feed release to parquet.
 
     Goes to ``target/kind/RELEASE_DATE=...``; other releases there stay.
     """
-    frame = read_csv(spark, text_folder, schema, f"{kind}.txt*")
+    frame = read_csv(spark, text_path, schema)
     frame.write.mode("overwrite").parquet(f"{target}/{kind}/RELEASE_DATE={release_date}")

@@ -5,7 +5,6 @@ import random
 
 import pytest
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from tapweave.functions.windows import hot_keys, near_window, running_sum
 from tapweave.operators import interline, visits

@@ -3,6 +3,7 @@
 A run has a few points whose result is used several times. They are written as
 parquet below the checkpoint folder of the session and read back: that cuts the
 lineage, outlives executors, and gives the next step column pruning and sizes.
+``Stages`` holds what one run wrote and deletes it when the run is over.
 """
 
 from __future__ import annotations
@@ -13,6 +14,12 @@ from uuid import uuid4
 from pyspark.sql import DataFrame, SparkSession
 
 
+def is_local(spark: SparkSession) -> bool:
+    """True when the driver's threads are the executors, so its folders are shared."""
+    master = spark.sparkContext.master
+    return master == "local" or master.startswith("local[")
+
+
 def stage_folder(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``.
 
@@ -21,16 +28,59 @@ def stage_folder(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not is_local(spark):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     folder = tempfile.mkdtemp(prefix="tapweave-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    spark.sparkContext.setCheckpointDir(folder)
+    return spark.sparkContext.getCheckpointDir()
+
+
+def fresh_path(spark: SparkSession, name: str) -> str:
+    """A path below the stage folder that no other call gets."""
+    return f"{stage_folder(spark)}/{name}-{uuid4().hex}"
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once and return the written table."""
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder on whichever file system it is; missing ones are fine."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def stage(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
+    """Write ``df`` once and return the written table; it stays until somebody deletes it."""
     spark = df.sparkSession
-    path = f"{stage_folder(spark)}/{name}-{uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.parquet(path)
+    path = fresh_path(spark, name)
+    df.write.partitionBy(*partition_by).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+class Stages:
+    """The tables one run has written.
+
+    Frames built on them are lazy: call ``close`` (or leave the ``with`` block)
+    only when the run's results are written or no longer wanted.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.paths: list[str] = []
+
+    def path(self, name: str) -> str:
+        """A fresh folder that ``close`` deletes."""
+        self.paths.append(fresh_path(self.spark, name))
+        return self.paths[-1]
+
+    def write(self, df: DataFrame, name: str, *partition_by: str) -> DataFrame:
+        path = self.path(name)
+        df.write.partitionBy(*partition_by).parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def close(self) -> None:
+        while self.paths:
+            delete_path(self.spark, self.paths.pop())
+
+    def __enter__(self) -> "Stages":
+        return self
+
+    def __exit__(self, *error) -> None:
+        self.close()

@@ -37,9 +37,9 @@ class Ftrl:
 
     bits: int = 20
     rows_per_class: int = 3000
-    alpha: float = 0.1
+    alpha: float = 0.3
     beta: float = 1.0
-    l1: float = 1.5
+    l1: float = 8.0
     l2: float = 1.0
     epochs: int = 3
     stem_bytes: int = 4
@@ -113,13 +113,14 @@ def fit(docs: DataFrame, labels: DataFrame, learn, params: Ftrl = Ftrl(), label:
 
     ``learn`` is a condition on ``labels`` that says which rows may be learned
     from. Only the sample's ids (bounded) are broadcast; its texts go to a
-    single task, which is an online learner. The prior of all labelled rows
-    replaces that of the sample in the bias.
+    single task, which is an online learner and sees them in another hash's
+    order, so that the classes are mixed. Scores refer to the sample, in which
+    the rarer class weighs more than among all rows.
     """
     none = ToxicityModel(np.empty(0, np.int64), np.empty(0), None, params)
     known = labelled(docs, labels, label, learn)
-    counts = {r["label"]: r["n"] for r in known.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
-    if not counts.get(0) or not counts.get(1):
+    classes = {r["label"] for r in known.select("label").distinct().collect()}
+    if not {0, 1} <= classes:
         return none
     order = F.xxhash64("doc_id")
     picked = [known.where(F.col("label") == y).orderBy(order, "doc_id").limit(params.rows_per_class) for y in (0, 1)]
@@ -133,23 +134,20 @@ def fit(docs: DataFrame, labels: DataFrame, learn, params: Ftrl = Ftrl(), label:
         if rows:
             weights, bias = train(rows, params)
             at = np.flatnonzero(weights)
-            ones = sum(y for _, y in rows)
             yield pa.RecordBatch.from_pydict(
                 {
                     "feature": pa.array(np.append(at, -1), pa.int64()),
                     "weight": pa.array(np.append(weights[at], bias), pa.float64()),
-                    "odds": pa.array(np.full(len(at) + 1, math.log((ones + 1) / (len(rows) - ones + 1)))),
                 }
             )
 
-    one_task = sample.select("text", "label", order.alias("at"), "doc_id").repartition(1)
+    one_task = sample.select("text", "label", F.hash("doc_id", F.lit("order")).alias("at"), "doc_id").repartition(1)
     one_task = one_task.sortWithinPartitions("at", "doc_id", "text").select("text", "label")
-    fitted = one_task.mapInArrow(learner, "feature bigint, weight double, odds double").toPandas()
+    fitted = one_task.mapInArrow(learner, "feature bigint, weight double").toPandas()
     if fitted.empty:
         return none
-    prior = math.log((counts[1] + 1) / (counts[0] + 1))
     is_bias = fitted["feature"] < 0
-    bias = float(fitted.loc[is_bias, "weight"].iloc[0]) + prior - float(fitted["odds"].iloc[0])
+    bias = float(fitted.loc[is_bias, "weight"].iloc[0])
     kept = fitted[~is_bias]
     return ToxicityModel(kept["feature"].to_numpy(), kept["weight"].to_numpy(), bias, params)
 

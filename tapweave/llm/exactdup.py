@@ -17,7 +17,7 @@ smallest id (null ids last), then the first by file and row.
 
 Defined results: null texts count as empty and are all equal; repeated rows are
 members like others, one stays; an empty table gives no rows; other columns are
-passed through under their names.
+passed through under their names, whatever those are.
 """
 
 from __future__ import annotations
@@ -142,33 +142,33 @@ def duplicates(
 def mark(
     spark: SparkSession, path: str, stages: Stages, key: str = "doc_id",
     digest: Callable[[Column], Column] = sha256, files_per_batch: int = FILES_PER_BATCH, columns: list[str] | None = None,
+    prefix: str = "",
 ) -> DataFrame:
-    """One row for each row at ``path``: its ``columns`` (default: the key), keep_id, group_size, kept and digest.
+    """One row for each row at ``path``: its ``columns`` (default: the key), keep_id, group_size, kept and text_digest.
 
-    Rows whose digest was seen once pass without a shuffle.
+    ``prefix`` goes before the names of the added columns. Rows whose digest was
+    seen once pass without a shuffle.
     """
     rows, groups = duplicates(spark, path, stages, key, digest, files_per_batch)
     if columns is None:
         columns = [key]
     names = [F.col(c) for c in columns]
-    tail = [F.col("__digest").alias("text_digest")]
-    alone = likely(rows, groups, "__digest", "left_anti").select(
-        *names, F.col(key).alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), *tail
-    )
+    
+    def added(keep_id: Column, size: Column, kept: Column) -> list[Column]:
+        new = {"keep_id": keep_id, "group_size": size.cast("long"), "kept": kept, "text_digest": F.col("__digest")}
+        return [c.alias(prefix + n) for n, c in new.items()]
+
+    alone = likely(rows, groups, "__digest", "left_anti").select(*names, *added(F.col(key), F.lit(1), F.lit(True)))
     wanted = list(dict.fromkeys([*columns, key, "__digest", "__at"]))
-    some = likely(rows, groups, "__digest").withColumn("__own", normalised(text_or_empty())) if "__body" in groups.columns else rows
+    some = likely(rows, groups, "__digest").withColumn("__own", normalised(text_or_empty()))
     collided = groups.where(F.col("__body").isNotNull())
     plain = groups.where(F.col("__body").isNull()).drop("__body")
 
     def judged(df: DataFrame) -> DataFrame:
         single = F.col("members").isNull()
-        return df.select(
-            *names,
-            F.when(single, F.col(key)).otherwise(F.col("first.id")).alias("keep_id"),
-            F.coalesce("members", F.lit(1)).cast("long").alias("group_size"),
-            (single | (F.col("first.at") == F.col("__at"))).alias("kept"),
-            *tail,
-        )
+        keep_id = F.when(single, F.col(key)).otherwise(F.col("first.id"))
+        stays = single | (F.col("first.at") == F.col("__at"))
+        return df.select(*names, *added(keep_id, F.coalesce("members", F.lit(1)), stays))
 
     out = alone
     if collided.isEmpty():
@@ -184,5 +184,5 @@ def keep_first(docs: DataFrame, stages: Stages, key: str = "doc_id") -> DataFram
     """The documents that stay, with their own columns: lands ``docs`` as files and streams them."""
     landed = stages.path("landed")
     docs.write.parquet(landed)
-    marked = mark(docs.sparkSession, landed, stages, key, columns=docs.columns)
-    return marked.where("kept").select(docs.columns)
+    marked = mark(docs.sparkSession, landed, stages, key, columns=docs.columns, prefix="__")
+    return marked.where("__kept").select(docs.columns)

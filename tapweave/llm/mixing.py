@@ -114,7 +114,7 @@ def rake(cells: DataFrame, mix: Mix, stages: Stages) -> DataFrame:
         for m in MARGINS:
             factors.pop(m, None)
             sums = weighted().groupBy(m).agg(F.sum("weight").alias("now"))
-            factor = wanted[m].join(sums, m).select(m, (F.col(f"target_{m}") / F.col("now")).alias(f"factor_{m}"))
+            factor = wanted[m].join(sums, m).select(m, F.coalesce(F.try_divide(f"target_{m}", "now"), F.lit(0.0)).alias(f"factor_{m}"))
             factors[m] = stages.write(factor, f"factor_{m}")
     return weighted().select(*cells.columns, "weight")
 

@@ -10,10 +10,10 @@
    full sets.
 4. *The rest.* A bucket of three or more nodes whose stars did not join all of
    them may hide a link between two leaves. All nodes of such buckets go
-   through an exact prefix join: shingles are ordered from rare to frequent,
-   two sets above the threshold share a shingle among the first ones, and the
-   places of the shared shingle bound the overlap. Pairs already connected are
-   left out. No bucket is capped.
+   through a prefix join: shingles are ordered from rare to frequent, two sets
+   above the threshold share a shingle among the first ones, the places of the
+   shared shingle bound the overlap, and the signatures' bits must agree. Pairs
+   already connected are left out. No bucket is capped.
 5. *Components* by hooking to the smallest neighbour and jumping, edges
    contracted and written in every round.
 
@@ -29,6 +29,7 @@ empty table gives no rows; other columns are passed through by ``keep_one``.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -60,6 +61,11 @@ class NearDup:
     def bins(self) -> int:
         return self.bands * self.rows
 
+    def bits_apart(self) -> int:
+        """Bits that differ in a pair at the threshold, and five standard deviations."""
+        p = (1 - self.percent / 100) / 2
+        return math.ceil(self.bins * p + 5 * math.sqrt(self.bins * p * (1 - p)))
+
     def missed(self) -> float:
         """Probability that a pair at the threshold shares no bucket."""
         return (1 - (self.percent / 100) ** self.rows) ** self.bands
@@ -106,9 +112,15 @@ class Sketcher:
             values[empty] = found[first][self.ranks[np.ix_(empty, filled)].argmin(axis=1)]
         return values
 
-    def keys(self, found: np.ndarray) -> np.ndarray:
+    def bits(self, signature: np.ndarray) -> np.ndarray:
+        """One bit per bin, packed into 64-bit numbers: equal bins have equal bits, others half the time."""
+        mixed = (signature ^ (np.arange(1, len(signature) + 1, dtype=np.uint64) * _ODD2)) * _ODD
+        packed = np.packbits((mixed >> np.uint64(63)).astype(bool))
+        return np.pad(packed, (0, -len(packed) % 8)).view(np.int64)
+
+    def keys(self, signature: np.ndarray) -> np.ndarray:
         p = self.params
-        rows = self.signature(found).reshape(p.bands, p.rows)
+        rows = signature.reshape(p.bands, p.rows)
         key = np.arange(1, p.bands + 1, dtype=np.uint64) * _ODD2
         for j in range(p.rows):
             key = (key ^ rows[:, j]) * _ODD
@@ -116,27 +128,35 @@ class Sketcher:
         return key.view(np.int64)
 
 
+def _lists(parts: list[np.ndarray]) -> pa.ListArray:
+    offsets = pa.array(np.concatenate(([0], np.cumsum([len(x) for x in parts]))), pa.int32())
+    return pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(parts) if parts else np.empty(0, np.int64), pa.int64()))
+
+
 def sketch(docs: DataFrame, params: NearDup = NearDup()) -> DataFrame:
-    """doc_id, n (set size), digest (of the set; null if empty) and bands (keys) of every row."""
+    """doc_id, n (set size), digest (of the set; null if empty), bands (keys) and bits of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         maker = Sketcher(params)
         for batch in batches:
-            sizes, digests, bands = [], [], []
+            sizes, digests, bands, bits = [], [], [], []
             for text in batch.column("text"):
                 found = shingles(text.as_py(), params.words)
                 sizes.append(len(found))
                 digests.append(xxhash.xxh3_128_digest(found.tobytes()) if len(found) else None)
-                bands.append(maker.keys(found) if len(found) else np.empty(0, np.int64))
-            flat = pa.array(np.concatenate(bands) if bands else np.empty(0, np.int64), pa.int64())
-            offsets = pa.array(np.concatenate(([0], np.cumsum([len(b) for b in bands]))), pa.int32())
+                signature = maker.signature(found) if len(found) else None
+                bands.append(maker.keys(signature) if len(found) else np.empty(0, np.int64))
+                bits.append(maker.bits(signature) if len(found) else np.empty(0, np.int64))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id").cast(pa.int64()), pa.array(sizes, pa.int32()), pa.array(digests, pa.binary()),
-                 pa.ListArray.from_arrays(offsets, flat)],
-                ["doc_id", "n", "digest", "bands"],
+                 _lists(bands), _lists(bits)],
+                ["doc_id", "n", "digest", "bands", "bits"],
             )
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, n int, digest binary, bands array<bigint>")
+    return docs.select("doc_id", "text").mapInArrow(run, SKETCH)
+
+
+SKETCH = "doc_id bigint, n int, digest binary, bands array<bigint>, bits array<bigint>"
 
 
 def full_sets(docs: DataFrame, params: NearDup = NearDup()) -> DataFrame:
@@ -146,10 +166,8 @@ def full_sets(docs: DataFrame, params: NearDup = NearDup()) -> DataFrame:
         for batch in batches:
             sets = [shingles(t.as_py(), params.words) for t in batch.column("text")]
             digests = [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets]
-            offsets = pa.array(np.concatenate(([0], np.cumsum([len(s) for s in sets]))), pa.int32())
-            flat = pa.array(np.concatenate(sets).view(np.int64) if sets else np.empty(0, np.int64), pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").cast(pa.int64()), pa.array(digests, pa.binary()), pa.ListArray.from_arrays(offsets, flat)],
+                [batch.column("doc_id").cast(pa.int64()), pa.array(digests, pa.binary()), _lists([s.view(np.int64) for s in sets])],
                 ["doc_id", "digest", "s"],
             )
 
@@ -196,13 +214,16 @@ def components(edges: DataFrame, stages: Stages) -> DataFrame:
     return labels if labels is not None else edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
 
 
-def prefix_pairs(sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of nodes of different ``component`` that can be similar enough: none that is, is missing.
+def prefix_pairs(sets: DataFrame, params: NearDup) -> DataFrame:
+    """Pairs (a, b) of nodes of different ``component`` that can be similar enough.
 
-    ``sets`` has node, component and s. The order of shingles is by the number
-    of these sets they are in, then by value.
+    ``sets`` has node, component, s and bits. The order of shingles is by the
+    number of these sets they are in, then by value. No similar pair is missing
+    but for those whose signatures differ by five standard deviations more than
+    they should (one in some millions).
     """
-    words = sets.select("node", "component", F.size("s").alias("n"), F.explode("s").alias("shingle"))
+    percent = params.percent
+    words = sets.select("node", F.size("s").alias("n"), F.explode("s").alias("shingle"))
     often = words.groupBy("shingle").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
     shared = words.join(often, "shingle")
     by_node = Window.partitionBy("node")
@@ -210,14 +231,20 @@ def prefix_pairs(sets: DataFrame, percent: int) -> DataFrame:
     placed = shared.withColumn("at", rare + F.row_number().over(by_node.orderBy("df", "shingle")) - 1)
     least = F.ceil(F.col("n") * percent / 100)
     prefix = placed.where(F.col("at") <= F.col("n") - least)
-    a = prefix.select("shingle", *(F.col(c).alias(f"{c}_a") for c in ("node", "component", "n", "at")))
-    b = prefix.select("shingle", *(F.col(c).alias(f"{c}_b") for c in ("node", "component", "n", "at")))
+    prefix = prefix.join(sets.select("node", "component", "bits"), "node")
+    columns = ("node", "component", "n", "at", "bits")
+    a = prefix.select("shingle", *(F.col(c).alias(f"{c}_a") for c in columns))
+    b = prefix.select("shingle", *(F.col(c).alias(f"{c}_b") for c in columns))
+    apart = sum(
+        (F.bit_count(F.col("bits_a")[i].bitwiseXOR(F.col("bits_b")[i])) for i in range(-(-params.bins // 64))), F.lit(0)
+    )
     most = F.least(F.col("n_a") - F.col("at_a"), F.col("n_b") - F.col("at_b"))
     met = a.join(b, "shingle").where(
         (F.col("node_a") > F.col("node_b"))
         & (F.col("component_a") != F.col("component_b"))
         & (F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent)
         & similar("n_a", "n_b", most.cast("long"), percent)
+        & (apart <= params.bits_apart())
     )
     return met.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
 
@@ -227,14 +254,14 @@ def groups(docs: DataFrame, stages: Stages, params: NearDup = NearDup()) -> Data
     p = params.percent
     rows = stages.write(sketch(docs, params), "sketch")
     classes = rows.where("digest IS NOT NULL").groupBy("digest")
-    classes = classes.agg(F.min("doc_id").alias("id"), F.first("n").alias("n"), F.first("bands").alias("bands"))
+    classes = classes.agg(F.min("doc_id").alias("id"), F.first("n").alias("n"), F.first("bands").alias("bands"), F.first("bits").alias("bits"))
     nodes = stages.write(classes.withColumn("node", F.monotonically_increasing_id()), "nodes")
 
     # buckets of several nodes
     placed = nodes.select("node", "n", F.explode("bands").alias("key"))
     counted = placed.groupBy("key").agg(F.min("node").alias("center"), F.count(F.lit(1)).alias("size"))
     live = stages.write(counted.where("size > 1"), "buckets")
-    members = stages.write(likely(placed, live, "key").join(live, "key"), "members")
+    members = stages.write(placed.join(live, "key"), "members")
 
     # stars, confirmed on full sets
     sizes = nodes.select(F.col("node").alias("center"), F.col("n").alias("n_center"))
@@ -250,7 +277,8 @@ def groups(docs: DataFrame, stages: Stages, params: NearDup = NearDup()) -> Data
     pieces = pieces.select("key", "node", F.coalesce("component", "node").alias("component"))
     split = pieces.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
     left = pieces.join(split.select("key"), "key", "left_semi").select("node", "component").distinct()
-    rest = stages.write(prefix_pairs(sets.join(left, "node"), p), "rest")
+    left = sets.join(left, "node").join(nodes.select("node", "bits"), "node")
+    rest = stages.write(prefix_pairs(stages.write(left, "left"), params), "rest")
     more = confirmed(rest, sets, p)
     final = components(links.unionByName(more), stages)
 

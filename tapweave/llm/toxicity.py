@@ -39,7 +39,7 @@ class Ftrl:
     rows_per_class: int = 3000
     alpha: float = 0.3
     beta: float = 1.0
-    l1: float = 8.0
+    l1: float = 6.0
     l2: float = 1.0
     epochs: int = 3
     stem_bytes: int = 4

@@ -1,0 +1,342 @@
+"""WARC, host graph, top-k, personal data, mixing and packing against brute force and round trips."""
+
+import base64
+import hashlib
+import random
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tapweave.functions.stage import Stages
+from tapweave.llm import hostgraph, mixing, packing, pii, topk, warc
+
+
+@pytest.fixture()
+def stages(spark):
+    with Stages(spark) as s:
+        yield s
+
+
+# ---------------------------------------------------------------- WARC
+
+PAGES = "page_id bigint, url string, html string, host string, sha1 string"
+SITES = [
+    (1, "http://A.example.com/x", "<p>one</p>"), (2, "http://a.example.com/x", "<p>one</p>"), (3, "https://b.org/é?q=1#f", None),
+    (4, "no url", ""), (5, None, "two\r\n\r\nparts"), (6, "http://a.example.com/x y\nz", "x" * 500_000), (None, "http://n.org", "<p>one</p>"),
+    (2, "http://a.example.com/x", "<p>one</p>"), *((i, "http://hot.org/", f"page {i % 7}") for i in range(10, 60)),
+]
+
+
+@pytest.mark.parametrize("params", [warc.WarcParams(), warc.WarcParams(block_lines=3, shard_rows=9, file_bytes=2000)])
+def test_archives_round_trip(spark, stages, params):
+    pages = spark.createDataFrame([(*r, "clash", "clash") for r in SITES], PAGES)
+    manifest = warc.write_archives(pages, stages.path("warc"), stages, params)
+    got = warc.read_records(pages, manifest, params).collect()
+    want = []
+    for page, _, html in SITES:
+        body = (html or "").encode()
+        same = max(p for p, _, h in SITES if (h or "") == (html or "") and p is not None)
+        digest = base64.b32encode(hashlib.sha1(body).digest()).decode()
+        kind = ("response", None) if page == same else ("revisit", same)
+        want.append((page, len(body), digest, *kind))
+    assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, want))
+    assert sum(r["records"] for r in manifest.collect()) == len(SITES)
+
+
+def test_revisits_only_from_a_size_and_empty_table(spark, stages):
+    pages = spark.createDataFrame([(*r, "", "") for r in SITES], PAGES)
+    params = warc.WarcParams(revisit_bytes=8)
+    got = warc.read_records(pages, warc.write_archives(pages, stages.path("w"), stages, params), params)
+    assert {r["payload_bytes"] for r in got.where("record_type = 'revisit'").collect()} == {10}
+    none = pages.where("false")
+    assert warc.read_records(none, warc.write_archives(none, stages.path("w"), stages)).collect() == []
+
+
+def test_one_wrong_byte_is_noticed():
+    row = {"page_id": 1, "url": "http://a/", "payload": b"abc", "sha1": hashlib.sha1(b"abd").hexdigest(), "size": 3, "refers_to": None}
+    with pytest.raises(ValueError):
+        warc.parse(warc._gzip(warc.record(row, warc.WarcParams()), 1))
+
+
+# ---------------------------------------------------------------- hosts
+
+
+def links(*targets):
+    return "".join(f"<a HREF = 'http://{t}/p'>x</a>" for t in targets)
+
+
+WEB = [
+    (1, "http://good.com/", links("friend.org", "good.com")), (2, "http://www.example.com/en/a", None), (3, "http://example.com/en/a", ""),
+    (4, "http://m.Example.com/en/", ""), (5, "http://spam.net/es/x", ""), (6, "http://farm.org/a?b", links("SPAM.net", "spam.net")),
+    (7, "http://friend.org#x", links("far.org")), (8, "http://far.org/x", ""), (9, "http://notcom/", ""), (10, None, links("x.org")),
+    (11, "nothing", ""), (12, "http://evilexample.com/en/", ""), (13, "http://x.com", ""), (14, "http://second.org/", links("farm.org")),
+    (8, "http://far.org/x", ""),
+]
+
+
+def test_rules_and_spread_against_brute_force(spark, stages):
+    pages = spark.createDataFrame([(*r, "clash") for r in WEB], "page_id bigint, url string, html string, rule string")
+    walk = hostgraph.Walk(rounds=6, written_every=4)
+    out = hostgraph.judge(pages, stages, walk=walk).collect()
+    assert len(out) == len(WEB)
+    verdicts = {r["page_id"]: (r["host"], r["path"], r["rule"], r["verdict"]) for r in out}
+    assert verdicts[1] == ("good.com", "/", "com/", "allow")
+    assert verdicts[2] == ("www.example.com", "/en/a", "www.example.com/en/", "allow")
+    assert verdicts[3] == ("example.com", "/en/a", "example.com/en/", "block")
+    assert verdicts[4] == ("m.example.com", "/en/", "example.com/en/", "block")
+    assert verdicts[5] == ("spam.net", "/es/x", "net/es/", "block")
+    assert verdicts[6] == ("farm.org", "/a", None, "block")  # links to a blocked host
+    assert verdicts[7] == ("friend.org", "", None, "allow")
+    assert verdicts[9] == ("notcom", "/", None, "allow")
+    assert verdicts[10] == verdicts[11] == ("", "", None, "allow")
+    assert verdicts[12] == ("evilexample.com", "/en/", "com/", "allow")
+    assert verdicts[13] == ("x.com", "", None, "allow")
+    assert verdicts[14] == ("second.org", "/", None, "block")  # two steps away
+
+    # the same walks in plain Python
+    edges = Counter()
+    for _, url, html in WEB:
+        host = re.match(r"^.*?://([^/?#]*)", url or "")
+        for t in {x.lower() for x in re.findall(r"http://([^/']+)", html or "")} if host else ():
+            if t != host[1].lower():
+                edges[host[1].lower(), t] += 1
+    seed = {"trust": {"good.com": 1, "www.example.com": 1, "evilexample.com": 1}, "distrust": {"example.com": 1, "m.example.com": 1, "spam.net": 1}}
+    want = {}
+    for kind, starts in seed.items():
+        steps = edges if kind == "trust" else {(b, a): n for (a, b), n in edges.items()}
+        start = {h: n / sum(starts.values()) for h, n in starts.items()}
+        rank = dict(start)
+        for _ in range(walk.rounds):
+            new = {h: (1 - walk.damping) * v for h, v in start.items()}
+            for (a, b), n in steps.items():
+                total = sum(m for (x, _), m in steps.items() if x == a)
+                new[b] = new.get(b, 0) + walk.damping * rank.get(a, 0) * n / total
+            rank = new
+        want[kind] = rank
+    for r in out:
+        for kind in seed:
+            assert r[kind] == pytest.approx(want[kind].get(r["host"], 0), abs=1e-9)
+    assert hostgraph.judge(pages.where("false"), stages).collect() == []
+
+
+# ---------------------------------------------------------------- top-k
+
+VECTORS = "vec_id bigint, embedding array<float>, label int, score int"
+
+
+def brute_nearest(rows, k):
+    ok = [(i, [int(np.floor(np.float64(np.float32(x)) * 64)) for x in v]) for i, v in rows
+          if i is not None and v and all(x is not None and np.isfinite(x) for x in v)]
+    out = []
+    for q, v in {(i, tuple(v)) for i, v in ok if i % 20 == 0}:
+        found = sorted((-sum(a * b for a, b in zip(v, w)), c) for c, w in ok if c != q and len(w) == len(v))[:k]
+        out += [(q, n + 1, c, -s) for n, (s, c) in enumerate(found)]
+    return sorted(out)
+
+
+@pytest.mark.parametrize("params", [topk.TopK(), topk.TopK(k=3, block=4, part=40, chunk=16)])
+def test_nearest_against_brute_force(spark, stages, params):
+    rng = random.Random(2)
+    centers = [[rng.gauss(0, 1) for _ in range(24)] for _ in range(5)]
+    rows = [(i, [c + rng.gauss(0, 0.2) for c in centers[i % 5]]) for i in range(300)]
+    rows += [(1000 + i, rows[3][1]) for i in range(60)]  # ties
+    rows += [(500, None), (501, []), (502, [float("nan")] * 24), (503, [None] + [0.0] * 23), (520, [float("inf")] * 24), (None, rows[0][1]),
+             (540, [1.0, 2.0]), (541, [3.0, 4.0]), (560, [1.0]), (20, [9.0] * 24)]
+    df = spark.createDataFrame([(i, v, 0, 0) for i, v in rows], VECTORS).repartition(3)
+    got = topk.nearest(df, F.col("vec_id") % 20 == 0, stages, params)
+    assert sorted(tuple(r) for r in got.collect()) == brute_nearest(rows, params.k)
+    assert topk.nearest(df.where("false"), F.col("vec_id") % 20 == 0, stages).collect() == []
+
+
+def test_bounds_never_drop_a_winner():
+    rng = np.random.default_rng(4)
+    params = topk.TopK(k=5, chunk=32)
+    q, c = rng.integers(-60, 60, (9, 30)), rng.integers(-60, 60, (700, 30))
+    c[100:140] = q[0]
+    big = c.astype(np.int64)
+    rows, ids, scores = topk.search(q, np.arange(9), big, np.arange(1000, 1700), params)
+    for i in range(9):
+        want = sorted(((-int(q[i] @ x), 1000 + j) for j, x in enumerate(c)))[:5]
+        assert [(-int(s), int(j)) for s, j in zip(scores[rows == i], ids[rows == i])] == want
+    qm, qd = topk.segment_statistics(q.astype(float), 4)
+    cm, cd = topk.segment_statistics(c.astype(float), 4)
+    assert (qm @ cm.T + qd @ cd.T + 1e-6 >= q @ c.T).all()
+
+
+# ---------------------------------------------------------------- personal data
+
+
+def by_patterns(text):
+    """The base patterns as they are written, each scanned on its own."""
+    out = []
+    for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text):
+        out.append(("email", *m.span()))
+    for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", text):
+        if all(int(p) <= 255 for p in m[0].split(".")):
+            out.append(("ip", *m.span()))
+    for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", text):
+        d = re.sub("[^0-9]", "", m[0])
+        s = sum((2 * int(x) - 9 if 2 * int(x) > 9 else 2 * int(x)) if i % 2 else int(x) for i, x in enumerate(reversed(d)))
+        if 13 <= len(d) <= 19 and s % 10 == 0:
+            out.append(("card", *m.span()))
+    for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", text):
+        if 9 <= len(re.sub("[^0-9]", "", m[0])) <= 15:
+            out.append(("phone", *m.span()))
+    return out
+
+
+ODD = [
+    "a@b.c@d.e x@@y.z .@q.r-s a@b ü.x@ü.de x@y.z.", "1.2.3.4.5.6.7.8 256.1.1.1 001.02.3.4 1.2.3", "4111 1111 1111 1111 4111-1111-1111-1112",
+    "+1 (255) 555-8013 +12 +1234567890123456 ++49 30 12345678. +1 ((((2", "4406265717522065 44062657175220650", "", "😀 a@b.cd 😀 10.0.0.1",
+    "1" * 4000, "a" * 4000 + "@", "+" * 500 + "1 2", "@" * 400, "1.1." * 300,
+]
+
+
+def test_base_spans_against_the_patterns():
+    rng = random.Random(1)
+    texts = ODD + ["".join(rng.choice("a@.1 -+(2)%5x0") for _ in range(rng.randrange(120))) for _ in range(3000)]
+    for t in texts:
+        got = [(s.kind, s.start, s.end) for s in pii.spans(t) if s.base]
+        assert got == by_patterns(t), t
+
+
+def test_long_runs_take_linear_time():
+    for t in ("a" * 200_000, "1" * 200_000, "1." * 100_000, "a@" * 100_000, "+1 (" * 50_000, "A1 " * 70_000):
+        pii.spans(t)
+
+
+def test_validators_and_context():
+    assert pii.luhn("4111111111111111") and not pii.luhn("4111111111111112")
+    assert pii.mod97("GB82WEST12345698765432") and not pii.mod97("GB82WEST12345698765433")
+
+    def kinds(t):
+        return [s.kind for s in pii.spans(t)]
+
+    assert kinds("account GB82 WEST 1234 5698 7654 32 open") == ["iban"]
+    assert kinds("account GB82 WEST 1234 5698 7654 33 open") == []
+    assert kinds("my ssn is 123-45-6789 ok") == ["ssn"] and kinds("order 123-45-6789") == [] and kinds("ssn 666-45-6789") == []
+    assert kinds("call me at 212-555-0187") == [] or kinds("call me at 212-555-0187") == ["tel"]
+    near, plain = pii.spans("visa card 4111111111111111")[0], pii.spans("4111111111111111")[0]
+    assert near.score > plain.score > pii.spans("invoice 4111111111111111")[0].score
+
+
+def test_pii_table(spark):
+    docs = spark.createDataFrame(
+        [(1, "x a@b.cd 10.0.0.1", "m"), (2, None, "m"), (3, "", "m"), (None, "a@b.cd", "m"), (1, "x a@b.cd 10.0.0.1", "m")],
+        "doc_id bigint, text string, spans string")
+    out = [tuple(r) for r in pii.digested(pii.with_spans(docs)).collect()]
+    digest = hashlib.sha256(b"email:2:8,ip:9:17").hexdigest()
+    empty = hashlib.sha256(b"").hexdigest()
+    assert out.count((1, 1, 1, 0, 0, digest, "email:2:8,ip:9:17")) == 2
+    assert (2, 0, 0, 0, 0, empty, "") in out and (3, 0, 0, 0, 0, empty, "") in out
+    assert pii.digested(pii.with_spans(docs.where("false"))).collect() == []
+
+
+# ---------------------------------------------------------------- mixing
+
+DOCS = "doc_id bigint, text string, lang string, source string, tokens int"
+
+
+def mixed_docs(spark):
+    rng = random.Random(8)
+    rows = []
+    for i in range(3000):
+        source = "hot" if i % 3 == 0 else f"s{i % 10}"
+        rows.append((i, "word " * rng.randrange(1, 900), rng.choice(["en", "en", "de"]), source, 1))
+    rows += [(None, None, None, None, None), (5, "", "en", "s1", 0), (6, "| " * 200, "en", "s2", 0)]
+    return spark.createDataFrame(rows, DOCS)
+
+
+def test_raked_margins_meet_their_targets(spark, stages):
+    docs = mixed_docs(spark).where("lang IS NOT NULL")
+    mix = mixing.Mix(targets={"lang": {"en": 0.5, "de": 0.5}}, sweeps=12)
+    out = mixing.calibrated(docs, mix, stages).toPandas()
+    assert len(out) == docs.count()
+    assert {"mix_tokens", "mix_topic", "mix_weight", "mix_probability", "mix_kept", "tokens"} <= set(out.columns)
+    cells = out.assign(source=out["source"].fillna(""), lang=out["lang"].fillna("")).drop_duplicates(["source", "lang", "mix_topic"])
+    assert cells["mix_weight"].sum() == pytest.approx(1, abs=1e-6)
+    for value, share in mix.targets["lang"].items():
+        assert cells.loc[cells["lang"] == value, "mix_weight"].sum() == pytest.approx(share, abs=2e-3)
+    assert out["mix_probability"].max() == 1
+    kept, expected = out["mix_kept"].sum(), out["mix_probability"].sum()
+    assert abs(kept - expected) < 5 * np.sqrt(expected)
+    u = int(hashlib.md5(b"17").hexdigest()[:13], 16) / 2**52
+    row = out[out["doc_id"] == 17].iloc[0]
+    assert row["mix_kept"] == (u < row["mix_probability"])
+
+
+def test_sample_keeps_columns_and_the_empty_table(spark, stages):
+    docs = mixed_docs(spark)
+    assert mixing.sample(docs, mixing.Mix(), stages).columns == docs.columns
+    assert mixing.sample(docs.where("false"), mixing.Mix(), stages).collect() == []
+    plan = mixing.calibrated(docs, mixing.Mix(sweeps=1), stages)._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("Python|Arrow|Pandas|Cartesian|NestedLoop", plan)
+
+
+# ---------------------------------------------------------------- packing
+
+
+def test_encoder_equals_the_tokenizer():
+    encode = packing.Encoder(packing.PackParams())
+    rng = random.Random(4)
+    texts = ["", " ", "a", "  a", "a  b", "it's a\n\nnew\tday \n x", "naïve café déjà ² ½ x²", "日本語 text", "<|endoftext|> x", "a\x1cb c", "\n", "x \n", "a b"]
+    texts += ["".join(rng.choice("ab 's1,.\n\té😀²") for _ in range(60)) for _ in range(2000)]
+    for t in texts:
+        ids = encode.tokenizer.encode(t, add_special_tokens=False).ids
+        assert encode(t) == np.array(ids, "<u4").tobytes(), repr(t)
+
+
+def test_pieces_and_places(spark, stages):
+    rng = random.Random(6)
+    rows = [(i, "word " * rng.randrange(0, 700)) for i in range(400)] + [(900, None), (901, ""), (902, "the cat " * 9000), (3, "again"), (None, "x")]
+    docs = spark.createDataFrame([(i, t, 0) for i, t in rows], "doc_id bigint, text string, piece int").repartition(7)
+    params = packing.PackParams(size=256)
+    out = packing.pack(docs, stages, params).toPandas()
+    encode = packing.Encoder(params)
+    want = Counter()
+    for doc, text in rows:
+        ids = encode(text or "") + np.array([2], "<u4").tobytes()
+        n = len(ids) // 4
+        starts = [0] + list(range(n % 256 or 256, n, 256)) if n > 256 else [0]
+        for i, (a, b) in enumerate(zip(starts, [*starts[1:], n])):
+            want[doc, i, a, b - a, zlib.crc32(ids[4 * a : 4 * b])] += 1
+    got = Counter((None if d != d else int(d), int(p), int(s), int(n), int(c)) for d, p, s, n, c in
+                  out[["doc_id", "piece", "start", "length", "ids_crc32"]].itertuples(index=False))
+    assert got == want
+    for _, g in out.groupby("sequence_id"):
+        g = g.sort_values("offset")
+        assert g["offset"].tolist() == [0, *np.cumsum(g["length"])[:-1].tolist()] and g["length"].sum() <= 256
+    assert out["sequence_id"].nunique() <= 1.01 * np.ceil(out["length"].sum() / 256) + 1
+    assert packing.pack(docs.where("false"), stages, params).collect() == []
+
+
+@pytest.mark.parametrize("counts", [
+    {n: 50 for n in range(1, 65)}, {1: 100_000}, {40: 1000}, {33: 7, 31: 7}, {60: 500, 4: 500}, {64: 3}, {20: 10, 21: 10, 23: 11}, {},
+])
+def test_plan_uses_every_piece_once(counts):
+    planned = packing.plan(counts, 64)
+    used = Counter()
+    for pattern, times in planned:
+        assert times > 0 and sum(n * t for n, t in pattern) <= 64
+        for n, t in pattern:
+            used[n] += t * times
+    assert used == Counter(counts)
+    total, most = sum(n * c for n, c in counts.items()), sum(t for _, t in planned)
+    large = sum(c for n, c in counts.items() if n > 32)
+    best = max(-(-total // 64), large)
+    assert most <= best + max(2, 0.12 * best)
+
+
+def test_least_squares_fits_and_stays_positive():
+    rng = np.random.default_rng(3)
+    patterns = packing.enumerate_patterns(np.arange(1, 33), 32)
+    true = np.where(rng.random(len(patterns)) < 0.1, rng.integers(1, 50, len(patterns)), 0)
+    histogram = np.bincount(patterns.ravel(), np.repeat(true, 3), 33)
+    histogram[0] = 0
+    x = packing.nnls(patterns, histogram, 900)
+    fit = np.bincount(patterns.ravel(), np.repeat(x, 3), 33)
+    assert (x >= 0).all() and np.abs(fit[1:] - histogram[1:]).max() < 1e-3 * histogram.max()

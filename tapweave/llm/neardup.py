@@ -8,12 +8,11 @@
 3. *Stars.* The nodes of a bucket (equal band key) are linked to the bucket's
    smallest node only, so pairs grow with the rows. Each is confirmed on the
    full sets.
-4. *The rest.* A bucket of three or more nodes whose stars did not join all of
-   them may hide a link between two leaves. All nodes of such buckets go
-   through a prefix join: shingles are ordered from rare to frequent, two sets
-   above the threshold share a shingle among the first ones, the places of the
-   shared shingle bound the overlap, and the signatures' bits must agree. Pairs
-   already connected are left out. No bucket is capped.
+4. *The rest.* A bucket of three or more nodes whose star did not join all of
+   them may hide a link between two leaves. All leaves of such buckets go
+   through an exact join on how they differ from their centre (``leaf_pairs``):
+   what a whole family has in common makes no pairs. Pairs already connected are
+   left out. No bucket is capped.
 5. *Components* by hooking to the smallest neighbour and jumping, edges
    contracted and written in every round.
 
@@ -29,7 +28,6 @@ empty table gives no rows; other columns are passed through by ``keep_one``.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -61,11 +59,6 @@ class NearDup:
     def bins(self) -> int:
         return self.bands * self.rows
 
-    def bits_apart(self) -> int:
-        """Bits that differ in a pair at the threshold, and five standard deviations."""
-        p = (1 - self.percent / 100) / 2
-        return math.ceil(self.bins * p + 5 * math.sqrt(self.bins * p * (1 - p)))
-
     def missed(self) -> float:
         """Probability that a pair at the threshold shares no bucket."""
         return (1 - (self.percent / 100) ** self.rows) ** self.bands
@@ -112,12 +105,6 @@ class Sketcher:
             values[empty] = found[first][self.ranks[np.ix_(empty, filled)].argmin(axis=1)]
         return values
 
-    def bits(self, signature: np.ndarray) -> np.ndarray:
-        """One bit per bin, packed into 64-bit numbers: equal bins have equal bits, others half the time."""
-        mixed = (signature ^ (np.arange(1, len(signature) + 1, dtype=np.uint64) * _ODD2)) * _ODD
-        packed = np.packbits((mixed >> np.uint64(63)).astype(bool))
-        return np.pad(packed, (0, -len(packed) % 8)).view(np.int64)
-
     def keys(self, signature: np.ndarray) -> np.ndarray:
         p = self.params
         rows = signature.reshape(p.bands, p.rows)
@@ -134,29 +121,28 @@ def _lists(parts: list[np.ndarray]) -> pa.ListArray:
 
 
 def sketch(docs: DataFrame, params: NearDup = NearDup()) -> DataFrame:
-    """doc_id, n (set size), digest (of the set; null if empty), bands (keys) and bits of every row."""
+    """doc_id, n (set size), digest (of the set; null if empty) and bands (keys) of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         maker = Sketcher(params)
         for batch in batches:
-            sizes, digests, bands, bits = [], [], [], []
+            sizes, digests, bands = [], [], []
             for text in batch.column("text"):
                 found = shingles(text.as_py(), params.words)
                 sizes.append(len(found))
                 digests.append(xxhash.xxh3_128_digest(found.tobytes()) if len(found) else None)
                 signature = maker.signature(found) if len(found) else None
                 bands.append(maker.keys(signature) if len(found) else np.empty(0, np.int64))
-                bits.append(maker.bits(signature) if len(found) else np.empty(0, np.int64))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id").cast(pa.int64()), pa.array(sizes, pa.int32()), pa.array(digests, pa.binary()),
-                 _lists(bands), _lists(bits)],
-                ["doc_id", "n", "digest", "bands", "bits"],
+                 _lists(bands)],
+                ["doc_id", "n", "digest", "bands"],
             )
 
     return docs.select("doc_id", "text").mapInArrow(run, SKETCH)
 
 
-SKETCH = "doc_id bigint, n int, digest binary, bands array<bigint>, bits array<bigint>"
+SKETCH = "doc_id bigint, n int, digest binary, bands array<bigint>"
 
 
 def full_sets(docs: DataFrame, params: NearDup = NearDup()) -> DataFrame:
@@ -175,11 +161,6 @@ def full_sets(docs: DataFrame, params: NearDup = NearDup()) -> DataFrame:
     return found.where("digest IS NOT NULL")
 
 
-def similar(a: str, b: str, common: Column, percent: int) -> Column:
-    """100 * intersection >= percent * union."""
-    return common * (100 + percent) >= (F.col(a) + F.col(b)).cast("long") * percent
-
-
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Those pairs (a, b) whose full sets are similar enough."""
     left = sets.select(F.col("node").alias("a"), F.col("s").alias("sa"))
@@ -214,37 +195,43 @@ def components(edges: DataFrame, stages: Stages) -> DataFrame:
     return labels if labels is not None else edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
 
 
-def prefix_pairs(sets: DataFrame, params: NearDup) -> DataFrame:
-    """Pairs (a, b) of nodes of different ``component`` that can be similar enough.
+def leaf_pairs(stars: DataFrame, sets: DataFrame, params: NearDup) -> DataFrame:
+    """Pairs (a, b) of nodes around one centre, of different components, that can be similar enough: none that is, is missing.
 
-    ``sets`` has node, component, s and bits. The order of shingles is by the
-    number of these sets they are in, then by value. No similar pair is missing
-    but for those whose signatures differ by five standard deviations more than
-    they should (one in some millions).
+    ``stars`` has center, node and component, where a node similar to its centre
+    has the centre's component; ``sets`` has node and s. A node is described by
+    how it differs from its centre: shingles added, and shingles missing
+    (complemented). Two nodes whose differences have d1 and d2 members share
+    more than (d1 + d2 - D) / 2 of these if they are similar, D being the
+    largest symmetric difference of similar sets of their sizes; that is above 0
+    unless both are similar to the centre. So they meet in a shared difference.
+    Differences are ordered from rare to frequent, and the places of the shared
+    one bound the number that can be shared.
     """
-    percent = params.percent
-    words = sets.select("node", F.size("s").alias("n"), F.explode("s").alias("shingle"))
-    often = words.groupBy("shingle").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
-    shared = words.join(often, "shingle")
-    by_node = Window.partitionBy("node")
-    rare = F.col("n") - F.count(F.lit(1)).over(by_node)  # shingles of this set alone come first
-    placed = shared.withColumn("at", rare + F.row_number().over(by_node.orderBy("df", "shingle")) - 1)
-    least = F.ceil(F.col("n") * percent / 100)
-    prefix = placed.where(F.col("at") <= F.col("n") - least)
-    prefix = prefix.join(sets.select("node", "component", "bits"), "node")
-    columns = ("node", "component", "n", "at", "bits")
-    a = prefix.select("shingle", *(F.col(c).alias(f"{c}_a") for c in columns))
-    b = prefix.select("shingle", *(F.col(c).alias(f"{c}_b") for c in columns))
-    apart = sum(
-        (F.bit_count(F.col("bits_a")[i].bitwiseXOR(F.col("bits_b")[i])) for i in range(-(-params.bins // 64))), F.lit(0)
-    )
-    most = F.least(F.col("n_a") - F.col("at_a"), F.col("n_b") - F.col("at_b"))
-    met = a.join(b, "shingle").where(
+    p = params.percent
+    own = sets.select("node", "s")
+    middle = sets.select(F.col("node").alias("center"), F.col("s").alias("c"))
+    both = stars.join(own, "node").join(middle, "center")
+    added, missing = F.array_except("s", "c"), F.transform(F.array_except("c", "s"), lambda x: F.bitwise_not(x))
+    told = both.select("center", "node", F.size("s").alias("n"), F.concat(added, missing).alias("delta"))
+    told = told.select("center", "node", "n", F.size("delta").alias("d"), F.explode("delta").alias("token"))
+    often = told.groupBy("center", "token").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
+    shared = told.join(often, ["center", "token"])
+    by_node = Window.partitionBy("center", "node")
+    rare = F.col("d") - F.count(F.lit(1)).over(by_node)  # differences of this node alone come first
+    placed = shared.withColumn("at", rare + F.row_number().over(by_node.orderBy("df", "token")) - 1)
+    placed = placed.join(stars.select("center", "node", "component"), ["center", "node"])
+    columns = ("node", "component", "n", "d", "at")
+    a = placed.select("center", "token", *(F.col(c).alias(f"{c}_a") for c in columns))
+    b = placed.select("center", "token", *(F.col(c).alias(f"{c}_b") for c in columns))
+    whole = (F.col("n_a") + F.col("n_b")).cast("long")
+    apart = whole - 2 * F.ceil(whole * p / (100 + p))  # D
+    most = F.least(F.col("d_a") - F.col("at_a"), F.col("d_b") - F.col("at_b"))
+    met = a.join(b, ["center", "token"]).where(
         (F.col("node_a") > F.col("node_b"))
         & (F.col("component_a") != F.col("component_b"))
-        & (F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent)
-        & similar("n_a", "n_b", most.cast("long"), percent)
-        & (apart <= params.bits_apart())
+        & (F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * p)
+        & (most * 2 >= F.col("d_a") + F.col("d_b") - apart)
     )
     return met.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
 
@@ -254,7 +241,7 @@ def groups(docs: DataFrame, stages: Stages, params: NearDup = NearDup()) -> Data
     p = params.percent
     rows = stages.write(sketch(docs, params), "sketch")
     classes = rows.where("digest IS NOT NULL").groupBy("digest")
-    classes = classes.agg(F.min("doc_id").alias("id"), F.first("n").alias("n"), F.first("bands").alias("bands"), F.first("bits").alias("bits"))
+    classes = classes.agg(F.min("doc_id").alias("id"), F.first("n").alias("n"), F.first("bands").alias("bands"))
     nodes = stages.write(classes.withColumn("node", F.monotonically_increasing_id()), "nodes")
 
     # buckets of several nodes
@@ -274,11 +261,11 @@ def groups(docs: DataFrame, stages: Stages, params: NearDup = NearDup()) -> Data
 
     # buckets that the stars left in several pieces
     pieces = members.where("size > 2").join(first, "node", "left")
-    pieces = pieces.select("key", "node", F.coalesce("component", "node").alias("component"))
+    pieces = pieces.select("key", "center", "node", F.coalesce("component", "node").alias("component"))
     split = pieces.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
-    left = pieces.join(split.select("key"), "key", "left_semi").select("node", "component").distinct()
-    left = sets.join(left, "node").join(nodes.select("node", "bits"), "node")
-    rest = stages.write(prefix_pairs(stages.write(left, "left"), params), "rest")
+    left = pieces.join(split.select("key"), "key", "left_semi").where("node <> center")
+    left = stages.write(left.select("center", "node", "component").distinct(), "left")
+    rest = stages.write(leaf_pairs(left, sets, params), "rest")
     more = confirmed(rest, sets, p)
     final = components(links.unionByName(more), stages)
 

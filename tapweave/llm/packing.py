@@ -23,8 +23,10 @@ table gives no rows.
 
 from __future__ import annotations
 
+import base64
 import bisect
 import re
+import struct
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -42,10 +44,13 @@ from tapweave.functions.stage import Stages
 
 @dataclass(frozen=True)
 class PackParams:
-    """``vocabulary``: path of the tokenizer file (None: the public byte-level one); ``end``: id after each document."""
+    """``vocabulary``: path of the tokenizer file, ``ranks``: path of the same vocabulary as ranks, which is
+    faster for single words (both None: the public byte-level one); ``end``: id after each document;
+    ``words_kept``: words whose ids a Python worker remembers."""
 
     size: int = 1024
     vocabulary: str | None = None
+    ranks: str | None = None
     end: int = 2
     words_kept: int = 300_000
     sparse: int = 900
@@ -57,37 +62,62 @@ class PackParams:
 _PLAIN = re.compile("[\\x00-\\x1b\\x20-\\x7eÀ-ÖØ-öø-ɏ]*")
 _BLANKS = re.compile("\\s | \\s")
 
+# Fixed value: the vocabulary's pattern.
+_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+
 
 class Encoder:
     """Ids of whole texts as little-endian 32-bit numbers; remembers the ids of words."""
 
     def __init__(self, params: PackParams):
+        import tiktoken
         from tokenizers import Tokenizer
 
-        path = params.vocabulary
+        path, ranks = params.vocabulary, params.ranks
         if path is None:
             import public_tokenizers
 
-            path = public_tokenizers.path("byte_bpe_50k.json")
+            path, ranks = (public_tokenizers.path(f"byte_bpe_50k.{kind}") for kind in ("json", "tiktoken"))
         self.tokenizer, self.kept = Tokenizer.from_file(path), params.words_kept
         self.specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.inner: dict[str, bytes] = {}
+        self.single = None
+        if ranks is not None:
+            with open(ranks, "rb") as f:
+                table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+            self.single = tiktoken.Encoding("words", pat_str=_PATTERN, mergeable_ranks=table, special_tokens={})
 
     def _ids(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
+    def _word(self, word: str) -> bytes:
+        if self.single is None:
+            return self._ids(word)
+        ids = self.single.encode_ordinary(word)
+        return struct.pack(f"<{len(ids)}I", *ids)
+
     def __call__(self, text: str) -> bytes:
         if not _PLAIN.fullmatch(text) or _BLANKS.search(text) or any(s in text for s in self.specials):
             return self._ids(text)
         first, *words = text.split(" ")
         known = self.inner
-        if len(known) > self.kept:
-            known.clear()
-        for w in set(words).difference(known):
-            known[w] = self._ids(" " + w)
+        new = {w: self._word(" " + w) for w in set(words).difference(known)}
+        if new and len(known) < self.kept:
+            known.update(new)
+        if new:
+            return self._ids(first) + b"".join([new[w] if w in new else known[w] for w in words])
         return self._ids(first) + b"".join(map(known.__getitem__, words))
 
 
+_ENCODERS: dict[PackParams, Encoder] = {}  # of this Python worker
+
+
+def encoder(params: PackParams) -> Encoder:
+    if params not in _ENCODERS:
+        _ENCODERS[params] = Encoder(params)
+    return _ENCODERS[params]
+
+
 def cut(length: int, size: int) -> list[tuple[int, int]]:
     """Start and length of the pieces: all full but the first."""
     first = length % size or size
@@ -101,7 +131,7 @@ def pieces(docs: DataFrame, params: PackParams = PackParams()) -> DataFrame:
     """One row per piece; ``number`` counts the pieces of a length within a task (``chunk``)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = Encoder(params)
+        encode = encoder(params)
         end = np.array([params.end], "<u4").tobytes()
         chunk, seen = TaskContext.get().partitionId(), [0] * (params.size + 1)
         for batch in batches:

@@ -153,26 +153,37 @@ def test_leaves_of_a_failed_star_are_found(spark, stages):
     assert got == brute_components(rows, 85)
 
 
-def test_prefix_pairs_lose_nothing(spark):
+def test_leaf_pairs_lose_nothing(spark):
+    """Leaves at every distance of their centre; those similar to it are its component."""
     rng = random.Random(9)
-    sets = []
-    for f in range(6):
-        base = [rng.getrandbits(40) for _ in range(40)]
-        for _ in range(12):
-            s = set(base)
-            for _ in range(rng.randrange(6)):
-                s.discard(rng.choice(base))
-                s.add(rng.getrandbits(40))
-            sets.append((len(sets), len(sets), sorted(s)))
-    params = neardup.NearDup()
-    maker = neardup.Sketcher(params)
-    rows = [(n, c, s, maker.bits(maker.signature(np.array(s, np.uint64) << np.uint64(20))).tolist()) for n, c, s in sets]
-    df = spark.createDataFrame(rows, "node bigint, component bigint, s array<bigint>, bits array<bigint>")
-    got = {tuple(sorted((r["a"], r["b"]))) for r in neardup.prefix_pairs(df, params).collect()}
-    for (a, _, x), (b, _, y) in combinations(sets, 2):
-        common = len(set(x) & set(y))
-        if 100 * common >= 85 * (len(x) + len(y) - common):
-            assert (a, b) in got
+    for percent in (85, 80):
+        sets, stars = [], []
+        for f in range(5):
+            center = len(sets)
+            base = [rng.getrandbits(40) for _ in range(40)]
+            sets.append((center, sorted(base)))
+            sub = set(base[8:]) | {rng.getrandbits(40) for _ in range(6)}
+            for i in range(24):
+                s = set(base) if i % 2 else set(sub)
+                for _ in range(rng.randrange(7)):
+                    s.discard(rng.choice(base))
+                    s.add(rng.getrandbits(40))
+                node, common = len(sets), len(s & set(base))
+                near = 100 * common >= percent * (len(s) + 40 - common)
+                sets.append((node, sorted(s)))
+                stars.append((center, node, center if near else node))
+        params = neardup.NearDup(percent=percent)
+        df = neardup.leaf_pairs(
+            spark.createDataFrame(stars, "center bigint, node bigint, component bigint"),
+            spark.createDataFrame(sets, "node bigint, s array<bigint>"), params)
+        got = {tuple(sorted((r["a"], r["b"]))) for r in df.collect()}
+        by_node, found = dict(sets), 0
+        for (c1, a, x), (c2, b, y) in combinations(stars, 2):
+            common = len(set(by_node[a]) & set(by_node[b]))
+            if c1 == c2 and x != y and 100 * common >= percent * (len(by_node[a]) + len(by_node[b]) - common):
+                found += 1
+                assert (a, b) in got
+        assert found > 20
 
 
 def test_repeated_and_null_ids(spark, stages):

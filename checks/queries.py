@@ -6,7 +6,6 @@ both sides, meters and seconds to four digits and all others to six; times are e
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
@@ -17,7 +16,7 @@ from checks.world import S, World, world
 from tapweave.config import PLATFORM_REPORT_LINES, VISIT_SOURCE
 from tapweave.functions.geo import great_circle_meters
 from tapweave.functions.quantiles import exact_quantiles
-from tapweave.functions.stage import stage_folder
+from tapweave.functions.stage import fresh_path
 from tapweave.operators import (
     alighting, boarding, compare, interline, journeys, metrics, profiles, relational, schedule, taps, visits,
 )
@@ -59,9 +58,8 @@ ARR = ["CAST(arrive_datetime AS bigint) AS arr_s", "CAST(departure_datetime AS b
 
 
 def scratch(w: World) -> str:
-    """A fresh folder next to the written steps."""
-    folder = stage_folder(w.spark)
-    return tempfile.mkdtemp(prefix="io-", dir=folder) if folder.startswith("/") else f"{folder}/io"
+    """A folder of its own for each call, next to the written steps."""
+    return fresh_path(w.spark, "io")
 
 
 # ---------------------------------------------------------------- projection, filter, cleaning
@@ -139,19 +137,28 @@ def _(w):
     return visits.add_visit_times(w.raw("stop_events")).selectExpr("trip_id", "stop_id", "stop_sequence", *ARR)
 
 
-@query("P13_latest_month", "SELECT event_id, CAST(service_date AS varchar) AS service_date FROM fx_taps WHERE date_trunc('month', service_date) = (SELECT date_trunc('month', max(service_date)) FROM fx_taps)")
+def spread_over_months(w: World) -> DataFrame:
+    """Taps dealt over four months, so that a choice of months leaves some out."""
+    return w.raw("taps").withColumn("service_date", F.expr("CAST(add_months(service_date, -CAST(event_id % 4 AS int)) AS date)"))
+
+
+_MONTHS = "(SELECT event_id, CAST(service_date - to_months(CAST(event_id % 4 AS int)) AS date) AS service_date FROM fx_taps)"
+
+
+@query("P13_latest_month", f"SELECT event_id, CAST(service_date AS varchar) AS service_date FROM {_MONTHS} t WHERE date_trunc('month', service_date) = (SELECT date_trunc('month', max(service_date)) FROM {_MONTHS} u)")
 def _(w):
-    return taps.select_months(w.raw("taps"), "service_date").selectExpr("event_id", "CAST(service_date AS string) AS service_date")
+    return taps.select_months(spread_over_months(w), "service_date").selectExpr("event_id", "CAST(service_date AS string) AS service_date")
 
 
-@query("P13_listed_months", "SELECT event_id FROM fx_taps WHERE (year(service_date) = 2024 AND month(service_date) = 1) OR (year(service_date) = 2023 AND month(service_date) = 12)")
+@query("P13_listed_months", f"SELECT event_id FROM {_MONTHS} t WHERE (year(service_date) = 2024 AND month(service_date) = 1) OR (year(service_date) = 2023 AND month(service_date) = 11)")
 def _(w):
-    return taps.select_months(w.raw("taps"), "service_date", [(2024, 1), (2023, 12)]).select("event_id")
+    return taps.select_months(spread_over_months(w), "service_date", [(2024, 1), (2023, 11)]).select("event_id")
 
 
-@query("P14_tapped_dates", "SELECT trip_id, stop_sequence FROM fx_stop_events WHERE service_date IN (SELECT service_date FROM fx_taps)")
+@query("P14_tapped_dates", "SELECT trip_id, stop_sequence FROM fx_stop_events WHERE service_date IN (SELECT service_date FROM fx_taps WHERE day(service_date) % 3 <> 0)")
 def _(w):
-    return visits.keep_tapped_dates(w.raw("stop_events"), w.raw("taps")).select("trip_id", "stop_sequence")
+    some = w.raw("taps").where("day(service_date) % 3 <> 0")
+    return visits.keep_tapped_dates(w.raw("stop_events"), some).select("trip_id", "stop_sequence")
 
 
 @query("P15_spread_by", "SELECT CAST(service_date AS varchar) AS service_date, event_id FROM fx_taps")
@@ -159,12 +166,16 @@ def _(w):
     return visits.spread_by(w.raw("taps"), "service_date").selectExpr("CAST(service_date AS string) AS service_date", "event_id")
 
 
-@query("P16_null_report", """SELECT * FROM (SELECT 'stop_lat' AS column_name, count(*) FILTER (stop_lat IS NULL) AS n_null FROM looped
- UNION ALL SELECT 'confidence', count(*) FILTER (confidence IS NULL) FROM looped
- UNION ALL SELECT 'line_id', count(*) FILTER (line_id IS NULL) FROM looped
- UNION ALL SELECT 'validity_score', count(*) FILTER (validity_score IS NULL) FROM looped) x""")
+_SHOWN = (
+    "journey_id card_id event stop_id line_id direction_id event_type is_loop fare_category_description stop_lat stop_lon"
+    " validity_score confidence"
+).split()
+
+
+@query("P16_null_report", " UNION ALL ".join(f"SELECT '{c}' AS column_name, count(*) FILTER ({c} IS NULL) AS n_null FROM looped" for c in _SHOWN)
+       + " UNION ALL SELECT 'datetime', count(*) FILTER (dt_s IS NULL) FROM looped")
 def _(w):
-    return journeys.null_report(w.looped).where("column_name IN ('stop_lat', 'confidence', 'line_id', 'validity_score')")
+    return journeys.null_report(w.looped)
 
 
 @query("P17_contains", "SELECT journey_id, event, dt_s, stop_id FROM looped WHERE contains(event, 'INTERLINE')")
@@ -785,11 +796,13 @@ def _(w):
 
 
 @query("K14_single_leg_summary", "SELECT is_single_stop_ride, alight_at_next_start_location, count(*) AS n_journeys, "
-       + ", ".join(f"CAST(trunc({_disc('alighting_distance_to_next_stop', p)} * 3.3) AS int) AS percentile_distance_{p}" for p in range(0, 120, 20))
+       + ", ".join(f"round(trunc({_disc('alighting_distance_to_next_stop', p)}) * 3.3, 6) AS percentile_distance_{p}" for p in range(0, 120, 20))
        + ", round(CAST(100.0 * count(*) / sum(count(*)) OVER () AS double), 4) AS percent_journeys FROM lone WHERE is_platform = 'Y' GROUP BY is_single_stop_ride, alight_at_next_start_location")
 def _(w):
     df = compare.single_leg_summary(w.lone.where("is_platform = 'Y'"))
-    return df.selectExpr(*[c for c in df.columns if c != "percent_journeys"], "round(CAST(percent_journeys AS double), 4) AS percent_journeys")
+    feet = [c for c in df.columns if c.startswith("percentile_distance")]
+    rest = [c for c in df.columns if c not in feet and c != "percent_journeys"]
+    return df.selectExpr(*rest, *r6(*feet), "round(CAST(percent_journeys AS double), 4) AS percent_journeys")
 
 
 @query("K14_single_leg_flags", "SELECT journey_id, is_null_journey, is_single_stop_ride, alight_at_next_start_location FROM lone")
@@ -805,6 +818,33 @@ def _(w):
     )
 
 
+@query("J14_K15_platform_runs", f"""SELECT coalesce(c.line_id, f.line_id) AS line_id, c.n AS n_control, f.n AS n_fixed,
+ round(c.mean_confidence, 6) AS mean_confidence_control, round(f.mean_confidence, 6) AS mean_confidence_fixed,
+ round(c.percentage, 6) AS percentage_control, round(f.percentage, 6) AS percentage_fixed
+FROM ({_SHARES.format("(SELECT * FROM c_lone WHERE line_id IN (200, 100, 90, 190, 290)) l")}) c
+FULL JOIN ({_SHARES.format("(SELECT * FROM lone WHERE line_id IN (200, 100, 90, 190, 290) AND card_id IN (SELECT card_id FROM c_lone WHERE line_id IN (200, 100, 90, 190, 290))) l")}) f
+ON f.line_id = c.line_id""")
+def _(w):
+    return compare.compare_runs(w.control_lone, w.lone).selectExpr(
+        "line_id", "n_control", "n_fixed",
+        *r6("mean_confidence_control", "mean_confidence_fixed", "percentage_control", "percentage_fixed"),
+    )
+
+
+_BY_LINES = "SELECT n_platform_lines, count(*) AS n, " + ", ".join(f"round({_disc('confidence_next', p)}, 6) AS percentile_{p}" for p in range(0, 120, 20)) + (
+    " FROM {0} l JOIN (SELECT stop_id, count(DISTINCT line_id) AS n_platform_lines FROM following"
+    " WHERE line_id IN (200, 100, 190, 90, 290) GROUP BY stop_id) q ON q.stop_id = l.stop_id GROUP BY n_platform_lines"
+)
+_BOTH = ["n", *(f"percentile_{p}" for p in range(0, 120, 20))]
+
+
+@query("J14_K16_runs_by_lines", "SELECT c.n_platform_lines, " + ", ".join(f"c.{x} AS {x}_control, f.{x} AS {x}_fixed" for x in _BOTH)
+       + f" FROM ({_BY_LINES.format('c_lone')}) c JOIN ({_BY_LINES.format('lone')}) f ON f.n_platform_lines = c.n_platform_lines")
+def _(w):
+    df = compare.compare_by_platform_lines(w.control_lone, w.lone, w.following)
+    return df.selectExpr("n_platform_lines", "n_control", "n_fixed", *r6(*(f"{x}_{s}" for x in _BOTH[1:] for s in ("control", "fixed"))))
+
+
 @query("K17_run_checks", """SELECT 'single_leg_journeys' AS check, count(DISTINCT journey_id) AS n FROM lone
  UNION ALL SELECT 'duplicate_events', count(*) FROM (SELECT 1 FROM rider_events WHERE event IN ('BOARDED', 'ALIGHTED') GROUP BY card_id, dt_s, journey_id HAVING count(*) > 1) q
  UNION ALL SELECT 'same_stop_trips', count(*) FILTER (stop_id = stop_id_next) FROM lone""")
@@ -908,14 +948,16 @@ def _(w):
 @query("S1_parquet_pattern", "SELECT event_id, stop_id FROM fx_taps")
 def _(w):
     out = scratch(w)
-    w.raw("taps").select("event_id", "stop_id").write.mode("overwrite").option("compression", "gzip").parquet(f"{out}/taps")
+    rows = w.raw("taps").select("event_id", "stop_id")
+    rows.write.option("compression", "gzip").parquet(f"{out}/taps")
+    rows.write.mode("append").option("compression", "snappy").parquet(f"{out}/taps")  # must not be read
     return readers.read_parquet(w.spark, f"{out}/taps", "*.gz.parquet")
 
 
 @query("S2_S10_landed_feed", "SELECT trip_id, route_id, '2024-01-16' AS release_date FROM fx_trips")
 def _(w):
     out = scratch(w)
-    w.raw("trips").coalesce(1).write.mode("overwrite").option("header", True).csv(f"{out}/text/trips.txt")
+    w.raw("trips").write.mode("overwrite").option("header", True).csv(f"{out}/text/trips.txt")
     schema = "trip_id int, route_id string, service_id string, direction_id int, block_id int"
     sinks.land_release(w.spark, f"{out}/text/trips.txt", f"{out}/feed", "trips", "2024-01-16", schema)
     return readers.read_feed(w.spark, f"{out}/feed", "trips", landed=True).selectExpr(

@@ -70,7 +70,7 @@ def single_leg_trips(ahead: DataFrame) -> DataFrame:
 
 
 def single_leg_summary(trips: DataFrame) -> DataFrame:
-    """Count, share and distance quantiles (feet) by the flags.
+    """Count, share and distance quantiles by the flags: whole meters, turned to feet.
 
     The share comes from a window over the few grouped rows.
     """
@@ -79,7 +79,7 @@ def single_leg_summary(trips: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("n_journeys"), *quantiles
     )
     feet = {
-        c: (F.col(c) * FEET_PER_METER).cast("int") for c in grouped.columns if c.startswith("percentile_distance")
+        c: F.col(c).cast("int") * FEET_PER_METER for c in grouped.columns if c.startswith("percentile_distance")
     }
     total = F.sum("n_journeys").over(Window.partitionBy())
     return grouped.withColumns(feet).withColumn(
@@ -104,6 +104,23 @@ def compare_line_shares(control: DataFrame, fixed: DataFrame) -> DataFrame:
     return sides[0].join(sides[1], "line_id", "full_outer")
 
 
+def compare_runs(control: DataFrame, fixed: DataFrame, lines: Sequence[int] = PLATFORM_REPORT_LINES) -> DataFrame:
+    """Line shares of two runs' single-leg trips, as a full merge: platform lines only, the fixed run
+    limited to cards of the control run's trips."""
+    before = control.where(F.col("line_id").isin(*lines))
+    after = fixed.where(F.col("line_id").isin(*lines)).join(before.select("card_id").distinct(), "card_id", "left_semi")
+    return compare_line_shares(line_shares(before), line_shares(after))
+
+
+def compare_by_platform_lines(control: DataFrame, fixed: DataFrame, following: DataFrame) -> DataFrame:
+    """Confidence quantiles by number of platform lines of two runs, for numbers that both have."""
+    sides = []
+    for name, trips in (("control", control), ("fixed", fixed)):
+        figures = confidence_by_platform_lines(trips, following)
+        sides.append(figures.withColumnsRenamed({c: f"{c}_{name}" for c in figures.columns if c != "n_platform_lines"}))
+    return sides[0].join(sides[1], "n_platform_lines")
+
+
 def of_cards_in(events: DataFrame, control: DataFrame) -> DataFrame:
     """Events of the control run's cards; a card without events has one row of nulls."""
     return events.join(control.select("card_id").distinct(), "card_id", "right")

@@ -41,10 +41,18 @@ EVENT_COLUMNS = (
 
 
 def attach_choices(legs: DataFrame, chosen: DataFrame) -> DataFrame:
-    """The chosen ride of each leg joined to the leg's own columns."""
-    from_choice = set(chosen.columns) - {"card_id", "datetime"}
-    own = [c for c in legs.columns if c not in from_choice]
-    return legs.select(*own).join(chosen, ["card_id", "datetime"])
+    """Every leg with the ride chosen for it; legs that no ride was looked for stay, without one.
+
+    A tap without a readable time or line has no candidates. Its own columns
+    are kept, and the rules then give the reasons.
+    """
+    ride = chosen.withColumnsRenamed({c: f"__{c}" for c in chosen.columns})
+    on = (F.col("card_id") == F.col("__card_id")) & (F.col("datetime") == F.col("__datetime"))
+    both = legs.join(ride, on, "left")
+    taken = {c: F.col(f"__{c}") for c in chosen.columns if c not in legs.columns}
+    found = F.col("__card_id").isNotNull()
+    shared = {c: F.when(found, F.col(f"__{c}")).otherwise(F.col(c)) for c in chosen.columns if c in legs.columns}
+    return both.withColumns(taken | shared).select(*dict.fromkeys([*legs.columns, *chosen.columns]))
 
 
 def _card() -> "Window":

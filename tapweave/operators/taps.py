@@ -70,16 +70,16 @@ def tag_unwanted_operators(df: DataFrame, names: Sequence[str]) -> DataFrame:
 def select_months(df: DataFrame, column: str, year_months: Sequence[Sequence[int]] | int = -1) -> DataFrame:
     """Rows of the listed ``(year, month)`` pairs, or of the latest month present for -1.
 
-    The latest month is a one-row subquery, so nothing is fetched to the driver.
+    The latest month is a scalar subquery: nothing is fetched to the driver,
+    and a table partitioned by the column is pruned by it.
     """
     if isinstance(year_months, (list, tuple)):
         firsts = [F.make_date(F.lit(y), F.lit(m), F.lit(1)) for y, m in year_months]
         return df.where(F.trunc(column, "MM").isin(*firsts))
     if year_months != -1:
         raise ValueError(f"expected (year, month) pairs or -1, got {year_months!r}")
-    latest = df.agg(F.trunc(F.max(column), "MM").alias("__month"))
-    inside = (F.col(column) >= F.col("__month")) & (F.col(column) < F.add_months("__month", 1))
-    return df.join(F.broadcast(latest), inside).drop("__month")
+    latest = df.agg(F.trunc(F.max(F.col(column).cast("date")), "MM")).scalar()
+    return df.where((F.col(column) >= latest) & (F.col(column) < F.add_months(latest, 1)))
 
 
 # Columns that make the order of taps of one card total. A unique row id, when

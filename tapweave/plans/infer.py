@@ -91,14 +91,17 @@ def events_of(judged: DataFrame, runs: DataFrame, s: Settings) -> DataFrame:
     return journeys.tag_loops(events, s.loop_meters)
 
 
-def infer(prepared: Prepared, settings: Settings | None = None, strict: bool = False) -> Inferred:
+def infer(prepared: Prepared, settings: Settings | None = None, strict: bool = True) -> Inferred:
     """Rider events, failed events and metrics.
 
-    ``strict`` fails the run when a rider event has a null.
+    ``strict`` fails the run when a rider event has a null; events are checked
+    as written, so nothing is computed twice.
     """
     s = settings or Settings()
     judged, runs = judged_legs(prepared, s)
     events = events_of(judged, runs, s)
+    if strict and s.staged:
+        events = stage(events, "checked")
     if strict:
         journeys.require_complete(events)
     events = journeys.add_start_date(journeys.drop_odd_sequences(events))

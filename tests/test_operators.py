@@ -435,3 +435,29 @@ def test_calendar(spark):
     df = spark.createDataFrame([("A", 20240130, 20240202), ("B", 20240102, 20240101)], "service_id string, start_date int, end_date int")
     got = {r.service_id: r.valid_dates for r in schedule.calendar_dates_of_services(df).collect()}
     assert got["A"] == [date(2024, 1, 30), date(2024, 1, 31), date(2024, 2, 1), date(2024, 2, 2)] and got["B"] == []
+
+
+def test_legs_without_candidates_stay(spark):
+    from tapweave.operators.journeys import attach_choices
+
+    legs = spark.sql(
+        "SELECT * FROM VALUES ('A', timestamp'2024-01-01 08:00:00', 4, 1), ('A', CAST(NULL AS timestamp), 4, 2),"
+        " ('B', timestamp'2024-01-01 09:00:00', CAST(NULL AS int), 3) t(card_id, datetime, line_id, stop_id)"
+    )
+    chosen = spark.sql(
+        "SELECT 'A' AS card_id, timestamp'2024-01-01 08:00:00' AS datetime, CAST(NULL AS int) AS stop_id, 7 AS run_id"
+    )
+    out = attach_choices(legs, chosen)
+    assert sorted(out.columns) == ["card_id", "datetime", "line_id", "run_id", "stop_id"]
+    got = {(r.card_id, r.line_id, r.stop_id, r.run_id) for r in out.collect()}
+    assert got == {("A", 4, None, 7), ("A", 4, 2, None), ("B", None, 3, None)}
+
+
+def test_latest_month_prunes_partitions(spark, tmp_path):
+    path = str(tmp_path / "by_date")
+    spark.sql("SELECT id, date_add(date'2024-01-01', CAST(id AS int)) AS day FROM range(70)").write.partitionBy("day").parquet(path)
+    latest = taps.select_months(spark.read.parquet(path), "day")
+    assert latest.count() == 10
+    plan = latest._jdf.queryExecution().executedPlan().toString()
+    scan = next(line for line in plan.splitlines() if "PartitionFilters" in line)
+    assert "NestedLoop" not in plan and "subquery" in scan.split("PartitionFilters")[1].split("PushedFilters")[0].lower()

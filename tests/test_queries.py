@@ -6,9 +6,9 @@ import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 from checks.compare_all import compare, duck
+from checks.queries import ORACLES, QUERIES
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-TEXTS = oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -17,12 +17,13 @@ def con():
 
 
 def test_every_query_has_its_sql():
-    assert queries().keys() == TEXTS.keys()
+    assert QUERIES.keys() == ORACLES.keys()
+    assert QUERIES.keys() <= queries().keys() and ORACLES.keys() <= oracle_sql().keys()
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, con, name):
-    ok, note = compare(spark, con, name, queries()[name], TEXTS.get(name), SF)
+    ok, note = compare(spark, con, name, QUERIES[name], ORACLES[name], SF)
     assert ok, note
 
 

@@ -54,10 +54,11 @@ class Settings:
     allow_interlining: bool = True
     allow_no_stops: bool = False
     keep_first_stop: bool = False
-    # scale: a group above ``hot_rows`` rows is cut into slices of
-    # ``slice_seconds``; None switches the check off
-    hot_rows: int | None = 2_000_000
+    # scale: length of the slices that cards, and the groups of visits, are cut into
     slice_seconds: int = 900
+    window_seconds: int = 3600
+    # scale: a run has one task for every so many pairs of its boardings and stops
+    task_pairs: int = 1_000_000
     # write the tables used several times (see functions/stage.py)
     staged: bool = True
 

@@ -1,9 +1,13 @@
 """Row windows that survive a hot key.
 
 ``near_window`` and ``running_sum`` give exactly what a plain window over
-``keys`` gives. When a table of hot keys is passed, groups under those keys are
-cut into time slices that are computed apart; rows near a cut are computed from
-the few border rows of all slices. Without hot keys they are plain windows.
+``keys`` gives. Every group is cut into time slices that are computed apart;
+rows near a cut are computed from the few border rows of all slices. The form
+is the same at any size. Keys hold the service date, so a group has a day's
+slices at most and the border rows of a group are few.
+
+A hash of the whole row ends every order: the slices are read twice, and only
+identical rows may change places between two reads.
 """
 
 from __future__ import annotations
@@ -15,35 +19,20 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 _SLICE = "__slice"
-_AT, _OF = "__at", "__of"
-
-
-def hot_keys(df: DataFrame, keys: Sequence[str], rows: int | None) -> DataFrame | None:
-    """Keys with more than ``rows`` rows, or None when there are none.
-
-    Runs one job: a count with map-side combine over the key columns only. At
-    most ``count(df) / rows`` keys can come out, which bounds the broadcast in
-    ``_sliced``.
-    """
-    if rows is None:
-        return None
-    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"))
-    hot = counted.where(F.col("__rows") > rows).drop("__rows")
-    return None if hot.isEmpty() else hot
+_AT, _OF, _TIE = "__at", "__of", "__tie"
 
 
-def left_lookup(df: DataFrame, keys: Sequence[str], table: DataFrame, hint: bool = False) -> DataFrame:
+def left_lookup(df: DataFrame, keys: Sequence[str], table: DataFrame) -> DataFrame:
     """Left join of ``table`` (unique on ``keys``) where null keys match too."""
     named = {k: f"__k_{k}" for k in keys}
     table = table.withColumnsRenamed(named)
     on = reduce(lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(v)) for k, v in named.items()))
-    return df.join(F.broadcast(table) if hint else table, on, "left").drop(*named.values())
+    return df.join(table, on, "left").drop(*named.values())
 
 
-def _sliced(df: DataFrame, keys: Sequence[str], hot: DataFrame, second: Column, width: int) -> DataFrame:
-    marks = hot.select(*keys, F.lit(True).alias("__hot"))
-    cut = F.when(F.col("__hot"), F.coalesce(F.floor(second / width), F.lit(-1)))
-    return left_lookup(df, keys, marks, hint=True).withColumn(_SLICE, cut).drop("__hot")
+def _sliced(df: DataFrame, second: Column, width: int) -> DataFrame:
+    cut = F.coalesce(F.floor(second / width), F.lit(-1))
+    return df.withColumns({_SLICE: cut, _TIE: F.xxhash64(*df.columns)})
 
 
 def near_window(
@@ -52,29 +41,24 @@ def near_window(
     order: Sequence[Column],
     reach: int,
     columns: Callable[[WindowSpec], dict[str, Column]],
-    hot: DataFrame | None = None,
-    second: Column | None = None,
-    width: int = 900,
+    second: Column,
+    width: int = 3600,
 ) -> DataFrame:
     """Add window columns that look at most ``reach`` rows back or ahead.
 
-    ``second`` is the time the order starts with, used to cut hot groups.
+    ``second`` is the time the order starts with; rows without one come first.
     """
-    if hot is None:
-        return df.withColumns(columns(Window.partitionBy(*keys).orderBy(*order)))
+    order = [*order, F.col(_TIE)]
     inner = Window.partitionBy(*keys, _SLICE).orderBy(*order)
-    every = Window.partitionBy(*keys, _SLICE)
-    placed = _sliced(df, keys, hot, second, width).withColumns(
-        {_AT: F.row_number().over(inner), _OF: F.count(F.lit(1)).over(every)}
-    )
+    whole = inner.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    placed = _sliced(df, second, width).withColumns({_AT: F.row_number().over(inner), _OF: F.count(F.lit(1)).over(whole)})
     from_end = F.col(_OF) - F.col(_AT)
-    cut = F.col(_SLICE).isNotNull()
-    border = cut & ((F.col(_AT) <= reach) | (from_end < reach))
-    nearby = cut & ((F.col(_AT) <= 2 * reach) | (from_end < 2 * reach))
+    border = (F.col(_AT) <= reach) | (from_end < reach)
+    nearby = (F.col(_AT) <= 2 * reach) | (from_end < 2 * reach)
     inside = placed.withColumns(columns(inner)).where(~border)
     outer = Window.partitionBy(*keys).orderBy(*order)
     edges = placed.where(nearby).withColumns(columns(outer)).where(border)
-    return inside.unionByName(edges).drop(_SLICE, _AT, _OF)
+    return inside.unionByName(edges).drop(_SLICE, _AT, _OF, _TIE)
 
 
 def running_sum(
@@ -83,25 +67,20 @@ def running_sum(
     order: Sequence[Column],
     value: Column,
     name: str,
-    hot: DataFrame | None = None,
-    second: Column | None = None,
-    width: int = 900,
+    second: Column,
+    width: int = 3600,
 ) -> DataFrame:
     """Add the sum of ``value`` over the group's rows up to and including this one."""
-    upto = (Window.unboundedPreceding, 0)
-    if hot is None:
-        return df.withColumn(name, F.sum(value).over(Window.partitionBy(*keys).orderBy(*order).rowsBetween(*upto)))
-    base = _sliced(df.withColumn("__v", value), keys, hot, second, width)
-    inner = Window.partitionBy(*keys, _SLICE).orderBy(*order).rowsBetween(*upto)
+    base = _sliced(df.withColumn("__v", value), second, width)
+    inner = Window.partitionBy(*keys, _SLICE).orderBy(*order, _TIE).rowsBetween(Window.unboundedPreceding, 0)
     before = Window.partitionBy(*keys).orderBy(_SLICE).rowsBetween(Window.unboundedPreceding, -1)
-    # one row per slice of a hot key
+    # one row per slice
     offsets = (
-        base.where(F.col(_SLICE).isNotNull())
-        .groupBy(*keys, _SLICE)
+        base.groupBy(*keys, _SLICE)
         .agg(F.sum("__v").alias("__s"))
         .select(*keys, _SLICE, F.coalesce(F.sum("__s").over(before), F.lit(0)).alias("__before"))
     )
     summed = base.withColumn("__in", F.sum("__v").over(inner))
     joined = left_lookup(summed, [*keys, _SLICE], offsets)
     total = F.col("__in") + F.coalesce(F.col("__before"), F.lit(0))
-    return joined.withColumn(name, total).drop("__v", "__in", "__before", _SLICE)
+    return joined.withColumn(name, total).drop("__v", "__in", "__before", _SLICE, _TIE)

@@ -28,39 +28,40 @@ def _stops_ahead(visits: DataFrame) -> DataFrame:
     )
 
 
-def alighting_candidates(
-    boardings: DataFrame, visits: DataFrame, hot_runs: DataFrame | None = None, salts: int = 64
-) -> DataFrame:
+def run_parts(boardings: DataFrame, visits: DataFrame, pairs: int) -> DataFrame:
+    """Parts of each run (``p_date``, ``p_run``): one for every ``pairs`` pairs of its boardings and stops."""
+    keys = ["service_date", "run_id"]
+    taps = boardings.where(F.col("run_id").isNotNull()).groupBy(*keys).agg(F.count(F.lit(1)).alias("taps"))
+    stops = visits.groupBy(*keys).agg(F.count(F.lit(1)).alias("stops"))
+    parts = F.ceil(F.col("taps") * F.col("stops") / pairs).cast("int")
+    return taps.join(stops, keys).select(
+        F.col("service_date").alias("p_date"), F.col("run_id").alias("p_run"), parts.alias("parts")
+    )
+
+
+def alighting_candidates(boardings: DataFrame, visits: DataFrame, pairs: int = 1_000_000) -> DataFrame:
     """Later stops of the boarded run that are reached before the next tap.
 
     Both sides share only date and run, and the rows of one run stay together
     for the scoring that follows. Boardings without a run never match; they get
-    a made-up key each, so that they spread instead of meeting under null. Runs
-    in ``hot_runs`` (``service_date``, ``run_id``) are divided by card over
-    ``salts`` parts, with their stops repeated for each part.
+    a made-up key each, so that they spread instead of meeting under null. A
+    run is divided by card into parts that grow in number with its pairs of
+    boardings and stops, with its stops repeated for each part.
     """
     stray = -1 - F.pmod(F.xxhash64("card_id", "datetime"), F.lit(2**31))
+    parts = run_parts(boardings, visits, pairs)
     left = boardings.withColumns(
         {"run_key": F.coalesce(F.col("run_id"), stray), "run_found": F.col("run_id").isNotNull()}
     )
-    right = _stops_ahead(visits)
-    if hot_runs is None:
-        left, right = left.withColumn("part", F.lit(0)), right.withColumn("a_part", F.lit(0))
-    else:
-        hot = hot_runs.select(F.col("service_date").alias("h_date"), F.col("run_id").alias("h_run"))
-        on_left = (F.col("service_date") == F.col("h_date")) & (F.col("run_id") == F.col("h_run"))
-        left = left.join(F.broadcast(hot), on_left, "left").withColumn(
-            "part", F.when(F.col("h_run").isNotNull(), F.pmod(F.hash("card_id"), F.lit(salts))).otherwise(0)
-        ).drop("h_date", "h_run")
-        on_right = (F.col("a_date") == F.col("h_date")) & (F.col("a_run") == F.col("h_run"))
-        right = right.join(F.broadcast(hot), on_right, "left").withColumn(
-            "a_part",
-            F.explode(
-                F.when(F.col("h_run").isNotNull(), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(
-                    F.array(F.lit(0))
-                )
-            ),
-        ).drop("h_date", "h_run")
+    of_left = (F.col("service_date") == F.col("p_date")) & (F.col("run_key") == F.col("p_run"))
+    left = left.join(parts, of_left, "left").withColumn(
+        "part", F.pmod(F.hash("card_id"), F.coalesce(F.col("parts"), F.lit(1)))
+    ).drop("p_date", "p_run", "parts")
+    # stops of runs that nobody boarded match nothing
+    of_right = (F.col("a_date") == F.col("p_date")) & (F.col("a_run") == F.col("p_run"))
+    right = _stops_ahead(visits).join(parts, of_right).withColumn(
+        "a_part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
+    ).drop("p_date", "p_run", "parts")
     on = (
         (F.col("service_date") == F.col("a_date"))
         & (F.col("run_key") == F.col("a_run"))
@@ -72,8 +73,7 @@ def alighting_candidates(
     )
     # Partitioned ahead of the join, whatever join is chosen: the rows multiply
     # after this shuffle and stay in place for all windows of the run.
-    keys = ["service_date", "run_key"] + (["part"] if hot_runs is not None else [])
-    return left.repartition(*keys).join(right, on, "left").drop("a_date", "a_run", "a_part", "run_found")
+    return left.repartition("service_date", "run_key", "part").join(right, on, "left").drop("a_date", "a_run", "a_part", "run_found")
 
 
 def add_transfer_walk(candidates: DataFrame, speed: float) -> DataFrame:

@@ -32,7 +32,7 @@ def trip_ends(visits: DataFrame) -> DataFrame:
     )
 
 
-def link_blocks(ends: DataFrame, hot: DataFrame | None = None, width: int = 900) -> DataFrame:
+def link_blocks(ends: DataFrame, width: int = 3600) -> DataFrame:
     """The next trip of the block, and whether the vehicle interlines with it.
 
     It does when it starts where this trip ends and the route changes.
@@ -43,7 +43,6 @@ def link_blocks(ends: DataFrame, hot: DataFrame | None = None, width: int = 900)
         [F.col("start_datetime"), F.col("trip_id")],
         1,
         lambda w: {"__n": F.lead(F.struct("trip_id", "route_id", "start_stop_id")).over(w)},
-        hot,
         epoch("start_datetime"),
         width,
     )
@@ -57,7 +56,7 @@ def link_blocks(ends: DataFrame, hot: DataFrame | None = None, width: int = 900)
     ).drop("__n")
 
 
-def chain_trips(blocks: DataFrame, hot: DataFrame | None = None, width: int = 900) -> DataFrame:
+def chain_trips(blocks: DataFrame, width: int = 3600) -> DataFrame:
     """``interlining_trip_id`` for every trip.
 
     Links only join neighbours of a block, so a chain is a run of rows between
@@ -69,9 +68,9 @@ def chain_trips(blocks: DataFrame, hot: DataFrame | None = None, width: int = 90
     marked = near_window(
         blocks, BLOCK_KEYS, order, 1,
         lambda w: {"__break": F.when(F.lag("interlines_with_trip_id").over(w).isNull(), 1).otherwise(0)},
-        hot, second, width,
+        second, width,
     )
-    runs = running_sum(marked, BLOCK_KEYS, order, F.col("__break"), "__run", hot, second, width)
+    runs = running_sum(marked, BLOCK_KEYS, order, F.col("__break"), "__run", second, width)
     chains = runs.groupBy(*BLOCK_KEYS, "__run").agg(
         F.array_sort(F.collect_list(F.struct("start_datetime", "trip_id"))).alias("c")
     )
@@ -96,8 +95,7 @@ def insert_chains(
     chains: DataFrame | None,
     allow: bool = True,
     keep_first_stop: bool = False,
-    hot: DataFrame | None = None,
-    width: int = 900,
+    width: int = 3600,
 ) -> DataFrame:
     """Visits with chained trips merged into one long trip.
 
@@ -134,7 +132,7 @@ def insert_chains(
             "__prev": F.lag("stop_id").over(w),
             "__next": F.lead(F.struct("stop_id", *departures)).over(w),
         },
-        hot, second, width,
+        second, width,
     )
     on_chain = F.col("trip_type") == INTERLINE
     meets = on_chain & F.coalesce(F.col("__next.stop_id") == F.col("stop_id"), F.lit(False))
@@ -150,7 +148,7 @@ def insert_chains(
     kept = merged.where(~on_chain | fresh)
     counted = running_sum(
         kept, keys, [F.col("arrive_datetime"), F.col("__leg_trip"), F.col("stop_sequence")],
-        F.lit(1), "__place", hot, second, width,
+        F.lit(1), "__place", second, width,
     )
     place = F.when(on_chain, F.col("__place").cast("int")).otherwise(F.col("stop_sequence"))
     return counted.withColumn("stop_sequence", place).drop("__prev", "__next", "__place", "__leg_trip")

@@ -134,7 +134,7 @@ def add_stop_locations(visits: DataFrame, stops: DataFrame) -> DataFrame:
 
 
 def merge_repeated_stops(
-    visits: DataFrame, hot: DataFrame | None = None, width: int = 900
+    visits: DataFrame, width: int = 3600
 ) -> DataFrame:
     """Of consecutive visits of one stop within a trip keep the last.
 
@@ -146,7 +146,6 @@ def merge_repeated_stops(
         [F.col("arrive_datetime"), F.col("stop_sequence")],
         1,
         lambda w: {"__following": F.lead("stop_id").over(w)},
-        hot,
         epoch("arrive_datetime"),
         width,
     )
@@ -157,7 +156,7 @@ def merge_repeated_stops(
 HEADWAY_KEYS = ["route_id", "stop_id", "service_date", "direction_id"]
 
 
-def add_headways(visits: DataFrame, hot: DataFrame | None = None, width: int = 900) -> DataFrame:
+def add_headways(visits: DataFrame, width: int = 3600) -> DataFrame:
     """Mean seconds between vehicles, over two visits back and ahead, not below 60.
 
     Visits without any interval in reach take the first interval of their
@@ -169,24 +168,19 @@ def add_headways(visits: DataFrame, hot: DataFrame | None = None, width: int = 9
     gaps = near_window(
         visits, HEADWAY_KEYS, order, 1,
         lambda w: {"arrival_delta": second - F.lag(second).over(w)},
-        hot, second, width,
+        second, width,
     )
     means = near_window(
         gaps, HEADWAY_KEYS, order, 2,
         lambda w: {"__mean": F.avg("arrival_delta").over(w.rowsBetween(-2, 2))},
-        hot, second, width,
+        second, width,
     )
-    if hot is None:
-        whole = Window.partitionBy(*HEADWAY_KEYS).orderBy(*order).rowsBetween(
-            Window.unboundedPreceding, Window.unboundedFollowing
-        )
-        means = means.withColumn("__first", F.first("arrival_delta", ignorenulls=True).over(whole))
-    else:
-        known = gaps.where(F.col("arrival_delta").isNotNull())
-        firsts = known.groupBy(*HEADWAY_KEYS).agg(
-            F.min_by("arrival_delta", F.struct(*order)).cast("double").alias("__first")
-        )
-        means = left_lookup(means, HEADWAY_KEYS, firsts)
+    # null keys match too: a missing direction is a group like any other
+    known = gaps.where(F.col("arrival_delta").isNotNull())
+    firsts = known.groupBy(*HEADWAY_KEYS).agg(
+        F.min_by("arrival_delta", F.struct(*order)).cast("double").alias("__first")
+    )
+    means = left_lookup(means, HEADWAY_KEYS, firsts)
     mean = F.col("__mean")
     headway = F.when(mean < 60, F.lit(60.0)).otherwise(F.coalesce(mean, F.col("__first").cast("double")))
     return means.withColumn("mean_boarding_interval_seconds", headway).drop("__mean", "__first")

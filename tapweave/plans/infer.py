@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from tapweave.config import PLATFORM_LINE, Settings
 from tapweave.functions.stage import stage
-from tapweave.functions.windows import hot_keys
 from tapweave.operators import alighting, boarding, interline, journeys, metrics, taps, visits
 from tapweave.plans.prepare import Prepared
 
@@ -24,13 +23,8 @@ class Inferred:
 
 def chained_visits(prepared: Prepared, tapped: DataFrame, s: Settings) -> DataFrame:
     seen = visits.keep_tapped_dates(prepared.visits, tapped)
-    hot = None
-    if s.allow_interlining:
-        keyed = seen.select("service_date", "trip_id").join(prepared.chains, ["service_date", "trip_id"])
-        keyed = keyed.withColumn("run_id", interline.run_number(F.col("interlining_trip_id")))
-        hot = hot_keys(keyed, ["service_date", "run_id"], s.hot_rows)
     return interline.insert_chains(
-        seen, prepared.chains, s.allow_interlining, s.keep_first_stop, hot, s.slice_seconds
+        seen, prepared.chains, s.allow_interlining, s.keep_first_stop, s.window_seconds
     )
 
 
@@ -58,11 +52,7 @@ def choose_rides(candidates: DataFrame, runs: DataFrame, s: Settings) -> DataFra
     Stops are joined, scored and reduced under the partitioning of the run;
     only the winners per run are shuffled on, by card.
     """
-    hot = None
-    if s.staged:
-        # the candidates are a written table here, so counting their keys is cheap
-        hot = hot_keys(candidates.where(F.col("run_id").isNotNull()), ["service_date", "run_id"], s.hot_rows)
-    reached = alighting.alighting_candidates(candidates, runs, hot)
+    reached = alighting.alighting_candidates(candidates, runs, s.task_pairs)
     walked = alighting.add_transfer_walk(reached, s.walking_speed).drop(*_BEFORE_SCORING)
     scored = alighting.add_alighting_probability(alighting.add_travel_times(walked), s.allow_no_stops)
     best = alighting.best_stop_per_run(scored.drop(*_AFTER_SCORING)).repartition("card_id")

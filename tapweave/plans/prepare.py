@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame
 
 from tapweave.config import VISIT_SOURCE, Settings
 from tapweave.functions.stage import stage
-from tapweave.functions.windows import hot_keys
 from tapweave.operators import interline, taps, visits
 
 
@@ -47,18 +46,15 @@ def located_visits(
 
 def prepare_visits(located: DataFrame, s: Settings) -> DataFrame:
     """Merged visits with headways on original routes, lines aliased after that."""
-    hot = hot_keys(located, ["service_date", "trip_id"], s.hot_rows)
-    df = visits.merge_repeated_stops(located, hot, s.slice_seconds)
-    hot = hot_keys(located, visits.HEADWAY_KEYS, s.hot_rows)
-    df = visits.add_headways(df, hot, s.slice_seconds)
+    df = visits.merge_repeated_stops(located, s.window_seconds)
+    df = visits.add_headways(df, s.window_seconds)
     return visits.add_hour(taps.alias_lines(df, s.line_aliases, "route_id"))
 
 
 def prepare_chains(located: DataFrame, s: Settings) -> DataFrame:
     ends = interline.trip_ends(located)
-    hot = hot_keys(ends, interline.BLOCK_KEYS, s.hot_rows)
-    blocks = interline.link_blocks(ends, hot, s.slice_seconds)
-    return interline.chain_trips(blocks, hot, s.slice_seconds)
+    blocks = interline.link_blocks(ends, s.window_seconds)
+    return interline.chain_trips(blocks, s.window_seconds)
 
 
 def prepare(
@@ -77,7 +73,7 @@ def prepare(
     s = settings or Settings()
     keep = stage if s.staged else (lambda df, _: df)
     tapped = keep(prepare_taps(raw_taps, s, strict), "taps")
-    # used by both the visits and the chains, and counted for hot keys
+    # used by both the visits and the chains
     located = keep(located_visits(raw_visits, trips, stops, tapped, s, strict), "located")
     return Prepared(
         tapped, keep(prepare_visits(located, s), "visits"), keep(prepare_chains(located, s), "chains")

@@ -1,12 +1,13 @@
-"""The split forms for hot keys give what the plain forms give, and plans keep their shape."""
+"""Sliced windows give what plain windows give."""
 
 from datetime import date, datetime, timedelta
 import random
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tapweave.functions.windows import hot_keys, near_window, running_sum
+from tapweave.functions.windows import near_window, running_sum
 from tapweave.operators import interline, visits
 
 T0 = datetime(2024, 1, 5)
@@ -23,12 +24,6 @@ def rows(spark):
     return spark.createDataFrame(data, "k string, ts timestamp, id int, v int").cache()
 
 
-def test_hot_keys(rows):
-    assert hot_keys(rows, ["k"], None) is None
-    assert hot_keys(rows, ["k"], 10_000) is None
-    assert sorted(str(r.k) for r in hot_keys(rows, ["k"], 100).collect()) == ["None", "hot"]
-
-
 @pytest.mark.parametrize("width", [60, 900, 100_000])
 def test_near_window_equals_plain(rows, width):
     order = [F.col("ts"), F.col("id")]
@@ -40,15 +35,15 @@ def test_near_window_equals_plain(rows, width):
             "mean": F.round(F.avg("v").over(w.rowsBetween(-2, 2)), 9),
         }
 
-    plain = near_window(rows, ["k"], order, 2, columns)
-    split = near_window(rows, ["k"], order, 2, columns, hot_keys(rows, ["k"], 100), F.col("ts").cast("long"), width)
+    plain = rows.withColumns(columns(Window.partitionBy("k").orderBy(*order)))
+    split = near_window(rows, ["k"], order, 2, columns, F.col("ts").cast("long"), width)
     assert sorted(plain.collect(), key=lambda r: r.id) == sorted(split.collect(), key=lambda r: r.id)
 
 
 def test_running_sum_equals_plain(rows):
     order = [F.col("ts"), F.col("id")]
-    plain = running_sum(rows, ["k"], order, F.col("v"), "s")
-    split = running_sum(rows, ["k"], order, F.col("v"), "s", hot_keys(rows, ["k"], 100), F.col("ts").cast("long"), 600)
+    plain = rows.withColumn("s", F.sum("v").over(Window.partitionBy("k").orderBy(*order)))
+    split = running_sum(rows, ["k"], order, F.col("v"), "s", F.col("ts").cast("long"), 600)
     assert sorted(plain.collect(), key=lambda r: r.id) == sorted(split.collect(), key=lambda r: r.id)
 
 
@@ -76,31 +71,33 @@ def same(a, b):
     assert sorted(map(str, a.select(sorted(a.columns)).collect())) == sorted(map(str, b.select(sorted(a.columns)).collect()))
 
 
+ONE_SLICE = 10**10
+
+
 def test_visits_with_hot_trip_and_stop(located):
-    hot = hot_keys(located, ["service_date", "trip_id"], 100)
-    assert hot is not None
-    plain = visits.merge_repeated_stops(located)
-    same(plain, visits.merge_repeated_stops(located, hot, 300))
-    hot = hot_keys(plain, visits.HEADWAY_KEYS, 50)
-    assert hot is not None
-    same(visits.add_headways(plain), visits.add_headways(plain, hot, 300))
+    whole = visits.merge_repeated_stops(located, ONE_SLICE)
+    assert whole.count() < located.count()
+    same(whole, visits.merge_repeated_stops(located, 300))
+    same(visits.add_headways(whole, ONE_SLICE), visits.add_headways(whole, 300))
 
 
 def test_headways_without_arrival_in_hot_stop(located):
     gaps = located.withColumn("arrive_datetime", F.when(F.col("stop_sequence") > 3, F.col("arrive_datetime")))
-    hot = hot_keys(gaps, visits.HEADWAY_KEYS, 50)
-    same(visits.add_headways(gaps), visits.add_headways(gaps, hot, 300))
+    same(visits.add_headways(gaps, ONE_SLICE), visits.add_headways(gaps, 300))
+
+
+def test_equal_times_keep_every_row(located):
+    # ties in the order may not let a row fall between the two parts of a window
+    tied = located.withColumn("arrive_datetime", F.date_trunc("hour", "arrive_datetime"))
+    twice = tied.unionByName(tied)
+    assert visits.add_headways(twice, 60).count() == twice.count()
 
 
 def test_chains_with_hot_block(located):
     ends = interline.trip_ends(located)
-    hot = hot_keys(ends, interline.BLOCK_KEYS, 20)
-    assert hot is not None
-    plain = interline.link_blocks(ends)
-    assert plain.where("interlines_with_trip_id IS NOT NULL").count() > 0
-    same(plain, interline.link_blocks(ends, hot, 300))
-    chains = interline.chain_trips(plain)
-    same(chains, interline.chain_trips(plain, hot, 300))
-    by_run = located.join(chains, ["service_date", "trip_id"]).withColumn("run_id", interline.run_number(F.col("interlining_trip_id")))
-    hot_runs = hot_keys(by_run, ["service_date", "run_id"], 30)
-    same(interline.insert_chains(located, chains), interline.insert_chains(located, chains, hot=hot_runs, width=300))
+    whole = interline.link_blocks(ends, ONE_SLICE)
+    assert whole.where("interlines_with_trip_id IS NOT NULL").count() > 0
+    same(whole, interline.link_blocks(ends, 300))
+    chains = interline.chain_trips(whole, ONE_SLICE)
+    same(chains, interline.chain_trips(whole, 300))
+    same(interline.insert_chains(located, chains, width=ONE_SLICE), interline.insert_chains(located, chains, width=300))

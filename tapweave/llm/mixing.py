@@ -54,16 +54,16 @@ def topic(text: Column) -> Column:
     def many(chars: str, share: float) -> Column:
         return size - F.length(F.translate(text, chars, "")) > size * share
 
-    return (
+    by_size = F.when(size < 500, "note").when(size < 3000, "article").when(size < 12000, "essay").otherwise("book")
+    marked = (
         F.when(many("|", 0.02), "table")
         .when(many("!", 0.02), "shouting")
         .when(many("#$%&*<>=", 0.02), "symbols")
         .when(many("0123456789", 0.05), "data")
-        .when(size < 500, "note")
-        .when(size < 3000, "article")
-        .when(size < 12000, "essay")
-        .otherwise("book")
+        .otherwise(by_size)
     )
+    # most texts have few of all these characters together, which one count tells
+    return F.when(many("|!#$%&*<>=0123456789", 0.02), marked).otherwise(by_size)
 
 
 def uniform(key: str = "doc_id") -> Column:

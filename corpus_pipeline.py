@@ -18,6 +18,9 @@ from tapweave.llm.queries import held_out
 # Jaccard similarity of five-word shingles from which documents are near copies.
 NEAR = neardup.NearDup(percent=80, bands=50, rows=7)
 
+# Half of the tokens that reach the mixing; what the mixture has too little of is kept whole.
+MIX = mixing.Mix(budget=0.5)
+
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier does not reject."""
@@ -36,8 +39,8 @@ def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A sample with the raked shares of source, language and topic."""
-    return mixing.sample(docs, mixing.Mix(), Stages(spark))
+    """Half of the tokens, with the raked shares of source, language and topic as far as there are tokens for them."""
+    return mixing.sample(docs, MIX, Stages(spark))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

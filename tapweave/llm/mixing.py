@@ -3,9 +3,15 @@
 Documents are counted into cells of source, language and topic. The token
 weights of the cells are raked: one margin after the other is scaled to its
 target shares, in several sweeps. A cell's weight per token is then a sampling
-probability: the largest one becomes 1, and a document stays if a hash of its id
-falls below its probability. In expectation the kept tokens have the raked
-margins, and no document is repeated.
+probability, and a document stays if a hash of its id falls below it. No document
+is repeated.
+
+Without ``Mix.budget`` the largest probability becomes 1, so in expectation the
+kept tokens have the raked margins exactly, and the scarcest cell says how many
+tokens that are. With a budget (a share of all tokens) a probability is
+``min(1, c * rate)``, ``c`` such that the expected tokens meet the budget. Cells
+at 1 stay whole, and the raking lets the others of their margin values make up
+for what these lack; a value without enough tokens stays short of its target.
 
 Everything is built from DataFrame operations. Only the cells (distinct
 combinations, pre-aggregated in each task) are iterated on; the factors of each
@@ -35,11 +41,13 @@ MARGINS = ("source", "lang", "topic")
 @dataclass(frozen=True)
 class Mix:
     """``temper``: exponent on the natural token shares of a margin, which makes the default
-    targets (1 keeps them, 0 makes all values equal). ``targets`` replaces it for a whole margin."""
+    targets (1 keeps them, 0 makes all values equal). ``targets`` replaces it for a whole margin.
+    ``budget``: share of all tokens to keep; without one, as many as the scarcest cell allows."""
 
     temper: Mapping[str, float] = field(default_factory=lambda: {"source": 0.7, "lang": 0.8, "topic": 0.8})
     targets: Mapping[str, Mapping[str, float]] = field(default_factory=dict)
     sweeps: int = 5
+    budget: float | None = None
 
 
 def tokens(text: Column) -> Column:
@@ -99,7 +107,10 @@ def targets(cells: DataFrame, margin: str, mix: Mix) -> DataFrame:
 
 
 def rake(cells: DataFrame, mix: Mix, stages: Stages) -> DataFrame:
-    """Add ``weight`` (share of the raked mixture) to a written table of cells."""
+    """Add ``weight`` (share of the raked mixture) to a written table of cells.
+
+    With a budget a cell counts with no more than all its tokens while its margins are scaled; ``weight`` is before that limit.
+    """
     total = cells.agg(F.sum("tokens").cast("double")).first()[0] or 1.0
     wanted = {m: stages.write(targets(cells, m, mix), f"target_{m}") for m in MARGINS}
     factors: dict[str, DataFrame] = {}
@@ -112,13 +123,50 @@ def rake(cells: DataFrame, mix: Mix, stages: Stages) -> DataFrame:
 
     for _ in range(mix.sweeps):
         for m in MARGINS:
-            factors.pop(m, None)
-            sums = weighted().groupBy(m).agg(F.sum("weight").alias("now"))
-            factor = wanted[m].join(sums, m).select(m, F.coalesce(F.try_divide(f"target_{m}", "now"), F.lit(0.0)).alias(f"factor_{m}"))
-            factors[m] = stages.write(factor, f"factor_{m}")
+            if mix.budget is None:
+                factors.pop(m, None)
+                sums = weighted().groupBy(m).agg(F.sum("weight").alias("now"))
+                factor = F.try_divide(f"target_{m}", "now")
+            else:
+                sums, factor = _limited(weighted(), m, total * mix.budget)
+            table = wanted[m].join(sums, m).select(m, F.coalesce(factor, F.lit(0.0)).alias(f"factor_{m}"))
+            factors[m] = stages.write(table, f"factor_{m}")
     return weighted().select(*cells.columns, "weight")
 
 
+def _limited(cells: DataFrame, m: str, kept: float) -> tuple[DataFrame, Column]:
+    """Sums by the values of a margin, and the factor that brings what is below its limit to the rest of the target."""
+    limit = F.col("tokens") / F.lit(kept)
+    old = F.col(f"factor_{m}") if f"factor_{m}" in cells.columns else F.lit(1.0)
+    full = F.col("weight") >= limit
+    sums = cells.groupBy(m).agg(
+        F.max(old).alias("old"), F.sum(F.when(full, limit).otherwise(0.0)).alias("full"), F.sum(F.when(full, 0.0).otherwise(F.col("weight"))).alias("free")
+    )
+    target = F.col(f"target_{m}")
+    to_rest = F.when((F.col("free") > 0) & (target > F.col("full")), (target - F.col("full")) / F.col("free"))
+    return sums, F.col("old") * F.coalesce(to_rest, F.try_divide(target, F.col("full") + F.col("free")))
+
+
+def scale(raked: DataFrame, budget: float) -> float:
+    """``c`` for which the sum of min(tokens, c * weight) is ``budget`` times all tokens.
+
+    Each round takes the cells that are full at the last ``c`` as whole and scales the others to the rest,
+    which never overshoots, until no further cell gets full.
+    """
+    tokens, weight = raked.agg(F.sum("tokens"), F.sum("weight")).first()
+    if not tokens or not weight or budget >= 1:
+        return float("inf")
+    c, before = tokens * budget / weight, 0
+    while True:
+        full = F.col("weight") * F.lit(c) >= F.col("tokens")
+        n, whole, free = raked.agg(
+            F.count(F.when(full, 1)), F.coalesce(F.sum(F.when(full, F.col("tokens"))), F.lit(0)), F.sum(F.when(~full, F.col("weight")))
+        ).first()
+        if n == before or not free:
+            return c
+        c, before = max(c, (tokens * budget - whole) / free), n
+
+
 def calibrated(docs: DataFrame, mix: Mix, stages: Stages) -> DataFrame:
     """Add ``tokens``, ``topic``, ``weight`` (of the cell), ``probability`` and ``kept``, named with ``mix_`` in front."""
     told = described(docs)
@@ -127,11 +175,16 @@ def calibrated(docs: DataFrame, mix: Mix, stages: Stages) -> DataFrame:
     )
     cells = stages.write(cells, "cells")
     raked = stages.write(rake(cells, mix, stages).withColumn("rate", F.col("weight") / F.col("tokens")), "raked")
-    most = raked.agg(F.max("rate")).first()[0] or 1.0
+    weight = F.col("weight")
+    if mix.budget is None:
+        most = raked.agg(F.max("rate")).first()[0] or 1.0
+        probability = F.col("rate") / F.lit(most)
+    else:
+        kept = (raked.agg(F.sum("tokens")).first()[0] or 1) * min(1.0, mix.budget)
+        probability = F.least(F.lit(1.0), F.col("rate") * F.lit(scale(raked, mix.budget)))
+        weight = probability * F.col("tokens") / F.lit(float(kept))
     rates = raked.select(
-        *(F.col(m).alias(f"__{m}") for m in MARGINS),
-        F.col("weight").alias("mix_weight"),
-        F.round(F.col("rate") / F.lit(most), 9).alias("mix_probability"),
+        *(F.col(m).alias(f"__{m}") for m in MARGINS), weight.alias("mix_weight"), F.round(probability, 9).alias("mix_probability")
     )
     rates = stages.write(rates, "rates")
     out = told.join(rates, [f"__{m}" for m in MARGINS])

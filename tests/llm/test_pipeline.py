@@ -60,3 +60,17 @@ def test_run_gives_whole_sequences(spark):
     out = corpus_pipeline.run(spark, SF).toPandas()
     assert len(out) and (out["offset"] + out["length"]).max() <= 1024
     assert not out.duplicated(["doc_id", "piece"]).any()
+
+
+def test_mixing_meets_its_budget_whatever_the_rarest_cell(spark):
+    docs = table(spark, SF, "documents")
+    one = docs.limit(1).withColumns({"doc_id": F.lit(-1).cast(docs.schema["doc_id"].dataType), "source": F.lit("new"), "text": F.lit("rare " * 40)})
+    docs = docs.unionByName(one.select(docs.columns))
+    with Stages(spark) as stages:
+        out = stages.write(corpus_pipeline.mixing.calibrated(docs, corpus_pipeline.MIX, stages), "mixed")
+        kept = F.sum(F.col("mix_tokens") * F.col("mix_probability"))
+        everything, expected = out.agg(F.sum("mix_tokens"), kept).first()
+        assert expected == pytest.approx(corpus_pipeline.MIX.budget * everything, rel=1e-6)
+        assert out.where("doc_id = -1").first()["mix_kept"]
+        got = corpus_pipeline.mixed(spark, docs, SF)
+        assert sorted(r[0] for r in got.select("doc_id").collect()) == sorted(r[0] for r in out.where("mix_kept").select("doc_id").collect())

@@ -1,11 +1,12 @@
 """URL filter: rules first, then trust and distrust spread over the graph of hosts.
 
 A rule names a host and a path; it fits the host and its subdomains if the url's
-path starts with the rule's, the longest rule decides. Hosts that rules mostly allow
-are the seeds of a personalised PageRank along links (trust); hosts that rules
-mostly block are the seeds of one against the links (distrust), so a host that
-links to blocked hosts is distrusted. A url without a rule is blocked if its host's
-distrust exceeds ``ratio`` times its trust, else allowed.
+path starts with the rule's, the longest rule decides. Hosts with allowed pages
+are the seeds of a personalised PageRank along links (trust), hosts with blocked
+pages those of one against the links (distrust), each weighted by those pages, so
+a host that links to blocked hosts is distrusted and a host with both kinds of
+pages is a seed of both. A url without a rule is blocked if its host's distrust
+exceeds ``ratio`` times its trust, else allowed.
 
 Link counts are combined in each task before they are shuffled, so a host with a
 third of all pages or links is a handful of rows. Each round of the walk is one
@@ -90,18 +91,9 @@ def host_links(pages: DataFrame) -> DataFrame:
 
 
 def seeds(judged: DataFrame) -> DataFrame:
-    """Seed hosts with their share of all pages of such hosts.
-
-    A host is a trusted seed if rules allow more than half of its pages, a
-    blocked seed if they block more than half; a host with a blocked corner is
-    neither.
-    """
-    verdict = F.col("rule_verdict")
-    by_host = judged.where("host <> ''").groupBy("host").agg(
-        F.count(F.lit(1)).alias("pages"), F.count(F.when(verdict == "allow", 1)).alias("a"), F.count(F.when(verdict == "block", 1)).alias("b")
-    )
-    kind = F.when(F.col("a") * 2 > F.col("pages"), "trust").when(F.col("b") * 2 > F.col("pages"), "distrust")
-    marked = by_host.select(kind.alias("kind"), "host", "pages").where("kind IS NOT NULL")
+    """Share of a host in all pages that rules allow (``trust``) or block (``distrust``)."""
+    kind = F.when(F.col("rule_verdict") == "allow", "trust").otherwise("distrust")
+    marked = judged.where("host <> '' AND rule_verdict IS NOT NULL").groupBy(kind.alias("kind"), "host").agg(F.count(F.lit(1)).alias("pages"))
     totals = {r[0]: r[1] for r in marked.groupBy("kind").agg(F.sum("pages")).collect()}  # two rows at most
     share = F.lit(None).cast("double")
     for name, total in totals.items():

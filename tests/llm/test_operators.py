@@ -123,6 +123,14 @@ def test_rules_and_spread_against_brute_force(spark, stages):
     assert hostgraph.judge(pages.where("false"), stages).collect() == []
 
 
+def test_a_host_with_a_blocked_corner_is_distrusted_in_proportion(spark, stages):
+    rows = [(1, "http://mixed.net/es/a", ""), (2, "http://mixed.net/es/b", ""), *((i, f"http://mixed.net/{i}", "") for i in range(3, 6))]
+    rows += [(6, "http://linker.org/", links("mixed.net")), (7, "http://good.com/", ""), (8, "http://half.net/es/", ""), (9, "http://half.net/", "")]
+    out = {r["page_id"]: r for r in hostgraph.judge(spark.createDataFrame(rows, "page_id bigint, url string, html string"), stages).collect()}
+    assert {out[i]["verdict"] for i in (3, 4, 5, 6, 9)} == {"block"} and out[7]["verdict"] == "allow"
+    assert out[3]["distrust"] == pytest.approx(2 * out[9]["distrust"])  # two blocked pages and one
+
+
 # ---------------------------------------------------------------- top-k
 
 VECTORS = "vec_id bigint, embedding array<float>, label int, score int"

@@ -10,7 +10,9 @@ exceeds ``ratio`` times its trust, else allowed.
 
 Link counts are combined in each task before they are shuffled, so a host with a
 third of all pages or links is a handful of rows. Each round of the walk is one
-join and one sum; walks that reach a host without links end there.
+join and one sum; walks that reach a host without links end there. Rounds go on
+until no host's trust or distrust changes by more than a share of itself, however
+small it is; both are given to twelve significant digits.
 
 Defined results: a null url or one without ``://`` has empty host and path, no
 rule and is allowed; a null html has no links; links inside a host don't count;
@@ -54,10 +56,12 @@ RULES = (
 
 @dataclass(frozen=True)
 class Walk:
-    """``damping``: chance to go on; ``written_every``: rounds between written ranks."""
+    """``damping``: chance to go on; ``rounds``: fixed number of rounds, else until no rank changes by more than
+    ``tolerance`` times itself; ``written_every``: rounds between written ranks, which are compared."""
 
     damping: float = 0.85
-    rounds: int = 12
+    rounds: int | None = None
+    tolerance: float = 1e-6
     written_every: int = 4
     ratio: float = 1.0
 
@@ -101,8 +105,15 @@ def seeds(judged: DataFrame) -> DataFrame:
     return marked.select("kind", "host", share.alias("seed"))
 
 
+def settled(before: DataFrame, now: DataFrame, tolerance: float) -> bool:
+    """Whether both tables have the same hosts and no rank changed by more than its share."""
+    old = before.withColumnRenamed("rank", "old")
+    moved = F.abs(F.col("rank") - F.col("old")) > F.col("rank") * tolerance + 1e-300  # below, doubles have no digits left to settle
+    return now.join(old, ["kind", "host"], "full").where(F.coalesce(moved, F.lit(True))).isEmpty()
+
+
 def propagate(links: DataFrame, start: DataFrame, stages: Stages, walk: Walk = Walk()) -> DataFrame:
-    """host, trust and distrust after the rounds of both walks, which run side by side."""
+    """host, trust and distrust at the end of both walks, which run side by side."""
     forward = links.select(F.lit("trust").alias("kind"), F.col("src").alias("host"), F.col("dst").alias("to"), "links")
     back = links.select(F.lit("distrust").alias("kind"), F.col("dst").alias("host"), F.col("src").alias("to"), "links")
     steps = forward.unionByName(back)
@@ -111,17 +122,23 @@ def propagate(links: DataFrame, start: DataFrame, stages: Stages, walk: Walk = W
     steps = stages.write(steps, "steps")
     start = stages.write(start, "seeds")
     again = start.select("kind", "host", (F.col("seed") * (1 - walk.damping)).alias("rank"))
-    ranks = start.select("kind", "host", F.col("seed").alias("rank"))
-    for i in range(walk.rounds):
+    ranks = written = start.select("kind", "host", F.col("seed").alias("rank"))
+    done = 0
+    while walk.rounds is None or done < walk.rounds:
         came = ranks.join(steps, ["kind", "host"]).select(
             "kind", F.col("to").alias("host"), (F.col("rank") * F.col("chance") * walk.damping).alias("rank")
         )
         ranks = came.unionByName(again).groupBy("kind", "host").agg(F.sum("rank").alias("rank"))
-        if (i + 1) % walk.written_every == 0 or i + 1 == walk.rounds:
-            ranks = stages.write(ranks, "ranks")
+        done += 1
+        if done % walk.written_every == 0 or done == walk.rounds:
+            before, ranks = written, stages.write(ranks, "ranks")
+            written = ranks
+            if walk.rounds is None and settled(before, written, walk.tolerance):
+                break
 
     def of(kind: str) -> Column:
-        return F.round(F.coalesce(F.sum(F.when(F.col("kind") == kind, F.col("rank"))), F.lit(0.0)), 12).alias(kind)
+        mass = F.coalesce(F.sum(F.when(F.col("kind") == kind, F.col("rank"))), F.lit(0.0))
+        return F.format_string("%.11e", mass).cast("double").alias(kind)  # twelve digits, so that the order of sums doesn't show
 
     return ranks.groupBy("host").agg(of("trust"), of("distrust"))
 

@@ -131,6 +131,20 @@ def test_a_host_with_a_blocked_corner_is_distrusted_in_proportion(spark, stages)
     assert out[3]["distrust"] == pytest.approx(2 * out[9]["distrust"])  # two blocked pages and one
 
 
+def test_small_and_far_distrust_counts(spark, stages):
+    seeds = [("distrust", "bad.net", 1e-9), ("distrust", "big.net", 1 - 1e-9), ("trust", "good.com", 1.0)]
+    chain = [(f"far{i}.org", f"far{i - 1}.org" if i else "bad.net", 1) for i in range(20)]
+    fans = [(f"fan{i}.org", "bad.net", 1) for i in range(1000)]
+    hosts = hostgraph.propagate(
+        spark.createDataFrame(chain + fans, "src string, dst string, links long"),
+        spark.createDataFrame(seeds, "kind string, host string, seed double"), stages,
+    )
+    got = {r["host"]: (r["trust"], r["distrust"]) for r in hosts.collect()}
+    one = 0.15 * 1e-9 * 0.85 / 1001
+    assert got["fan7.org"] == pytest.approx((0, one), rel=1e-6, abs=0)
+    assert got["far19.org"] == pytest.approx((0, one * 0.85**19), rel=1e-6, abs=0)
+
+
 # ---------------------------------------------------------------- top-k
 
 VECTORS = "vec_id bigint, embedding array<float>, label int, score int"

@@ -246,6 +246,14 @@ def test_validators_and_context():
     assert near.score > plain.score > pii.spans("invoice 4111111111111111")[0].score
 
 
+def test_a_context_word_reports_a_local_number():
+    def kinds(t):
+        return [s.kind for s in pii.spans(t)]
+
+    assert kinds("call me at 212-555-0187") == ["tel"] and kinds("Phone: (212) 555-0187") == ["tel"]
+    assert kinds("212-555-0187") == [] and kinds("call about order 212-555-0187") == []
+
+
 def test_pii_table(spark):
     docs = spark.createDataFrame(
         [(1, "x a@b.cd 10.0.0.1", "m"), (2, None, "m"), (3, "", "m"), (None, "a@b.cd", "m"), (1, "x a@b.cd 10.0.0.1", "m")],

@@ -43,6 +43,17 @@ AGAINST = ("order", "invoice", "version", "isbn", "page", "serial", "item")
 PRIOR = {"email": 0.8, "ip": 0.5, "card": 0.4, "phone": 0.6, "iban": 0.3, "ssn": 0.35, "tel": 0.35}
 CHECKED = {"email": 0.0, "ip": 0.2, "card": 0.4, "phone": 0.1, "iban": 0.5, "ssn": 0.1, "tel": 0.0}
 NEAR, FAR_OFF = 0.25, -0.2  # what a word for or against adds
+# characters of an international account number by country
+IBAN_SIZES = {
+    code: size
+    for size, codes in {
+        15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+        22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST",
+        26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA",
+        30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+    }.items()
+    for code in codes.split()
+}
 # -----------------------------------------------------------------------------
 
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]+)+")
@@ -50,7 +61,8 @@ _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz01234567
 _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
-_IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
+# only looks ahead, so that every start is proposed; what follows a number may be in capitals too
+_IBAN = re.compile(r"(?<![A-Za-z0-9])(?=([A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30})(?![A-Za-z0-9]))")
 _SSN = re.compile(r"(?<![0-9-])([0-9]{3})-([0-9]{2})-([0-9]{4})(?![0-9-])")
 _TEL = re.compile(r"(?<![0-9+(])(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9])")
 _WORD = re.compile(r"[^\W\d_]+(?:-[^\W\d_]+)?")
@@ -116,6 +128,30 @@ def _base_spans(text: str) -> dict[str, list[tuple[int, int]]]:
     }
 
 
+def ibans(text: str) -> list[tuple[int, int]]:
+    """Leftmost account numbers that end with a group and have the country's size; between them the longest of countries not listed."""
+    proposed = [(m.start(), m[1]) for m in _IBAN.finditer(text)]
+    found: list[tuple[int, int]] = []
+    for listed in (True, False):
+        bounds = [*found, (len(text), len(text))]
+        free = k = 0
+        for start, run in proposed:
+            while bounds[k][1] <= start:
+                k += 1
+            size = IBAN_SIZES.get(run[:2])
+            if start < free or start >= bounds[k][0] or listed != bool(size):
+                continue
+            groups = run.split(" ")
+            for n in range(len(groups), 0, -1):
+                code = "".join(groups[:n])
+                end = start + len(code) + n - 1
+                if end <= bounds[k][0] and (len(code) == size if size else len(code) >= 15) and mod97(code):
+                    found.append((start, end))
+                    free = end
+                    break
+    return sorted(found)
+
+
 def _ssn_ok(m: re.Match) -> bool:
     return m[1] not in ("000", "666") and m[1] < "900" and m[2] != "00" and m[3] != "0000"
 
@@ -134,7 +170,7 @@ def spans(text: str | None, params: PiiParams = PiiParams()) -> list[Span]:
 
     out = [Span(k, s, e, score(k, s), True) for k in BASE for s, e in base[k]]
     proposed = {
-        "iban": [m.span() for m in _IBAN.finditer(text) if mod97(m[0].replace(" ", ""))],
+        "iban": ibans(text),
         "ssn": [m.span() for m in _SSN.finditer(text) if _ssn_ok(m)],
         "tel": [m.span() for m in _TEL.finditer(text)],
     }

@@ -254,6 +254,19 @@ def test_a_context_word_reports_a_local_number():
     assert kinds("212-555-0187") == [] and kinds("call about order 212-555-0187") == []
 
 
+def test_account_numbers_before_and_after_capitals():
+    def found(t):
+        return [t[s.start : s.end] for s in pii.spans(t) if s.kind == "iban"]
+
+    spaced, plain, german = "GB82 WEST 1234 5698 7654 32", "GB82WEST12345698765432", "DE89370400440532013000"
+    assert found(f"{spaced} BIC NWBKGB2L") == [spaced] and found(f"{plain} 2024 due") == [plain] and found(f"{german} EUR 50") == [german]
+    assert found(f"PAY AB12 {spaced} DE89 3704 0044 0532 0130 00 NOW") == [spaced, "DE89 3704 0044 0532 0130 00"]
+    assert found(f"{plain}A") == [] and found(f"x{plain}") == []
+    body = "0" * 11
+    other = next(f"ZZ{k:02}{body}" for k in range(98) if pii.mod97(f"ZZ{k:02}{body}"))  # no size is listed
+    assert found(f"{other} EUR") == [other]
+
+
 def test_pii_table(spark):
     docs = spark.createDataFrame(
         [(1, "x a@b.cd 10.0.0.1", "m"), (2, None, "m"), (3, "", "m"), (None, "a@b.cd", "m"), (1, "x a@b.cd 10.0.0.1", "m")],

@@ -32,6 +32,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -238,6 +239,11 @@ def leaf_pairs(stars: DataFrame, sets: DataFrame, params: NearDup) -> DataFrame:
 
 def groups(docs: DataFrame, stages: Stages, params: NearDup = NearDup()) -> DataFrame:
     """doc_id, n_shingles, component_id and kept (doc_id = component_id) of every row of ``docs``."""
+    return _decided(docs, stages, params).drop("digest")
+
+
+def _decided(docs: DataFrame, stages: Stages, params: NearDup) -> DataFrame:
+    """``groups`` with the digest of the row's set."""
     p = params.percent
     rows = stages.write(sketch(docs, params), "sketch")
     classes = rows.where("digest IS NOT NULL").groupBy("digest")
@@ -276,7 +282,7 @@ def groups(docs: DataFrame, stages: Stages, params: NearDup = NearDup()) -> Data
     by_class = stages.write(placed.join(least, "component").select("digest", "component_id"), "classes")
     out = rows.select("doc_id", F.col("n").cast("long").alias("n_shingles"), "digest").join(by_class, "digest", "left")
     own = F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    out = out.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), own).alias("component_id"))
+    out = out.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), own).alias("component_id"), "digest")
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
@@ -294,8 +300,28 @@ def keep_one(docs: DataFrame, stages: Stages, params: NearDup = NearDup()) -> Da
     """``docs`` without all but one document of each group; its own columns only.
 
     The one with the smallest id stays, of repeated rows with that id all do.
-    Only ids of dropped documents are joined back.
+    Only ids of dropped documents are joined back. Where rows share an id that is
+    dropped with one text and kept with another, the text's set decides.
     """
-    dropped = stages.write(groups(docs, stages, params).where("NOT kept").select("doc_id").distinct(), "dropped")
+    decided = stages.write(_decided(docs, stages, params).select("doc_id", "digest", "kept"), "decided")
+    dropped = stages.write(decided.where("NOT kept").select("doc_id", "digest").distinct(), "dropped")
     sure = likely(docs, dropped, "doc_id", "left_anti")
-    return sure.unionByName(likely(docs, dropped, "doc_id").join(dropped, "doc_id", "left_anti")).select(docs.columns)
+    out = sure.unionByName(likely(docs, dropped, "doc_id").join(dropped, "doc_id", "left_anti"))
+    reused = likely(decided.where("kept"), dropped, "doc_id").join(dropped, "doc_id", "left_semi").select("doc_id").distinct()
+    reused = stages.write(reused, "reused")
+    if not reused.isEmpty():
+        rows = likely(docs, reused, "doc_id").join(reused, "doc_id", "left_semi").withColumn("__digest", _digest(params)("text"))
+        gone = dropped.withColumnRenamed("digest", "__digest")
+        out = out.select(docs.columns).unionByName(rows.join(gone, ["doc_id", "__digest"], "left_anti").select(docs.columns))
+    return out.select(docs.columns)
+
+
+def _digest(params: NearDup):
+    """A function from texts to the digests that ``sketch`` gives their sets."""
+
+    @F.pandas_udf("binary")
+    def digest(texts: pd.Series) -> pd.Series:
+        sets = [shingles(t, params.words) for t in texts]
+        return pd.Series([xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets], index=texts.index, dtype=object)
+
+    return digest

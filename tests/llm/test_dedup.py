@@ -198,6 +198,13 @@ def test_repeated_and_null_ids(spark, stages):
     assert neardup.groups(docs.where("false"), stages).collect() == []
 
 
+def test_a_reused_id_is_dropped_for_its_own_text_only(spark, stages):
+    a, b = (" ".join(f"{c}{i}" for i in range(50)) for c in "ab")
+    rows = [(5, a, "a", 1), (2, a + " end", "a", 2), (5, b, "b", 3), (9, b + " end", "b", 4), (5, None, "c", 5), (5, "a text of its own", "c", 6)]
+    kept = neardup.keep_one(spark.createDataFrame(rows, SCHEMA).withColumn("digest", F.lit(1)), stages).collect()
+    assert sorted(((r["doc_id"], r["text"]) for r in kept), key=repr) == sorted([(2, a + " end"), (5, b), (5, None), (5, "a text of its own")], key=repr)
+
+
 def test_densification_keeps_the_similarity():
     """Equal bins of two signatures estimate the similarity, also for tiny sets."""
     maker = neardup.Sketcher(neardup.NearDup())

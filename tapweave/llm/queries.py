@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tapweave.functions.stage import Stages
-from tapweave.llm import exactdup, hostgraph, mixing, neardup, packing, pii, quality, topk, toxicity, warc
+from tapweave.llm import (
+    exactdup, hostgraph, mixing, neardup, packing, periodic, pii, prefixtrie, quality, rowrules, topk, toxicity, warc,
+)
 from tapweave.llm.common import id_crc, table
 
 
@@ -72,10 +75,41 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), Stages(spark))
 
 
+def op11_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = rowrules.fit(docs, labels, ~held_out(3, 1))
+    judged = rowrules.with_verdict(docs.select("doc_id", "text"), model, into="r")
+    return judged.select(
+        "doc_id", *(f"r.{c}" for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "score"))
+    )
+
+
+def with_planted_tail(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """One document in ten, by the crc of its id, gets a periodic tail."""
+    h = 1 if doc_id is None else zlib.crc32(str(doc_id).encode())
+    n, g = len(words), h // 10
+    if h % 10 or not n:
+        return words
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + (words[a : a + p] * ((n - a) // p + 1))[: n - a]
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return periodic.digested(periodic.with_runs(docs, rewrite=with_planted_tail))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    told = prefixtrie.with_shared_heads(prefixtrie.paths(table(spark, sf_dir, "conversations")), 20, id_crc("conv_id") % 4)
+    return prefixtrie.nodes(told, Stages(spark))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_toxicity, op2_warc, op3_url_filter, op4_quality, op5_topk, op6_pii, op7_mixing, op8_minhash, op9_exact_dedup, op10_packing,
+        op11_quality_rules, op12_periodic_runs, op13_prefix_trie,
     )
 }
 
@@ -130,6 +164,10 @@ def _mixing_sql(mix: mixing.Mix) -> str:
     )
 
 
+# crc32 of an id's decimal text, bit by bit
+_CRC = """(xor(4294967295, list_reduce(list_prepend(4294967295::bigint, list_transform(string_split(CAST({} AS varchar), ''), lambda c: ascii(c)::bigint)),
+ lambda a, b: list_reduce(list_prepend(xor(a, b), range(8)), lambda x, y: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END))))"""
+
 _SPACES = "[\\x20\\x09-\\x0D]"
 
 ORACLES: dict[str, str] = {
@@ -170,4 +208,22 @@ FROM documents d JOIN m ON m.node = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id"
 WITH t AS (SELECT doc_id, length(coalesce(text, '')) AS n, sha256(regexp_replace(coalesce(text, ''), '{_SPACES}', '', 'g')) AS h FROM documents),
 r AS (SELECT *, first_value(doc_id) OVER (PARTITION BY h ORDER BY n DESC, doc_id) AS keep_id, count(*) OVER (PARTITION BY h) AS c FROM t)
 SELECT doc_id, keep_id, c AS group_size, doc_id = keep_id AS kept, h AS text_sha256 FROM r""",
+    "op13_prefix_trie": f"""
+WITH t AS (SELECT conv_id, turn, coalesce(text, '') AS text,
+  sha256(CAST(length(coalesce(role, '')) AS varchar) || ':' || coalesce(role, '') || coalesce(text, ''))[1:32] AS x FROM conversations WHERE conv_id IS NOT NULL),
+o AS (SELECT conv_id, list(x ORDER BY turn NULLS FIRST, x) AS x,
+  list(CAST(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')) AS bigint) ORDER BY turn NULLS FIRST, x) AS w, CAST({_CRC.format('conv_id')} % 4 AS bigint) AS h FROM t GROUP BY conv_id),
+r AS (SELECT c.conv_id, list_concat(coalesce(b.x[1:c.h], []), c.x[c.h + 1:]) AS x, list_concat(coalesce(b.w[1:c.h], []), c.w[c.h + 1:]) AS w
+  FROM o c LEFT JOIN o b ON b.conv_id = c.conv_id - c.conv_id % 20),
+p AS (SELECT conv_id, d, len(x) AS n, array_to_string(x[1:d], '') AS k, CASE WHEN d > 0 THEN w[d] END AS words
+  FROM (SELECT *, unnest(range(0, len(x) + 1)) AS d FROM r) y),
+g AS (SELECT k, d, min(conv_id) AS conv_id, count(*) AS n_convs, min(words) AS words,
+  sha256(coalesce(string_agg(CAST(conv_id AS varchar), ',' ORDER BY conv_id) FILTER (n = d), '')) AS ends FROM p GROUP BY k, d),
+c AS (SELECT a.k, a.d, count(b.k) AS n_children FROM g a LEFT JOIN g b ON b.d = a.d + 1 AND b.k[1:32 * a.d] = a.k GROUP BY a.k, a.d),
+f AS (SELECT g.*, n_children FROM g JOIN c ON c.k = g.k AND c.d = g.d),
+u AS (SELECT CAST(unnest(range(0, d + 1)) AS bigint) AS d, k, n_children, (n_convs - 1) * words AS saved FROM f),
+s AS (SELECT d, k[1:32 * d] AS k, count_if(n_children = 0) AS n_leaves, coalesce(sum(saved), 0) AS saved FROM u GROUP BY 1, 2)
+SELECT f.conv_id, CAST(f.d AS bigint) AS depth, q.conv_id AS parent_conv_id, f.n_convs, f.n_children, CAST(s.n_leaves AS bigint) AS n_leaves,
+ CAST(s.saved AS bigint) AS saved_tokens, f.ends AS ends_sha256
+FROM f JOIN s ON s.d = f.d AND s.k = f.k LEFT JOIN g q ON q.d = f.d - 1 AND q.k = f.k[1:32 * (f.d - 1)]""",
 }

@@ -54,9 +54,10 @@ class Settings:
     allow_interlining: bool = True
     allow_no_stops: bool = False
     keep_first_stop: bool = False
-    # scale: length of the slices that cards, and the groups of visits, are cut into
+    # scale: length of the slices that cards are cut into
     slice_seconds: int = 900
-    window_seconds: int = 3600
+    # scale: groups of visits or trips with more rows are cut into slices
+    window_rows: int = 1_000_000
     # scale: a run has one task for every so many pairs of its boardings and stops
     task_pairs: int = 1_000_000
     # write the tables used several times (see functions/stage.py)

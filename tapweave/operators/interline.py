@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tapweave.functions.clock import epoch
-from tapweave.functions.windows import near_window, running_sum
+from tapweave.functions.windows import GROUP_ROWS, near_window, running_sum, sliced_window
 
 INTERLINE = "INTERLINE"
 SINGLE = "SINGLE_LINE"
@@ -32,7 +31,7 @@ def trip_ends(visits: DataFrame) -> DataFrame:
     )
 
 
-def link_blocks(ends: DataFrame, width: int = 3600) -> DataFrame:
+def link_blocks(ends: DataFrame, hot: DataFrame | None = None, rows: int = GROUP_ROWS) -> DataFrame:
     """The next trip of the block, and whether the vehicle interlines with it.
 
     It does when it starts where this trip ends and the route changes.
@@ -43,8 +42,8 @@ def link_blocks(ends: DataFrame, width: int = 3600) -> DataFrame:
         [F.col("start_datetime"), F.col("trip_id")],
         1,
         lambda w: {"__n": F.lead(F.struct("trip_id", "route_id", "start_stop_id")).over(w)},
-        epoch("start_datetime"),
-        width,
+        hot,
+        rows,
     )
     linked = (F.col("end_stop_id") == F.col("__n.start_stop_id")) & (F.col("route_id") != F.col("__n.route_id"))
     return ahead.withColumns(
@@ -56,21 +55,23 @@ def link_blocks(ends: DataFrame, width: int = 3600) -> DataFrame:
     ).drop("__n")
 
 
-def chain_trips(blocks: DataFrame, width: int = 3600) -> DataFrame:
+def chain_trips(blocks: DataFrame, hot: DataFrame | None = None, rows: int = GROUP_ROWS) -> DataFrame:
     """``interlining_trip_id`` for every trip.
 
     Links only join neighbours of a block, so a chain is a run of rows between
     breaks, found with one running count. The id of a chain is taken from the
     hash of its trip list; a trip alone keeps its own id.
     """
-    order = [F.col("start_datetime"), F.col("trip_id")]
-    second = epoch("start_datetime")
-    marked = near_window(
-        blocks, BLOCK_KEYS, order, 1,
-        lambda w: {"__break": F.when(F.lag("interlines_with_trip_id").over(w).isNull(), 1).otherwise(0)},
-        second, width,
+    runs = sliced_window(
+        blocks,
+        BLOCK_KEYS,
+        [F.col("start_datetime"), F.col("trip_id")],
+        1,
+        [lambda w: {"__break": F.when(F.lag("interlines_with_trip_id").over(w).isNull(), 1).otherwise(0)}],
+        {"__run": F.col("__break")},
+        hot,
+        rows,
     )
-    runs = running_sum(marked, BLOCK_KEYS, order, F.col("__break"), "__run", second, width)
     chains = runs.groupBy(*BLOCK_KEYS, "__run").agg(
         F.array_sort(F.collect_list(F.struct("start_datetime", "trip_id"))).alias("c")
     )
@@ -95,27 +96,31 @@ def insert_chains(
     chains: DataFrame | None,
     allow: bool = True,
     keep_first_stop: bool = False,
-    width: int = 3600,
 ) -> DataFrame:
     """Visits with chained trips merged into one long trip.
 
     Where two trips of a chain meet, the stop is kept once, with the first
     arrival and the second departure. ``keep_first_stop`` also keeps the first
-    stop of a chain, which the default drops as the original method does.
+    stop of a chain, which the default drops as the original method does. Only
+    visits of chains of two and more trips go through windows. A chain is one row
+    of its trips in ``chains``, so its visits are not many.
     """
     if not allow:
         return visits.withColumns(
             {"trip_type": F.lit(SINGLE), "stop_type": F.lit(SINGLE), "run_id": run_number(F.col("trip_id"))}
         )
-    joined = visits.join(chains, ["service_date", "trip_id"], "left")
-    whole = F.coalesce(F.col("interlining_trip_id"), F.col("trip_id").cast("decimal(38,0)"))
-    chained = whole != F.col("trip_id")
-    named = joined.withColumns(
+    linked = chains.where(F.col("interlining_trip_id") != F.col("trip_id"))
+    trip_keys = ["service_date", "trip_id"]
+    whole = F.col("trip_id").cast("decimal(38,0)")
+    alone = visits.join(linked, trip_keys, "left_anti").withColumns(
+        {"trip_type": F.lit(SINGLE), "stop_type": F.lit(SINGLE), "run_id": run_number(whole), "trip_id": whole}
+    )
+    named = visits.join(linked, trip_keys).withColumns(
         {
-            "trip_type": F.when(chained, INTERLINE).otherwise(SINGLE),
+            "trip_type": F.lit(INTERLINE),
             "__leg_trip": F.col("trip_id"),
-            "run_id": run_number(whole),
-            "trip_id": whole,
+            "run_id": run_number(F.col("interlining_trip_id")),
+            "trip_id": F.col("interlining_trip_id"),
         }
     ).drop("interlining_trip_id")
 
@@ -123,19 +128,17 @@ def insert_chains(
     departures = [
         c for c in ("departure_datetime", "departure_time", "scheduled_departure_time") if c in present
     ]
-    keys = ["service_date", "run_id"]
-    order = [F.col("arrive_datetime"), F.col("departure_datetime"), F.col("__leg_trip"), F.col("stop_sequence")]
-    second = epoch("arrive_datetime")
     near = near_window(
-        named, keys, order, 1,
+        named,
+        ["service_date", "run_id"],
+        [F.col("arrive_datetime"), F.col("departure_datetime"), F.col("__leg_trip"), F.col("stop_sequence")],
+        1,
         lambda w: {
             "__prev": F.lag("stop_id").over(w),
             "__next": F.lead(F.struct("stop_id", *departures)).over(w),
         },
-        second, width,
     )
-    on_chain = F.col("trip_type") == INTERLINE
-    meets = on_chain & F.coalesce(F.col("__next.stop_id") == F.col("stop_id"), F.lit(False))
+    meets = F.coalesce(F.col("__next.stop_id") == F.col("stop_id"), F.lit(False))
     merged = near.withColumns(
         {
             "stop_type": F.when(meets, INTERLINE).otherwise(SINGLE),
@@ -145,13 +148,12 @@ def insert_chains(
     fresh = F.col("__prev") != F.col("stop_id")
     if keep_first_stop:
         fresh = F.col("__prev").isNull() | fresh
-    kept = merged.where(~on_chain | fresh)
     counted = running_sum(
-        kept, keys, [F.col("arrive_datetime"), F.col("__leg_trip"), F.col("stop_sequence")],
-        F.lit(1), "__place", second, width,
+        merged.where(fresh), ["service_date", "run_id"],
+        [F.col("arrive_datetime"), F.col("__leg_trip"), F.col("stop_sequence")], F.lit(1), "__place",
     )
-    place = F.when(on_chain, F.col("__place").cast("int")).otherwise(F.col("stop_sequence"))
-    return counted.withColumn("stop_sequence", place).drop("__prev", "__next", "__place", "__leg_trip")
+    chained = counted.withColumn("stop_sequence", F.col("__place").cast("int")).drop("__prev", "__next", "__place", "__leg_trip")
+    return alone.unionByName(chained)
 
 
 def interline_stops(visits: DataFrame) -> DataFrame:

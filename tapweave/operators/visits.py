@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tapweave.functions.clock import epoch, service_clock
-from tapweave.functions.windows import left_lookup, near_window
+from tapweave.functions.stage import stage
+from tapweave.functions.windows import GROUP_ROWS, keep_matching, left_lookup, near_window, sliced_window
 
 
 def add_visit_times(visits: DataFrame) -> DataFrame:
@@ -133,57 +134,70 @@ def add_stop_locations(visits: DataFrame, stops: DataFrame) -> DataFrame:
     return visits.join(periods, on, "left").drop("__stop", "after", "upto")
 
 
-def merge_repeated_stops(
-    visits: DataFrame, width: int = 3600
-) -> DataFrame:
+def merge_repeated_stops(visits: DataFrame, hot: DataFrame | None = None, rows: int = GROUP_ROWS) -> DataFrame:
     """Of consecutive visits of one stop within a trip keep the last.
 
     A trip id fixes route, service and direction, so date and trip are the key.
     """
     following = near_window(
         visits,
-        ["service_date", "trip_id"],
+        TRIP_KEYS,
         [F.col("arrive_datetime"), F.col("stop_sequence")],
         1,
         lambda w: {"__following": F.lead("stop_id").over(w)},
-        epoch("arrive_datetime"),
-        width,
+        hot,
+        rows,
     )
     repeated = F.coalesce(F.col("__following") == F.col("stop_id"), F.lit(False))
     return following.where(~repeated).drop("__following")
 
 
+TRIP_KEYS = ["service_date", "trip_id"]
 HEADWAY_KEYS = ["route_id", "stop_id", "service_date", "direction_id"]
 
 
-def add_headways(visits: DataFrame, width: int = 3600) -> DataFrame:
+def first_intervals(visits: DataFrame, hot: DataFrame) -> DataFrame:
+    """Seconds between the first two arrivals of the groups named by ``hot``."""
+    second = epoch("arrive_datetime")
+    # null keys match too: a missing direction is a group like any other
+    of_hot = keep_matching(visits.where(F.col("arrive_datetime").isNotNull()), HEADWAY_KEYS, F.broadcast(hot))
+    times = of_hot.groupBy(*HEADWAY_KEYS, second.alias("__s")).agg(F.count(F.lit(1)).alias("__n"))
+    first = F.min(F.struct("__s", "__n")).over(Window.partitionBy(*HEADWAY_KEYS))
+    gap = F.when(F.col("__f.__n") > 1, F.lit(0)).otherwise(F.col("__s") - F.col("__f.__s"))
+    later = (F.col("__s") > F.col("__f.__s")) | (F.col("__f.__n") > 1)
+    return times.withColumn("__f", first).groupBy(*HEADWAY_KEYS).agg(F.min(F.when(later, gap)).cast("double").alias("__opening"))
+
+
+def add_headways(visits: DataFrame, hot: DataFrame | None = None, rows: int = GROUP_ROWS) -> DataFrame:
     """Mean seconds between vehicles, over two visits back and ahead, not below 60.
 
     Visits without any interval in reach take the first interval of their
     group; that only happens to lone visits (null) and to leading visits
     without an arrival time.
     """
-    order = [F.col("arrive_datetime"), F.col("trip_id"), F.col("stop_sequence")]
     second = epoch("arrive_datetime")
-    gaps = near_window(
-        visits, HEADWAY_KEYS, order, 1,
-        lambda w: {"arrival_delta": second - F.lag(second).over(w)},
-        second, width,
-    )
-    means = near_window(
-        gaps, HEADWAY_KEYS, order, 2,
-        lambda w: {"__mean": F.avg("arrival_delta").over(w.rowsBetween(-2, 2))},
-        second, width,
-    )
-    # null keys match too: a missing direction is a group like any other
-    known = gaps.where(F.col("arrival_delta").isNotNull())
-    firsts = known.groupBy(*HEADWAY_KEYS).agg(
-        F.min_by("arrival_delta", F.struct(*order)).cast("double").alias("__first")
+    whole = (Window.unboundedPreceding, Window.unboundedFollowing)
+    out = sliced_window(
+        visits,
+        HEADWAY_KEYS,
+        [F.col("arrive_datetime"), F.col("trip_id"), F.col("stop_sequence")],
+        3,
+        [
+            lambda w: {"arrival_delta": second - F.lag(second).over(w)},
+            lambda w: {
+                "__mean": F.avg("arrival_delta").over(w.rowsBetween(-2, 2)),
+                "__first": F.first("arrival_delta", ignorenulls=True).over(w.rowsBetween(*whole)),
+            },
+        ],
+        hot=hot,
+        rows=rows,
     )
-    means = left_lookup(means, HEADWAY_KEYS, firsts)
-    mean = F.col("__mean")
-    headway = F.when(mean < 60, F.lit(60.0)).otherwise(F.coalesce(mean, F.col("__first").cast("double")))
-    return means.withColumn("mean_boarding_interval_seconds", headway).drop("__mean", "__first")
+    mean, opening = F.col("__mean"), F.col("__first").cast("double")
+    if hot is not None:  # a slice does not know its group's first interval
+        out = left_lookup(out, HEADWAY_KEYS, F.broadcast(stage(first_intervals(visits, hot), "openings")))
+        opening = F.coalesce("__opening", opening)
+    headway = F.when(mean < 60, F.lit(60.0)).otherwise(F.coalesce(mean, opening))
+    return out.withColumn("mean_boarding_interval_seconds", headway).drop("__mean", "__first", "__opening")
 
 
 def add_hour(visits: DataFrame) -> DataFrame:

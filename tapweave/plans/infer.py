@@ -23,9 +23,7 @@ class Inferred:
 
 def chained_visits(prepared: Prepared, tapped: DataFrame, s: Settings) -> DataFrame:
     seen = visits.keep_tapped_dates(prepared.visits, tapped)
-    return interline.insert_chains(
-        seen, prepared.chains, s.allow_interlining, s.keep_first_stop, s.window_seconds
-    )
+    return interline.insert_chains(seen, prepared.chains, s.allow_interlining, s.keep_first_stop)
 
 
 def build_legs(tapped: DataFrame, runs: DataFrame, s: Settings) -> DataFrame:

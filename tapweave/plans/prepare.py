@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 
 from tapweave.config import VISIT_SOURCE, Settings
 from tapweave.functions.stage import stage
+from tapweave.functions.windows import hot_groups
 from tapweave.operators import interline, taps, visits
 
 
@@ -46,15 +47,20 @@ def located_visits(
 
 def prepare_visits(located: DataFrame, s: Settings) -> DataFrame:
     """Merged visits with headways on original routes, lines aliased after that."""
-    df = visits.merge_repeated_stops(located, s.window_seconds)
-    df = visits.add_headways(df, s.window_seconds)
+    trips, stops = (hot_groups(located, keys, s.window_rows) for keys in (visits.TRIP_KEYS, visits.HEADWAY_KEYS))
+    df = visits.merge_repeated_stops(located, trips, s.window_rows)
+    # merging only takes visits away, so these are all groups that can be too large
+    df = visits.add_headways(df, stops, s.window_rows)
     return visits.add_hour(taps.alias_lines(df, s.line_aliases, "route_id"))
 
 
 def prepare_chains(located: DataFrame, s: Settings) -> DataFrame:
     ends = interline.trip_ends(located)
-    blocks = interline.link_blocks(ends, s.window_seconds)
-    return interline.chain_trips(blocks, s.window_seconds)
+    if s.staged:  # one row per trip
+        ends = stage(ends, "ends")
+    hot = hot_groups(ends, interline.BLOCK_KEYS, s.window_rows)
+    blocks = interline.link_blocks(ends, hot, s.window_rows)
+    return interline.chain_trips(blocks, hot, s.window_rows)
 
 
 def prepare(

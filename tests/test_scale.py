@@ -7,7 +7,8 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tapweave.functions.windows import near_window, running_sum
+from tapweave.functions.stage import stage
+from tapweave.functions.windows import cut_table, hot_groups, near_window, running_sum
 from tapweave.operators import interline, visits
 
 T0 = datetime(2024, 1, 5)
@@ -24,8 +25,8 @@ def rows(spark):
     return spark.createDataFrame(data, "k string, ts timestamp, id int, v int").cache()
 
 
-@pytest.mark.parametrize("width", [60, 900, 100_000])
-def test_near_window_equals_plain(rows, width):
+@pytest.mark.parametrize("most", [1, 2, 9, 250, 10**9])
+def test_near_window_equals_plain(rows, most):
     order = [F.col("ts"), F.col("id")]
 
     def columns(w):
@@ -36,14 +37,15 @@ def test_near_window_equals_plain(rows, width):
         }
 
     plain = rows.withColumns(columns(Window.partitionBy("k").orderBy(*order)))
-    split = near_window(rows, ["k"], order, 2, columns, F.col("ts").cast("long"), width)
+    split = near_window(rows, ["k"], order, 2, columns, hot_groups(rows, ["k"], most), most)
     assert sorted(plain.collect(), key=lambda r: r.id) == sorted(split.collect(), key=lambda r: r.id)
 
 
-def test_running_sum_equals_plain(rows):
+@pytest.mark.parametrize("most", [1, 40, 10**9])
+def test_running_sum_equals_plain(rows, most):
     order = [F.col("ts"), F.col("id")]
     plain = rows.withColumn("s", F.sum("v").over(Window.partitionBy("k").orderBy(*order)))
-    split = running_sum(rows, ["k"], order, F.col("v"), "s", F.col("ts").cast("long"), 600)
+    split = running_sum(rows, ["k"], order, F.col("v"), "s", hot_groups(rows, ["k"], most), most)
     assert sorted(plain.collect(), key=lambda r: r.id) == sorted(split.collect(), key=lambda r: r.id)
 
 
@@ -71,33 +73,68 @@ def same(a, b):
     assert sorted(map(str, a.select(sorted(a.columns)).collect())) == sorted(map(str, b.select(sorted(a.columns)).collect()))
 
 
-ONE_SLICE = 10**10
+def cut(df, keys, rows=20):
+    hot = hot_groups(df, keys, rows)
+    assert hot is not None
+    return hot, rows
 
 
 def test_visits_with_hot_trip_and_stop(located):
-    whole = visits.merge_repeated_stops(located, ONE_SLICE)
+    whole = visits.merge_repeated_stops(located)
     assert whole.count() < located.count()
-    same(whole, visits.merge_repeated_stops(located, 300))
-    same(visits.add_headways(whole, ONE_SLICE), visits.add_headways(whole, 300))
+    same(whole, visits.merge_repeated_stops(located, *cut(located, visits.TRIP_KEYS)))
+    same(visits.add_headways(whole), visits.add_headways(whole, *cut(whole, visits.HEADWAY_KEYS)))
 
 
-def test_headways_without_arrival_in_hot_stop(located):
-    gaps = located.withColumn("arrive_datetime", F.when(F.col("stop_sequence") > 3, F.col("arrive_datetime")))
-    same(visits.add_headways(gaps, ONE_SLICE), visits.add_headways(gaps, 300))
+@pytest.mark.parametrize("first", [3, 398])
+def test_headways_without_arrival_in_hot_stop(located, first):
+    gaps = located.withColumn("arrive_datetime", F.when(F.col("stop_sequence") > first, F.col("arrive_datetime")))
+    same(visits.add_headways(gaps), visits.add_headways(gaps, *cut(gaps, visits.HEADWAY_KEYS)))
 
 
 def test_equal_times_keep_every_row(located):
     # ties in the order may not let a row fall between the two parts of a window
     tied = located.withColumn("arrive_datetime", F.date_trunc("hour", "arrive_datetime"))
     twice = tied.unionByName(tied)
-    assert visits.add_headways(twice, 60).count() == twice.count()
+    assert visits.add_headways(twice, *cut(twice, visits.HEADWAY_KEYS, 10)).count() == twice.count()
+
+
+def test_rows_without_time_are_cut_too(located):
+    none = located.withColumn("arrive_datetime", F.lit(None).cast("timestamp"))
+    hot, rows = cut(none, visits.HEADWAY_KEYS)
+    cuts = cut_table(none, visits.HEADWAY_KEYS, [F.col("arrive_datetime"), F.col("trip_id"), F.col("stop_sequence")], 3, rows, hot)
+    assert cuts.select(F.max(F.size("__cuts"))).first()[0] > 3
+    same(visits.add_headways(none), visits.add_headways(none, hot, rows))
 
 
 def test_chains_with_hot_block(located):
     ends = interline.trip_ends(located)
-    whole = interline.link_blocks(ends, ONE_SLICE)
+    hot = cut(ends, interline.BLOCK_KEYS, 4)
+    whole = interline.link_blocks(ends)
     assert whole.where("interlines_with_trip_id IS NOT NULL").count() > 0
-    same(whole, interline.link_blocks(ends, 300))
-    chains = interline.chain_trips(whole, ONE_SLICE)
-    same(chains, interline.chain_trips(whole, 300))
-    same(interline.insert_chains(located, chains, width=ONE_SLICE), interline.insert_chains(located, chains, width=300))
+    same(whole, interline.link_blocks(ends, *hot))
+    chains = interline.chain_trips(whole)
+    same(chains, interline.chain_trips(whole, *hot))
+
+
+def scans_and_shuffles(df):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return plan.count("Scan parquet"), plan.count("Exchange hashpartitioning")
+
+
+def test_one_read_and_one_shuffle(located):
+    """As planned, before anything is run; cut groups add broadcasts of small tables only."""
+    rows = stage(located, "located")
+    by_stop = cut(rows, visits.HEADWAY_KEYS)
+    assert scans_and_shuffles(visits.merge_repeated_stops(rows)) == (1, 1)
+    assert scans_and_shuffles(visits.add_headways(rows)) == (1, 1)
+    merged = visits.merge_repeated_stops(rows)
+    assert scans_and_shuffles(visits.add_headways(merged)) == (1, 2)
+    ends = stage(interline.trip_ends(rows), "ends")
+    blocks = interline.link_blocks(ends)
+    assert scans_and_shuffles(blocks) == (1, 1)
+    # the windows of links and chains share a shuffle, the second gathers the trips of each chain
+    assert scans_and_shuffles(interline.chain_trips(blocks))[0] == 1
+    near = near_window(rows, visits.HEADWAY_KEYS, [F.col("arrive_datetime")], 1, lambda w: {"n": F.lead("trip_id").over(w)}, *by_stop)
+    # the table of cuts is a second, small file
+    assert scans_and_shuffles(near) == (2, 1)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tapweave.config import PLATFORM_LINE
 from tapweave.functions.clock import epoch
 from tapweave.functions.geo import great_circle_meters
+from tapweave.functions.stage import stage
 
 # walking follows the street grid, not the straight line
 GRID_FACTOR = 2**0.5
@@ -28,44 +29,60 @@ def _stops_ahead(visits: DataFrame) -> DataFrame:
     )
 
 
-def run_parts(boardings: DataFrame, visits: DataFrame, pairs: int) -> DataFrame:
-    """Parts of each run (``p_date``, ``p_run``): one for every ``pairs`` pairs of its boardings and stops."""
+# More crowded runs than this are joined, not broadcast.
+BROADCAST_RUNS = 1_000_000
+
+
+def crowded_runs(boardings: DataFrame, visits: DataFrame, pairs: int = 1_000_000) -> DataFrame | None:
+    """Runs with more than ``pairs`` pairs of boardings and stops, and the ``parts`` to divide them into; None without any.
+
+    Counted at once, from the date and run columns of both written tables,
+    combined ahead of the shuffle. The wide rows are not touched.
+    """
     keys = ["service_date", "run_id"]
     taps = boardings.where(F.col("run_id").isNotNull()).groupBy(*keys).agg(F.count(F.lit(1)).alias("taps"))
     stops = visits.groupBy(*keys).agg(F.count(F.lit(1)).alias("stops"))
     parts = F.ceil(F.col("taps") * F.col("stops") / pairs).cast("int")
-    return taps.join(stops, keys).select(
+    counted = taps.join(stops, keys).select(
         F.col("service_date").alias("p_date"), F.col("run_id").alias("p_run"), parts.alias("parts")
     )
+    crowded = stage(counted.where("parts > 1"), "crowded")
+    size = crowded.count()
+    if not size:
+        return None
+    return F.broadcast(crowded) if size <= BROADCAST_RUNS else crowded
 
 
-def alighting_candidates(boardings: DataFrame, visits: DataFrame, pairs: int = 1_000_000) -> DataFrame:
+def alighting_candidates(boardings: DataFrame, visits: DataFrame, crowded: DataFrame | None = None) -> DataFrame:
     """Later stops of the boarded run that are reached before the next tap.
 
     Both sides share only date and run, and the rows of one run stay together
     for the scoring that follows. Boardings without a run never match; they get
-    a made-up key each, so that they spread instead of meeting under null. A
-    run is divided by card into parts that grow in number with its pairs of
-    boardings and stops, with its stops repeated for each part.
+    a made-up key each, so that they spread instead of meeting under null.
+    ``crowded`` runs are divided by card into parts, with their stops repeated
+    for each part; what part a row belongs to is told by a broadcast, so no row is
+    moved by date and run alone.
     """
     stray = -1 - F.pmod(F.xxhash64("card_id", "datetime"), F.lit(2**31))
-    parts = run_parts(boardings, visits, pairs)
     left = boardings.withColumns(
         {"run_key": F.coalesce(F.col("run_id"), stray), "run_found": F.col("run_id").isNotNull()}
     )
-    of_left = (F.col("service_date") == F.col("p_date")) & (F.col("run_key") == F.col("p_run"))
-    left = left.join(parts, of_left, "left").withColumn(
-        "part", F.pmod(F.hash("card_id"), F.coalesce(F.col("parts"), F.lit(1)))
-    ).drop("p_date", "p_run", "parts")
-    # stops of runs that nobody boarded match nothing
-    of_right = (F.col("a_date") == F.col("p_date")) & (F.col("a_run") == F.col("p_run"))
-    right = _stops_ahead(visits).join(parts, of_right).withColumn(
-        "a_part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
-    ).drop("p_date", "p_run", "parts")
+    right = _stops_ahead(visits)
+    keys = ["service_date", "run_key"]
+    on = (F.col("service_date") == F.col("a_date")) & (F.col("run_key") == F.col("a_run"))
+    if crowded is None:
+        left = left.withColumn("part", F.lit(0))
+    else:
+        of_left = (F.col("service_date") == F.col("p_date")) & (F.col("run_key") == F.col("p_run"))
+        of_right = (F.col("a_date") == F.col("p_date")) & (F.col("a_run") == F.col("p_run"))
+        parts = F.coalesce(F.col("parts"), F.lit(1))
+        told = ("p_date", "p_run", "parts")
+        left = left.join(crowded, of_left, "left").withColumn("part", F.pmod(F.hash("card_id"), parts)).drop(*told)
+        right = right.join(crowded, of_right, "left").withColumn("a_part", F.explode(F.sequence(F.lit(0), parts - 1))).drop(*told)
+        keys.append("part")
+        on = on & (F.col("part") == F.col("a_part"))
     on = (
-        (F.col("service_date") == F.col("a_date"))
-        & (F.col("run_key") == F.col("a_run"))
-        & (F.col("part") == F.col("a_part"))
+        on
         & F.col("run_found")
         & (F.col("alight_s") > F.col("depart_s"))
         & (F.col("alight_s") > F.col("tap_s"))
@@ -73,7 +90,7 @@ def alighting_candidates(boardings: DataFrame, visits: DataFrame, pairs: int = 1
     )
     # Partitioned ahead of the join, whatever join is chosen: the rows multiply
     # after this shuffle and stay in place for all windows of the run.
-    return left.repartition("service_date", "run_key", "part").join(right, on, "left").drop("a_date", "a_run", "a_part", "run_found")
+    return left.repartition(*keys).join(right, on, "left").drop("a_date", "a_run", "a_part", "run_found")
 
 
 def add_transfer_walk(candidates: DataFrame, speed: float) -> DataFrame:

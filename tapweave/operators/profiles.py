@@ -130,14 +130,27 @@ def journey_profiles(
     follow = next_stops(visits).withColumnsRenamed(
         {"line_id": "f_line", "stop_id": "f_stop", "direction_id": "f_direction"}
     )
+    # journeys without a lone leg match nothing; a made-up line each keeps them from meeting under null
+    stray = -1 - F.pmod(F.xxhash64("journey_id"), F.lit(2**31))
+    line, stop, direction = (F.col(f"__lone.{c}") for c in ("line_id", "stop_id", "direction_id"))
+    is_lone = line.isNotNull() & stop.isNotNull() & direction.isNotNull()
+    figures = figures.withColumns(
+        {
+            "__is_lone": is_lone,
+            "__line": F.when(is_lone, line.cast("long")).otherwise(stray),
+            "__stop": F.when(is_lone, stop).otherwise(F.lit(0)),
+            "__direction": F.when(is_lone, direction).otherwise(F.lit(0)),
+        }
+    )
     on = (
-        (F.col("__lone.line_id") == F.col("f_line"))
-        & (F.col("__lone.stop_id") == F.col("f_stop"))
-        & (F.col("__lone.direction_id") == F.col("f_direction"))
+        F.col("__is_lone")
+        & (F.col("__line") == F.col("f_line").cast("long"))
+        & (F.col("__stop") == F.col("f_stop"))
+        & (F.col("__direction") == F.col("f_direction"))
     )
     single = F.coalesce(F.col("__lone.off") == F.col("trip_stop_id_next"), F.lit(False))
     profiled = figures.join(follow, on, "left").withColumn("is_single_stop_ride", single)
-    profiled = profiled.drop("__lone", "f_line", "f_stop", "f_direction", "trip_stop_id_next")
+    profiled = profiled.drop("__lone", "__is_lone", "__line", "__stop", "__direction", "f_line", "f_stop", "f_direction", "trip_stop_id_next")
     if one_row_per_journey:
         return profiled.withColumn("validity_score", F.get("validity_scores", F.lit(0))).drop("validity_scores")
     return profiled.withColumn("validity_score", F.explode_outer("validity_scores")).drop("validity_scores")

@@ -67,19 +67,31 @@ def tag_unwanted_operators(df: DataFrame, names: Sequence[str]) -> DataFrame:
     return df.withColumn("is_unwanted_operator", F.coalesce(listed, F.lit(True)))
 
 
-def select_months(df: DataFrame, column: str, year_months: Sequence[Sequence[int]] | int = -1) -> DataFrame:
+def latest_month(df: DataFrame, column: str) -> Column:
+    """First day of the latest month of a date-like column, as a scalar subquery: nothing is fetched to the driver."""
+    return df.agg(F.trunc(F.max(F.col(column).cast("date")), "MM")).scalar()
+
+
+def select_months(
+    df: DataFrame, column: str, year_months: Sequence[Sequence[int]] | int = -1, latest: Column | None = None, margin: int = 0
+) -> DataFrame:
     """Rows of the listed ``(year, month)`` pairs, or of the latest month present for -1.
 
-    The latest month is a scalar subquery: nothing is fetched to the driver,
-    and a table partitioned by the column is pruned by it.
+    ``latest`` is the month to take for -1 if it is not that of ``df``. With
+    ``margin``, that many days before and after each month stay too. Both forms
+    prune a table partitioned by the column.
     """
     if isinstance(year_months, (list, tuple)):
-        firsts = [F.make_date(F.lit(y), F.lit(m), F.lit(1)) for y, m in year_months]
-        return df.where(F.trunc(column, "MM").isin(*firsts))
-    if year_months != -1:
+        months = [F.make_date(F.lit(y), F.lit(m), F.lit(1)) for y, m in year_months]
+    elif year_months == -1:
+        months = [latest_month(df, column) if latest is None else latest]
+    else:
         raise ValueError(f"expected (year, month) pairs or -1, got {year_months!r}")
-    latest = df.agg(F.trunc(F.max(F.col(column).cast("date")), "MM")).scalar()
-    return df.where((F.col(column) >= latest) & (F.col(column) < F.add_months(latest, 1)))
+    inside = F.lit(False)
+    for month in months:
+        day = F.col(column)
+        inside = inside | ((day >= F.date_sub(month, margin)) & (day < F.date_add(F.add_months(month, 1), margin)))
+    return df.where(inside)
 
 
 # Columns that make the order of taps of one card total. A unique row id, when
@@ -120,9 +132,13 @@ def drop_bursts(df: DataFrame, seconds: int = 20, slice_seconds: int = 900) -> D
     )
 
 
-def locate_taps(taps: DataFrame, visits: DataFrame) -> DataFrame:
-    """Mean position of the tapped stop, null where the stop has no visit."""
-    places = mean_stop_locations(visits)
+def locate_taps(taps: DataFrame, visits: DataFrame, places: DataFrame | None = None) -> DataFrame:
+    """Mean position of the tapped stop, null where the stop has no visit.
+
+    ``places`` are the positions where they are written already: their size is
+    known then, so Spark can tell whether to broadcast them.
+    """
+    places = mean_stop_locations(visits) if places is None else places
     return taps.where(F.col("stop_id") != -1).join(places, "stop_id", "left")
 
 

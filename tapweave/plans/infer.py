@@ -27,7 +27,9 @@ def chained_visits(prepared: Prepared, tapped: DataFrame, s: Settings) -> DataFr
 
 
 def build_legs(tapped: DataFrame, runs: DataFrame, s: Settings) -> DataFrame:
-    return taps.pair_with_next(taps.locate_taps(tapped, runs), s.leg_columns)
+    # one row per stop: written, its size tells Spark whether to broadcast it
+    places = stage(taps.mean_stop_locations(runs), "places") if s.staged else None
+    return taps.pair_with_next(taps.locate_taps(tapped, runs, places), s.leg_columns)
 
 
 def boarding_candidates(legs: DataFrame, runs: DataFrame, s: Settings) -> DataFrame:
@@ -35,6 +37,8 @@ def boarding_candidates(legs: DataFrame, runs: DataFrame, s: Settings) -> DataFr
     on_platform = boarding.tap_keys(legs, F.col("line_id") == PLATFORM_LINE)
     on_board = boarding.tap_keys(legs, F.col("line_id") != PLATFORM_LINE)
     alternatives = boarding.platform_alternatives(runs, s.alternative_meters, s.extra_platform_stops)
+    if s.staged:  # pairs of near stops: their written size decides on a broadcast
+        alternatives = stage(alternatives, "alternatives")
     platform = boarding.score_platform_boarding(boarding.platform_candidates(on_platform, runs, alternatives))
     return platform.unionByName(boarding.scored_onboard_candidates(on_board, runs))
 
@@ -50,7 +54,8 @@ def choose_rides(candidates: DataFrame, runs: DataFrame, s: Settings) -> DataFra
     Stops are joined, scored and reduced under the partitioning of the run;
     only the winners per run are shuffled on, by card.
     """
-    reached = alighting.alighting_candidates(candidates, runs, s.task_pairs)
+    crowded = alighting.crowded_runs(candidates, runs, s.task_pairs)
+    reached = alighting.alighting_candidates(candidates, runs, crowded)
     walked = alighting.add_transfer_walk(reached, s.walking_speed).drop(*_BEFORE_SCORING)
     scored = alighting.add_alighting_probability(alighting.add_travel_times(walked), s.allow_no_stops)
     best = alighting.best_stop_per_run(scored.drop(*_AFTER_SCORING)).repartition("card_id")

@@ -23,11 +23,15 @@ def prepare_taps(raw: DataFrame, s: Settings, strict: bool = True) -> DataFrame:
     df = taps.upper_case_columns(raw)
     if strict:
         taps.require_no_nulls(df, s.required_tap_columns)
+    # The month is that of the last tap at a known stop. A day around it is kept for bursts that
+    # cross its ends, so that only these partitions are read.
+    latest = taps.latest_month(taps.drop_unknown_stops(df), "service_date")
+    df = taps.select_months(df, "service_date", s.year_months, latest, margin=1)
     df = taps.fill_unknown_ticket(df)
     df = taps.alias_lines(df, s.line_aliases, "line_id")
     df = taps.parse_datetime(taps.drop_unknown_stops(df))
     df = taps.add_date(taps.drop_bursts(df, s.burst_seconds, s.slice_seconds))
-    df = taps.select_months(df, "service_date", s.year_months)
+    df = taps.select_months(df, "service_date", s.year_months, latest)
     return taps.tag_unwanted_operators(df, s.unwanted_operators)
 
 

@@ -2,13 +2,17 @@
 
 from datetime import date, datetime, timedelta
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tapweave import Settings
 from tapweave.functions.clock import service_clock, service_slice
 from tapweave.functions.geo import great_circle_meters
 from tapweave.functions.quantiles import exact_quantiles
+from tapweave.functions.stage import stage
 from tapweave.operators import alighting, boarding, interline, journeys, relational, rules, schedule, taps, visits
+from tapweave.plans.prepare import prepare_taps
 
 T0 = datetime(2024, 1, 5, 8, 0, 0)
 DAY = date(2024, 1, 5)
@@ -292,13 +296,20 @@ def test_alighting_band(spark):
     assert sorted(col(out, "alight_stop_id")) == [11, 12]
 
 
-def test_hot_runs_give_the_same_candidates(spark):
+def crowd(spark):
+    """Boardings of one run by twenty cards, and its stops."""
     stops = spark.createDataFrame([visit(1, 100 * i, stop=10 + i, seq=2 + i) for i in range(1, 9)], VISIT)
     v = spark.createDataFrame([visit(1, 0, seq=1)], VISIT)
     k = keys(spark, [(f"c{i}", 5, 900, 4, 1) for i in range(20)])
-    c = boarding.scored_onboard_candidates(k, v)
+    return stage(boarding.scored_onboard_candidates(k, v), "boardings"), stage(stops, "stops")
+
+
+def test_hot_runs_give_the_same_candidates(spark):
+    c, stops = crowd(spark)
     plain = alighting.alighting_candidates(c, stops)
-    salted = alighting.alighting_candidates(c, stops, pairs=40)
+    crowded = alighting.crowded_runs(c, stops, 40)
+    assert crowded is not None and alighting.crowded_runs(c, stops) is None
+    salted = alighting.alighting_candidates(c, stops, crowded)
     assert plain.select("part").distinct().count() == 1
     assert salted.select("part").distinct().count() > 1
     assert sorted(plain.drop("part").collect()) == sorted(salted.drop("part").collect())
@@ -461,3 +472,49 @@ def test_latest_month_prunes_partitions(spark, tmp_path):
     plan = latest._jdf.queryExecution().executedPlan().toString()
     scan = next(line for line in plan.splitlines() if "PartitionFilters" in line)
     assert "NestedLoop" not in plan and "subquery" in scan.split("PartitionFilters")[1].split("PushedFilters")[0].lower()
+
+
+def test_taps_are_pruned_to_the_latest_month(spark, tmp_path):
+    """Of a table partitioned by date only the month and a day on both sides are read, and bursts over its ends are seen."""
+    path = str(tmp_path / "taps")
+    rows = [
+        (i, f"C{i % 5}", f"2024-{1 + i // 30:02d}-{1 + i % 28:02d} 10:00:00", 200, 7, f"2024-{1 + i // 30:02d}-{1 + i % 28:02d}") for i in range(90)
+    ]
+    # the last tap of the month before goes with its successor; a tap without a stop does not make the month
+    rows += [(100, "C9", "2024-02-29 23:59:55", 200, 7, "2024-02-29"), (101, "C9", "2024-03-01 00:00:05", 200, 7, "2024-03-01"),
+             (102, "C8", "2024-05-01 00:00:05", 200, -1, "2024-05-01")]
+    frame = spark.createDataFrame(rows, "event_id int, card_id string, tap_time string, line_id int, stop_id int, service_date string")
+    frame = frame.withColumns({
+        "service_date": F.to_date("service_date"), "direction_id": F.lit(0), "operatedby_description": F.lit("x"),
+        "transaction_ticket_description": F.lit(None).cast("string"), "fare_category_description": F.lit("Adult"),
+    })
+    frame.write.partitionBy("service_date").parquet(path)
+    table = spark.read.parquet(path)
+    for months in (-1, ((2024, 3),)):
+        out = prepare_taps(table, Settings(year_months=months), strict=False)
+        got = {r[0] for r in out.select("event_id").collect()}
+        assert got == {r[0] for r in rows if r[5].startswith("2024-03")}
+        scans = [x for x in out._jdf.queryExecution().executedPlan().toString().splitlines() if "PartitionFilters" in x and "card_id" in x]
+        assert len(scans) == 1 and "service_date" in scans[0].split("PartitionFilters")[1].split("PushedFilters")[0]
+    february = prepare_taps(table, Settings(year_months=((2024, 2),)), strict=False)
+    assert 100 not in {r[0] for r in february.select("event_id").collect()}
+
+
+def test_choosing_rides_moves_no_row_by_run_alone(spark):
+    """Crowded runs are told by a broadcast; the only shuffles of boardings and stops are by run and part."""
+    c, stops = crowd(spark)
+    crowded = alighting.crowded_runs(c, stops, 40)
+    plan = alighting.alighting_candidates(c, stops, crowded)._jdf.queryExecution().executedPlan().toString()
+    shuffles = [x for x in plan.splitlines() if "Exchange hashpartitioning" in x]
+    assert shuffles and all("part" in x.split("hashpartitioning(")[1].split(")")[0] for x in shuffles)
+
+
+def test_quantile_bins_are_even_whatever_the_tail(spark):
+    from tapweave.functions.quantiles import BINS, binned_values
+
+    values = [float(i) for i in range(20_000)] + [10.0**k for k in range(5, 300)]
+    frame = spark.createDataFrame([(v,) for v in values], "v double").withColumn("g", F.lit(1))
+    sizes = [r["count"] for r in binned_values(frame, ["g"], "v").groupBy("__bin").count().collect()]
+    assert max(sizes) <= 2 * len(set(values)) / BINS
+    got = {r["prob"]: r["quantile"] for r in exact_quantiles(frame, ["g"], "v", [0.0, 0.25, 0.5, 0.999, 1.0]).collect()}
+    assert got == {p: pytest.approx(float(np.quantile(values, p))) for p in got}

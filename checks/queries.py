@@ -155,10 +155,17 @@ def _(w):
     return taps.select_months(spread_over_months(w), "service_date", [(2024, 1), (2023, 11)]).select("event_id")
 
 
-@query("P14_tapped_dates", "SELECT trip_id, stop_sequence FROM fx_stop_events WHERE service_date IN (SELECT service_date FROM fx_taps WHERE day(service_date) % 3 <> 0)")
-def _(w):
-    some = w.raw("taps").where("day(service_date) % 3 <> 0")
-    return visits.keep_tapped_dates(w.raw("stop_events"), some).select("trip_id", "stop_sequence")
+@query("P14_tapped_dates", """SELECT trip_id, stop_sequence, CAST(service_date AS varchar) AS service_date FROM (
+ SELECT trip_id, stop_sequence, service_date FROM fx_stop_events UNION ALL
+ SELECT trip_id, stop_sequence, CAST(service_date - to_days(CAST(stop_sequence * 9 AS int)) AS date) FROM fx_stop_events) v
+WHERE service_date IN (SELECT service_date FROM fx_taps)""")
+def _(w):
+    # all visits, and all of them again some days or weeks earlier, most of these before the first tap
+    every = w.raw("stop_events").select("trip_id", "stop_sequence", "service_date")
+    earlier = every.withColumn("service_date", F.expr("date_sub(service_date, CAST(stop_sequence * 9 AS int))"))
+    return visits.keep_tapped_dates(every.unionByName(earlier), w.raw("taps")).selectExpr(
+        "trip_id", "stop_sequence", "CAST(service_date AS string) AS service_date"
+    )
 
 
 @query("P15_spread_by", "SELECT CAST(service_date AS varchar) AS service_date, event_id FROM fx_taps")
@@ -193,10 +200,14 @@ def _(w):
     )
 
 
-@query("J1_missing_trips", "SELECT DISTINCT CAST(service_date AS varchar) AS service_date FROM fx_stop_events WHERE trip_id NOT IN (SELECT trip_id FROM fx_trips WHERE direction_id = 0)")
+@query("J1_missing_trips", """SELECT DISTINCT CAST(service_date AS varchar) AS service_date FROM fx_stop_events
+WHERE trip_id NOT IN (SELECT trip_id FROM fx_trips WHERE trip_id % 90 <> 4 AND route_id IS NOT NULL)""")
 def _(w):
-    half = w.raw("trips").where("direction_id = 0")
-    return visits.dates_without_trip_data(w.raw("stop_events"), half).selectExpr("CAST(service_date AS string) AS service_date")
+    # some trips of one service day have no route
+    route = F.when(F.col("trip_id") % 90 != 4, F.col("route_id"))
+    return visits.dates_without_trip_data(w.raw("stop_events"), w.raw("trips").withColumn("route_id", route)).selectExpr(
+        "CAST(service_date AS string) AS service_date"
+    )
 
 
 @query("J2_nearest_release", f"SELECT v.trip_id, v.stop_sequence, v.stop_id, {r6s('stop_lat', 'stop_lon')} FROM visit_times v LEFT JOIN nearest n ON n.stop_id = v.stop_id AND n.service_date = v.service_date")
@@ -253,18 +264,10 @@ def _(w):
     )
 
 
-@query("J10_utility_sums", f"""SELECT card_id, tap_s, round(sum(u), 6) AS utilities FROM (
- SELECT DISTINCT card_id, tap_s, board_route, board_direction_id,
-   exp(min(min_travel_seconds) OVER (PARTITION BY card_id, tap_s) /
-       min(min_travel_seconds) OVER (PARTITION BY card_id, tap_s, board_route, board_direction_id)) AS u
- FROM timed WHERE line_id = 200 AND min_travel_seconds > 0) x GROUP BY card_id, tap_s""")
+@query("J10_utility_sums", "SELECT card_id, tap_s, run_id, alight_sequence, board_sequence, stop_id, alight_stop_id, round(confidence, 6) AS confidence FROM confident")
 def _(w):
-    best = w.timed.where("line_id = 200 AND min_travel_seconds > 0").groupBy(
-        "card_id", "tap_s", "board_route", "board_direction_id"
-    ).agg(F.min("min_travel_seconds").alias("t"))
-    fastest = best.groupBy("card_id", "tap_s").agg(F.min("t").alias("f"))
-    return best.join(fastest, ["card_id", "tap_s"]).groupBy("card_id", "tap_s").agg(
-        F.round(F.sum(F.exp(F.col("f") / F.col("t"))), 6).alias("utilities")
+    return alighting.add_confidence(w.scored).selectExpr(
+        "card_id", "tap_s", "run_id", "alight_sequence", "board_sequence", "stop_id", "alight_stop_id", *r6("confidence")
     )
 
 
@@ -397,9 +400,15 @@ def _(w):
     return journeys.drop_odd_sequences(w.looped).selectExpr(*EVENT)
 
 
-@query("W11_with_destination", f"SELECT {EVENT_SQL} FROM looped WHERE journey_id IN (SELECT journey_id FROM typed WHERE event_type = 'DESTINATION')")
+_SOME_ENDLESS = "CASE WHEN event_type = 'DESTINATION' AND stop_id = 3 THEN 'MID_JOURNEY' ELSE event_type END"
+
+
+@query("W11_with_destination", f"""SELECT {EVENT_SQL} FROM (SELECT * REPLACE ({_SOME_ENDLESS} AS event_type) FROM looped) l
+WHERE journey_id IN (SELECT journey_id FROM typed WHERE event_type = 'DESTINATION' AND stop_id IS DISTINCT FROM 3)""")
 def _(w):
-    return journeys.drop_without_destination(w.looped).selectExpr(*EVENT)
+    # journeys that end at one stop lose their destination
+    endless = w.looped.withColumn("event_type", F.expr(_SOME_ENDLESS))
+    return journeys.drop_without_destination(endless).selectExpr(*EVENT)
 
 
 @query("W12_look_ahead", f"""SELECT journey_id, card_id, dt_s, event, stop_id, line_id, stop_id_next, stop_id_next_next, event_type_next_next, trip_stop_id_next,
@@ -582,13 +591,16 @@ def _(w):
 # ---------------------------------------------------------------- aggregations
 
 
-@query("R1_run_metrics", """SELECT metric, round(value, 6) AS value FROM (
+_METRICS = """SELECT metric, round(value, 6) AS value FROM (
  SELECT 'N_SUCCESSFUL' AS metric, CAST(count(DISTINCT journey_id) AS double) AS value FROM rider_events
  UNION ALL SELECT 'N_FAILED', count(DISTINCT journey_id) FROM failed
  UNION ALL SELECT 'PERCENT_FAILED', floor(100.0 * b / (a + b)) FROM (SELECT (SELECT count(DISTINCT journey_id) FROM rider_events) AS a, (SELECT count(DISTINCT journey_id) FROM failed) AS b) q
  UNION ALL SELECT 'MEAN_CONFIDENCE', avg(confidence) FROM rider_events WHERE event = 'ALIGHTED'
  UNION ALL SELECT 'PERCENT_INTERLINE', floor(100.0 * count(DISTINCT CASE WHEN event LIKE '%INTERLINE%' THEN journey_id END) / count(DISTINCT journey_id)) FROM rider_events
- UNION ALL SELECT reason, count(*) FROM (SELECT DISTINCT service_date, journey_id, unnest(reasons) AS reason FROM failed) r GROUP BY reason) x""")
+ UNION ALL SELECT reason, count(*) FROM (SELECT DISTINCT service_date, journey_id, unnest(reasons) AS reason FROM failed) r GROUP BY reason) x"""
+
+
+@query("R1_run_metrics", _METRICS)
 def _(w):
     return metrics.run_metrics(w.events, w.failed).selectExpr("metric", *r6("value"))
 
@@ -776,15 +788,17 @@ def _(w):
 
 
 def _pick(stratum: str) -> str:
-    return f"""SELECT * FROM (SELECT DISTINCT ON (h, journey_id) card_id, journey_id, mode AS stratum, sha256('0|' || journey_id) AS h
+    return f"""SELECT * FROM (SELECT card_id, journey_id, mode AS stratum,
+   sha256('0|' || journey_id || coalesce('|' || CAST(CAST(floor(validity_score * 100) AS int) AS varchar), '')) AS h
  FROM profiles WHERE mode = '{stratum}' AND origin_origin_distance_meters IS NOT NULL ORDER BY h, journey_id LIMIT 25) z"""
 
 
 @query("K12_stratified_samples", "SELECT p.stratum, e.journey_id, e.card_id, e.dt_s, e.event FROM rider_events e JOIN ("
        + " UNION ALL ".join(_pick(m) for m in ("platform_only", "onboard_only", "mixed")) + ") p ON p.card_id = e.card_id")
 def _(w):
-    once = w.profiles.withColumn("validity_score", F.lit(None).cast("double")).distinct()
-    return profiles.stratified_samples(once, w.events).selectExpr("stratum", "journey_id", "card_id", "CAST(datetime AS bigint) AS dt_s", "event")
+    # whole hundredths: their text is the same everywhere
+    scored = w.profiles.withColumn("validity_score", F.floor(F.col("validity_score") * 100).cast("int"))
+    return profiles.stratified_samples(scored, w.events).selectExpr("stratum", "journey_id", "card_id", "CAST(datetime AS bigint) AS dt_s", "event")
 
 
 @query("K13_cutoff_counts", """SELECT CASE WHEN a.confidence > 0.15 THEN 'Y' ELSE 'N' END AS above_cutoff, count(*) AS n
@@ -845,13 +859,26 @@ def _(w):
     return df.selectExpr("n_platform_lines", "n_control", "n_fixed", *r6(*(f"{x}_{s}" for x in _BOTH[1:] for s in ("control", "fixed"))))
 
 
-@query("K17_run_checks", """SELECT 'single_leg_journeys' AS check, count(DISTINCT journey_id) AS n FROM lone
- UNION ALL SELECT 'duplicate_events', count(*) FROM (SELECT 1 FROM rider_events WHERE event IN ('BOARDED', 'ALIGHTED') GROUP BY card_id, dt_s, journey_id HAVING count(*) > 1) q
- UNION ALL SELECT 'same_stop_trips', count(*) FILTER (stop_id = stop_id_next) FROM lone""")
+_PLATFORM = "line_id IN (200, 100, 90, 190, 290)"
+
+
+def _checks_sql(lone: str, events: str) -> str:
+    return f"""SELECT 'single_leg_journeys' AS check, count(DISTINCT journey_id) AS n FROM {lone}
+ UNION ALL SELECT 'duplicate_events', count(*) FROM (SELECT 1 FROM {events} WHERE event IN ('BOARDED', 'ALIGHTED') GROUP BY card_id, dt_s, journey_id HAVING count(*) > 1) q
+ UNION ALL SELECT 'same_stop_trips', count(*) FILTER (stop_id = stop_id_next) FROM {lone}"""
+
+
+@query("K17_run_checks", _checks_sql("lone", "rider_events"))
 def _(w):
     return compare.run_checks(w.lone, w.events)
 
 
+@query("K17_platform_checks_of_both_runs", f"""SELECT 'control' AS run, * FROM ({_checks_sql(f"(SELECT * FROM c_lone WHERE {_PLATFORM}) x", f"(SELECT * FROM c_rider_events WHERE {_PLATFORM}) x")}) c
+UNION ALL SELECT 'fixed' AS run, * FROM ({_checks_sql(f"(SELECT * FROM lone WHERE {_PLATFORM}) x", f"(SELECT * FROM rider_events WHERE {_PLATFORM}) x")}) f""")
+def _(w):
+    return compare.checks_of_runs({"control": (w.control_lone, w.control_events), "fixed": (w.lone, w.events)})
+
+
 def _impact_sql(segment: str, above: str, modes: bool) -> str:
     stats = {
         "Number of Journeys": "CAST(count(*) AS double)",
@@ -910,9 +937,12 @@ def _(w):
     )
 
 
-@query("X2_all_releases", "SELECT DISTINCT stop_id, stop_lon FROM fx_stops")
+@query("X2_all_releases", "SELECT DISTINCT stop_id, stop_lat, stop_lon FROM fx_stops")
 def _(w):
-    return schedule.all_releases(w.raw("stops").select("stop_id", "stop_lon", "release_date"))
+    # a third release repeats the second
+    stops = w.raw("stops")
+    third = stops.where("release_date = date'2024-01-16'").withColumn("release_date", F.lit("2024-02-01").cast("date"))
+    return schedule.all_releases(stops.unionByName(third))
 
 
 @query("X3_active_services", "SELECT DISTINCT service_id FROM fx_calendar_dates WHERE exception_type = 1")
@@ -920,9 +950,11 @@ def _(w):
     return schedule.active_services(w.raw("calendar_dates"))
 
 
-@query("X3_active_trips", "SELECT DISTINCT trip_id FROM fx_trips WHERE service_id IN (SELECT service_id FROM fx_calendar_dates WHERE exception_type = 1)")
+@query("X3_active_trips", "SELECT DISTINCT trip_id FROM (SELECT trip_id, CASE WHEN trip_id % 3 = 0 THEN 'B' ELSE service_id END AS service_id FROM fx_trips) t WHERE service_id IN (SELECT service_id FROM fx_calendar_dates WHERE exception_type = 1)")
 def _(w):
-    return schedule.active_trips(w.raw("calendar_dates"), w.raw("trips"))
+    # a third of the trips belong to a service that is only taken away
+    trips = w.raw("trips").withColumn("service_id", F.expr("CASE WHEN trip_id % 3 = 0 THEN 'B' ELSE service_id END"))
+    return schedule.active_trips(w.raw("calendar_dates"), trips)
 
 
 @query("X4_date_range", "SELECT service_id, date, exception_type FROM fx_calendar_dates WHERE date BETWEEN 20240105 AND 20240120")
@@ -965,6 +997,36 @@ def _(w):
     )
 
 
+def release_files(w: World, df: DataFrame, folder: str, kind: str) -> None:
+    """Parquet files of one kind in a release's folder, named after the kind."""
+    parts = f"{scratch(w)}/{kind}"
+    df.write.parquet(parts)
+    path = w.spark._jvm.org.apache.hadoop.fs.Path
+    files = path(parts).getFileSystem(w.spark._jsc.hadoopConfiguration())
+    files.mkdirs(path(folder))
+    for i, found in enumerate(files.globStatus(path(f"{parts}/*.parquet"))):
+        files.rename(found.getPath(), path(f"{folder}/{i}-{kind}.parquet"))
+
+
+@query("S2_feed_over_releases", """SELECT trip_id, CAST(t.release_date AS varchar) AS release_date, s.n_stops, s.latitudes FROM (
+  SELECT trip_id, make_date(2023, 12, 15) AS release_date FROM fx_trips WHERE trip_id % 2 = 0 UNION ALL
+  SELECT trip_id, make_date(2024, 1, 16) FROM fx_trips) t
+JOIN (SELECT release_date, count(*) AS n_stops, round(sum(stop_lat), 6) AS latitudes FROM fx_stops GROUP BY 1) s ON s.release_date = t.release_date""")
+def _(w):
+    # two releases of two kinds each; the first lists only even trips
+    out = scratch(w)
+    for day, trips in (("2023-12-15", w.raw("trips").where("trip_id % 2 = 0")), ("2024-01-16", w.raw("trips"))):
+        folder = f"{out}/RELEASE_DATE={day}"
+        release_files(w, trips, folder, "trips")
+        release_files(w, w.raw("stops").where(f"release_date = date'{day}'").drop("release_date"), folder, "stops")
+    stops = readers.read_feed(w.spark, out, "stops").groupBy("RELEASE_DATE").agg(
+        F.count(F.lit(1)).alias("n_stops"), F.round(F.sum("stop_lat"), 6).alias("latitudes")
+    )
+    return readers.read_feed(w.spark, out, "trips").join(stops, "RELEASE_DATE").selectExpr(
+        "trip_id", "CAST(RELEASE_DATE AS string) AS release_date", "n_stops", "latitudes"
+    )
+
+
 @query("S3_csv_inferred", "SELECT event_id, line_id, stop_id FROM fx_taps")
 def _(w):
     out = scratch(w)
@@ -999,13 +1061,12 @@ def _(w):
     )
 
 
-@query("S7_metrics_sink", "SELECT CAST(count(DISTINCT journey_id) AS double) AS n_successful, (SELECT CAST(count(DISTINCT journey_id) AS double) FROM failed) AS n_failed FROM rider_events")
+@query("S7_metrics_sink", _METRICS)
 def _(w):
     out = scratch(w)
     sinks.write_metrics(metrics.run_metrics(w.events, w.failed), f"{out}/metrics")
-    return w.spark.read.schema("N_SUCCESSFUL double, N_FAILED double").json(f"{out}/metrics").selectExpr(
-        "N_SUCCESSFUL AS n_successful", "N_FAILED AS n_failed"
-    )
+    told = w.spark.read.text(f"{out}/metrics").select(F.explode(F.from_json("value", "map<string,double>")).alias("metric", "value"))
+    return told.selectExpr("metric", *r6("value"))
 
 
 @query("S8_csv_export", "SELECT journey_id, event, dt_s FROM rider_events")

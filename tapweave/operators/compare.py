@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -170,3 +170,15 @@ def run_checks(trips: DataFrame, events: DataFrame) -> DataFrame:
         F.lit("same_stop_trips").alias("check"), "n"
     )
     return journeys.unionByName(repeated).unionByName(still)
+
+
+def checks_of_runs(
+    runs: Mapping[str, tuple[DataFrame, DataFrame]], lines: Sequence[int] = PLATFORM_REPORT_LINES
+) -> DataFrame:
+    """``run_checks`` of several runs (single-leg trips and events by name), platform lines only, with ``run``."""
+    out = None
+    for name, (trips, events) in runs.items():
+        on_lines = F.col("line_id").isin(*lines)
+        told = run_checks(trips.where(on_lines), events.where(on_lines)).select(F.lit(name).alias("run"), "check", "n")
+        out = told if out is None else out.unionByName(told)
+    return out

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from tapweave.functions.clock import epoch, service_clock
@@ -62,28 +62,37 @@ def numeric_routes(visits: DataFrame) -> DataFrame:
     return visits.withColumn("route_id", F.regexp_replace("route_id", "[a-z]", "").try_cast("int"))
 
 
+def watch_trip_data(joined: DataFrame, watch: Observation) -> DataFrame:
+    """Visits with trip data and text route ids, whose faults ``watch`` notes while somebody writes them."""
+    text = F.col("route_id")
+    number = F.regexp_replace(text, "[a-z]", "").try_cast("int")
+    return joined.observe(
+        watch,
+        # one date per calendar day at most
+        F.collect_set(F.when(text.isNull(), F.col("service_date").cast("string"))).alias("missing"),
+        F.count_if(text.isNotNull() & number.isNull()).alias("odd"),
+    )
+
+
+def require_watched(watch: Observation) -> None:
+    """An error when trips were missing or route ids not numeric; call it after the write and before the use."""
+    seen = watch.get
+    if seen["missing"]:
+        raise ValueError(f"no schedule data for trips on {', '.join(sorted(seen['missing']))}")
+    if seen["odd"]:
+        raise ValueError("route ids left that are not numeric")
+
+
 def require_trip_data(visits: DataFrame, trips: DataFrame) -> DataFrame:
     """The visits, or an error when trips are missing or route ids are not numeric.
 
-    Both checks come from one aggregate over ``trip_id`` and ``service_date``.
+    A job of its own over ``trip_id`` and ``service_date``; where the visits are
+    written anyway, ``watch_trip_data`` takes no second join.
     """
-    checked = numeric_routes(
-        visits.select("trip_id", "service_date").join(
-            unique_trips(trips).withColumn("route_text", F.col("route_id")), "trip_id", "left"
-        )
-    )
-    bad = (
-        checked.where(F.col("route_id").isNull())
-        .groupBy("service_date")
-        .agg(F.count_if(F.col("route_text").isNull()).alias("missing"))
-        .orderBy("service_date")
-        .collect()  # one row per calendar day at most
-    )
-    missing = [str(r.service_date) for r in bad if r.missing]
-    if missing:
-        raise ValueError(f"no schedule data for trips on {', '.join(missing)}")
-    if bad:
-        raise ValueError("route ids left that are not numeric")
+    watch = Observation()
+    narrow = visits.select("trip_id", "service_date")
+    watch_trip_data(add_trip_data(narrow, trips), watch).write.format("noop").mode("overwrite").save()
+    require_watched(watch)
     return visits
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 
 from tapweave.config import VISIT_SOURCE, Settings
 from tapweave.functions.stage import stage
@@ -36,15 +36,21 @@ def prepare_taps(raw: DataFrame, s: Settings, strict: bool = True) -> DataFrame:
 
 
 def located_visits(
-    raw: DataFrame, trips: DataFrame, stops: DataFrame, tapped: DataFrame, s: Settings, strict: bool = True
+    raw: DataFrame, trips: DataFrame, stops: DataFrame, tapped: DataFrame, s: Settings, strict: bool = True,
+    watch: Observation | None = None,
 ) -> DataFrame:
-    """Visits with times, trip data and positions, before any merging."""
+    """Visits with times, trip data and positions, before any merging.
+
+    ``strict`` checks the trip data at once; with ``watch`` the check rides on
+    the write of the visits, see ``visits.require_watched``.
+    """
     df = visits.add_visit_times(taps.upper_case_columns(raw))
     df = visits.keep_tapped_dates(df, tapped)
     trips = taps.upper_case_columns(trips)
-    if strict:
+    if strict and watch is None:
         visits.require_trip_data(df, trips)
-    df = visits.numeric_routes(visits.add_trip_data(df, trips))
+    df = visits.add_trip_data(df, trips)
+    df = visits.numeric_routes(df if watch is None else visits.watch_trip_data(df, watch))
     df = visits.add_source(df, VISIT_SOURCE)
     return visits.add_stop_locations(df, taps.upper_case_columns(stops))
 
@@ -84,7 +90,10 @@ def prepare(
     keep = stage if s.staged else (lambda df, _: df)
     tapped = keep(prepare_taps(raw_taps, s, strict), "taps")
     # used by both the visits and the chains
-    located = keep(located_visits(raw_visits, trips, stops, tapped, s, strict), "located")
+    watch = Observation() if strict and s.staged else None
+    located = keep(located_visits(raw_visits, trips, stops, tapped, s, strict, watch), "located")
+    if watch is not None:
+        visits.require_watched(watch)
     return Prepared(
         tapped, keep(prepare_visits(located, s), "visits"), keep(prepare_chains(located, s), "chains")
     )

@@ -1,6 +1,8 @@
 """Every registered query against its SQL twin on the smallest tables."""
 
 import os
+import subprocess
+import sys
 
 import pytest
 
@@ -30,3 +32,15 @@ def test_query(spark, con, name):
 def test_entry(spark):
     df = entry(spark)
     assert df.count() > 0 and {"journey_id", "event", "event_type", "confidence"} <= set(df.columns)
+
+
+def test_entry_without_a_library_of_the_corpus_operators():
+    """A missing dependency takes the corpus queries away, and no others."""
+    code = (
+        "import sys; sys.modules['xxhash'] = None\n"
+        "import __spark_entry__ as e\n"
+        "from checks.queries import QUERIES\n"
+        "assert e.queries().keys() == QUERIES.keys() and len(QUERIES) > 100"
+    )
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    assert subprocess.run([sys.executable, "-c", code], cwd=root).returncode == 0

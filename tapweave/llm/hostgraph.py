@@ -66,6 +66,9 @@ class Walk:
     ratio: float = 1.0
 
 
+RESULTS = ("host", "path", "rule", "trust", "distrust", "verdict")
+
+
 def host_of(url: Column) -> Column:
     found = F.regexp_extract(F.coalesce(url, F.lit("")), "(?s)^.*?://([^/?#]*)", 1)
     return F.translate(found, _UPPER, _UPPER.lower())
@@ -76,13 +79,13 @@ def path_of(url: Column) -> Column:
 
 
 def with_rule(pages: DataFrame, rules: Sequence[UrlRule] = RULES) -> DataFrame:
-    """Add ``host``, ``path``, ``rule`` and ``rule_verdict`` (both null where no rule fits)."""
+    """Add ``host``, ``path``, ``rule`` and ``__rule_verdict`` (both null where no rule fits)."""
     named = pages.withColumns({"host": host_of(F.col("url")), "path": path_of(F.col("url"))})
     rule, verdict = F.lit(None).cast("string"), F.lit(None).cast("string")
     for r in sorted(rules, key=lambda r: len(r.name)):  # the longest is asked first
         fits = ((F.col("host") == r.host) | F.endswith("host", F.lit("." + r.host))) & F.startswith("path", F.lit(r.path))
         rule, verdict = F.when(fits, r.name).otherwise(rule), F.when(fits, r.verdict).otherwise(verdict)
-    return named.withColumns({"rule": rule, "rule_verdict": verdict})
+    return named.withColumns({"rule": rule, "__rule_verdict": verdict})
 
 
 def host_links(pages: DataFrame) -> DataFrame:
@@ -96,8 +99,8 @@ def host_links(pages: DataFrame) -> DataFrame:
 
 def seeds(judged: DataFrame) -> DataFrame:
     """Share of a host in all pages that rules allow (``trust``) or block (``distrust``)."""
-    kind = F.when(F.col("rule_verdict") == "allow", "trust").otherwise("distrust")
-    marked = judged.where("host <> '' AND rule_verdict IS NOT NULL").groupBy(kind.alias("kind"), "host").agg(F.count(F.lit(1)).alias("pages"))
+    kind = F.when(F.col("__rule_verdict") == "allow", "trust").otherwise("distrust")
+    marked = judged.where("host <> '' AND __rule_verdict IS NOT NULL").groupBy(kind.alias("kind"), "host").agg(F.count(F.lit(1)).alias("pages"))
     totals = {r[0]: r[1] for r in marked.groupBy("kind").agg(F.sum("pages")).collect()}  # two rows at most
     share = F.lit(None).cast("double")
     for name, total in totals.items():
@@ -144,12 +147,12 @@ def propagate(links: DataFrame, start: DataFrame, stages: Stages, walk: Walk = W
 
 
 def judge(pages: DataFrame, stages: Stages, rules: Sequence[UrlRule] = RULES, walk: Walk = Walk()) -> DataFrame:
-    """``pages`` with host, path, rule, trust, distrust and verdict."""
-    ruled = with_rule(pages, rules)
+    """``pages`` with ``RESULTS``, and without ``html``; a column named like one of the results is replaced."""
+    ruled = with_rule(pages.drop(*RESULTS), rules)
     links = stages.write(host_links(ruled), "links")
     ranks = stages.write(propagate(links, seeds(ruled), stages, walk), "hosts")
     ruled = ruled.drop("html") if "html" in pages.columns else ruled
     both = ruled.join(ranks.withColumnRenamed("host", "__host"), F.col("host") == F.col("__host"), "left").drop("__host")
     both = both.withColumns({c: F.coalesce(c, F.lit(0.0)) for c in ("trust", "distrust")})
     spread = F.when(F.col("distrust") > F.col("trust") * walk.ratio, "block").otherwise("allow")
-    return both.withColumn("verdict", F.coalesce("rule_verdict", spread)).drop("rule_verdict")
+    return both.withColumn("verdict", F.coalesce("__rule_verdict", spread)).drop("__rule_verdict")

@@ -20,8 +20,9 @@ margin are small written tables.
 Defined results: null sources, languages and topics are values of their own
 (shown as empty text); a null or empty text has one token; a null id has the
 hash of the empty text; repeated rows share their fate; an empty table gives no
-rows; other columns are passed through. A margin value without a target gets
-its tempered natural share.
+rows; other columns are passed through, whatever their names (``calibrated``
+replaces those named like its results). A margin value without a target gets its
+tempered natural share.
 """
 
 from __future__ import annotations
@@ -167,8 +168,8 @@ def scale(raked: DataFrame, budget: float) -> float:
         c, before = max(c, (tokens * budget - whole) / free), n
 
 
-def calibrated(docs: DataFrame, mix: Mix, stages: Stages) -> DataFrame:
-    """Add ``tokens``, ``topic``, ``weight`` (of the cell), ``probability`` and ``kept``, named with ``mix_`` in front."""
+def _decided(docs: DataFrame, mix: Mix, stages: Stages) -> tuple[DataFrame, DataFrame]:
+    """``docs`` with ``__topic``, ``__tokens``, ``__weight``, ``__probability`` and ``__kept``, and the table of cells."""
     told = described(docs)
     cells = told.groupBy(*(F.col(f"__{m}").alias(m) for m in MARGINS)).agg(
         F.sum("__tokens").alias("tokens"), F.count(F.lit(1)).alias("documents")
@@ -183,15 +184,43 @@ def calibrated(docs: DataFrame, mix: Mix, stages: Stages) -> DataFrame:
         kept = (raked.agg(F.sum("tokens")).first()[0] or 1) * min(1.0, mix.budget)
         probability = F.least(F.lit(1.0), F.col("rate") * F.lit(scale(raked, mix.budget)))
         weight = probability * F.col("tokens") / F.lit(float(kept))
-    rates = raked.select(
-        *(F.col(m).alias(f"__{m}") for m in MARGINS), weight.alias("mix_weight"), F.round(probability, 9).alias("mix_probability")
+    cells = raked.select(*MARGINS, "tokens", weight.alias("weight"), F.round(probability, 9).alias("probability"))
+    cells = stages.write(cells, "rates")
+    rates = cells.select(
+        *(F.col(m).alias(f"__{m}") for m in MARGINS), F.col("weight").alias("__weight"), F.col("probability").alias("__probability")
     )
-    rates = stages.write(rates, "rates")
     out = told.join(rates, [f"__{m}" for m in MARGINS])
-    out = out.withColumn("mix_kept", uniform() < F.col("mix_probability"))
-    return out.withColumnsRenamed({"__tokens": "mix_tokens", "__topic": "mix_topic"}).drop("__source", "__lang")
+    return out.withColumn("__kept", uniform() < F.col("__probability")).drop("__source", "__lang"), cells
+
+
+def margin_errors(cells: DataFrame, mix: Mix) -> DataFrame:
+    """margin, value, target and reached share of the expected tokens, and their difference, from the table of cells."""
+    out = None
+    for m in MARGINS:
+        reached = cells.groupBy(m).agg(F.sum(F.col("tokens") * F.col("probability")).alias("n"))
+        total = reached.agg(F.sum("n")).first()[0] or 1.0
+        told = targets(cells.select(m, "tokens"), m, mix).join(reached, m).select(
+            F.lit(m).alias("margin"), F.col(m).alias("value"), F.col(f"target_{m}").alias("target"), (F.col("n") / F.lit(total)).alias("reached")
+        )
+        out = told if out is None else out.unionByName(told)
+    return out.withColumn("error", F.abs(F.col("reached") - F.col("target")))
+
+
+RESULTS = ("tokens", "topic", "weight", "probability", "kept")
+
+
+def calibrated(docs: DataFrame, mix: Mix, stages: Stages) -> DataFrame:
+    """Add ``RESULTS`` (weight and probability are those of the cell), named with ``mix_`` in front; columns of these names are replaced."""
+    out, _ = _decided(docs.drop(*(f"mix_{c}" for c in RESULTS)), mix, stages)
+    return out.withColumnsRenamed({f"__{c}": f"mix_{c}" for c in RESULTS})
+
+
+def largest_error(docs: DataFrame, mix: Mix, stages: Stages) -> float:
+    """The largest difference of a margin's share from its target, in expectation; 0 for an empty table."""
+    _, cells = _decided(docs, mix, stages)
+    return margin_errors(cells, mix).agg(F.max("error")).first()[0] or 0.0
 
 
 def sample(docs: DataFrame, mix: Mix, stages: Stages) -> DataFrame:
     """The documents that the mixture keeps, with their own columns."""
-    return calibrated(docs, mix, stages).where("mix_kept").select(docs.columns)
+    return _decided(docs, mix, stages)[0].where("__kept").select(docs.columns)

@@ -33,7 +33,7 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    judged = hostgraph.judge(table(spark, sf_dir, "pages"), Stages(spark))
+    judged = hostgraph.judge(table(spark, sf_dir, "pages").select("page_id", "url", "html"), Stages(spark))
     return judged.select("page_id", "host", "path", "rule", "verdict", "trust", "distrust")
 
 
@@ -52,12 +52,16 @@ def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digested(pii.with_spans(table(spark, sf_dir, "documents").select("doc_id", "text")))
 
 
+# Half of all tokens, however rare the rarest cell is.
+OP7_MIX = mixing.Mix(budget=0.5)
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
-    mixed = mixing.calibrated(docs, mixing.Mix(), Stages(spark))
+    mixed = mixing.calibrated(docs, OP7_MIX, Stages(spark))
     return mixed.select(
         "doc_id", "source", "lang", F.col("mix_topic").alias("topic"), F.col("mix_tokens").alias("tokens"),
-        F.round("mix_weight", 9).alias("weight"), F.round("mix_probability", 8).alias("probability"), F.col("mix_kept").alias("kept"),
+        F.round("mix_weight", 9).alias("weight"), F.col("mix_probability").alias("probability"), F.col("mix_kept").alias("kept"),
     )
 
 
@@ -115,7 +119,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 
 def _mixing_sql(mix: mixing.Mix) -> str:
-    """The same raking, unrolled: each half-sweep is one table of factors."""
+    """The same raking within a budget, unrolled: each half-sweep is one table of factors."""
     text = "coalesce(text, '')"
 
     def many(chars: str, share: float) -> str:
@@ -143,24 +147,37 @@ def _mixing_sql(mix: mixing.Mix) -> str:
     def weighted() -> str:
         joins = "".join(f" JOIN {name} AS f_{m} ON f_{m}.{m} = cells.{m}" for m, name in now.items())
         product = "".join(f" * f_{m}.f" for m in now)
-        return f"SELECT cells.*, cells.tokens / everything.n{product} AS w FROM cells CROSS JOIN everything{joins}"
+        old = ", ".join(f"f_{m}.f AS old_{m}" if m in now else f"1.0 AS old_{m}" for m in mixing.MARGINS)
+        return (
+            f"SELECT cells.*, {old}, cells.tokens / everything.n{product} AS w, cells.tokens / (everything.n * {mix.budget}) AS most "
+            f"FROM cells CROSS JOIN everything{joins}"
+        )
 
     for i in range(mix.sweeps):
         for m in mixing.MARGINS:
-            now.pop(m, None)
             name = f"factor_{m}_{i}"
             parts.append(
-                f"{name} AS MATERIALIZED (SELECT t.{m}, t.t / c.w AS f FROM target_{m} t JOIN "
-                f"(SELECT {m}, sum(w) AS w FROM ({weighted()}) q GROUP BY {m}) c ON c.{m} = t.{m})"
+                f"{name} AS MATERIALIZED (SELECT t.{m}, c.old * coalesce(CASE WHEN c.free > 0 AND t.t > c.whole THEN (t.t - c.whole) / c.free END, "
+                f"t.t / nullif(c.whole + c.free, 0), 0) AS f FROM target_{m} t JOIN "
+                f"(SELECT {m}, max(old_{m}) AS old, sum(CASE WHEN w >= most THEN most ELSE 0 END) AS whole, "
+                f"sum(CASE WHEN w >= most THEN 0 ELSE w END) AS free FROM ({weighted()}) q GROUP BY {m}) c ON c.{m} = t.{m})"
             )
             now[m] = name
-    parts.append(f"raked AS (SELECT *, w / tokens AS rate FROM ({weighted()}) q)")
-    parts.append("rates AS (SELECT source, lang, topic, w, round(rate / max(rate) OVER (), 9) AS p FROM raked)")
+    # cells get full in the order of their rates; the first count of full ones that leaves the next below 1 is it
+    parts += [
+        f"raked AS MATERIALIZED (SELECT source, lang, topic, tokens, w, w / tokens AS rate FROM ({weighted()}) q)",
+        f"""ordered AS (SELECT *, row_number() OVER o AS k,
+ coalesce(sum(tokens) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS whole,
+ sum(w) OVER (o ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS free FROM raked WINDOW o AS (ORDER BY rate DESC, source, lang, topic))""",
+        f"scales AS (SELECT k, rate, (n * {mix.budget} - whole) / free AS c FROM ordered CROSS JOIN everything)",
+        "scale AS (SELECT arg_min(c, k) AS c FROM scales WHERE c * rate < 1)",
+        "rates AS (SELECT source, lang, topic, tokens, least(1.0, rate * c) AS u, round(least(1.0, rate * c), 9) AS p FROM raked CROSS JOIN scale)",
+    ]
     hashed = "CAST('0x' || substr(md5(coalesce(CAST(doc_id AS varchar), '')), 1, 13) AS bigint) / 4503599627370496.0"
     return (
-        "WITH " + ", ".join(parts) + " SELECT d.doc_id, d.source, d.lang, d.topic, d.tokens, round(r.w, 9) AS weight, "
-        f"round(r.p, 8) AS probability, {hashed} < r.p AS kept "
-        "FROM told d JOIN rates r ON r.source = d.s AND r.lang = d.l AND r.topic = d.topic"
+        f"WITH {', '.join(parts)} SELECT d.doc_id, d.source, d.lang, d.topic, d.tokens, round(r.u * r.tokens / (e.n * {mix.budget}), 9) AS weight, "
+        f"r.p AS probability, {hashed} < r.p AS kept "
+        "FROM told d JOIN rates r ON r.source = d.s AND r.lang = d.l AND r.topic = d.topic CROSS JOIN everything e"
     )
 
 
@@ -189,7 +206,7 @@ s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) A
  FROM v q JOIN v c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id),
 r AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS int) AS rank, vec_id, score FROM s)
 SELECT * FROM r WHERE rank <= 20""",
-    "op7_mixing": _mixing_sql(mixing.Mix()),
+    "op7_mixing": _mixing_sql(OP7_MIX),
     "op8_minhash": """
 WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''),
    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),

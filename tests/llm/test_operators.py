@@ -12,6 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tapweave.functions.stage import Stages
+from tapweave.llm.queries import OP7_MIX
 from tapweave.llm import hostgraph, mixing, packing, pii, topk, warc
 
 
@@ -383,3 +384,58 @@ def test_least_squares_fits_and_stays_positive():
     x = packing.nnls(patterns, histogram, 900)
     fit = np.bincount(patterns.ravel(), np.repeat(x, 3), 33)
     assert (x >= 0).all() and np.abs(fit[1:] - histogram[1:]).max() < 1e-3 * histogram.max()
+
+
+# ---------------------------------------------------------------- clashing names
+
+
+def test_pages_with_columns_named_like_results(spark, stages):
+    pages = spark.createDataFrame(WEB, "page_id long, url string, html string")
+    plain = hostgraph.judge(pages, stages)
+    clash = pages.withColumns({c: F.lit("own") for c in ("trust", "distrust", "host", "path", "rule", "verdict")})
+    clash = clash.withColumn("rule_verdict", F.lit("kept"))
+    got = hostgraph.judge(clash, stages)
+    assert {r["rule_verdict"] for r in got.collect()} == {"kept"}
+    assert sorted(map(repr, got.select(plain.columns).collect())) == sorted(map(repr, plain.collect()))
+
+
+def test_long_pages_and_a_chain_of_hosts(spark, stages):
+    chain = [(i, f"http://h{i}.org/", links(f"h{i + 1}.org")) for i in range(40)]
+    long = [(100, "http://spam.net/es/", "<p>x</p>" * 300_000 + links("h0.org")), (101, "http://q.org/", links("spam.net"))]
+    got = {r["page_id"]: r["verdict"] for r in hostgraph.judge(spark.createDataFrame(chain + long, "page_id long, url string, html string"), stages).collect()}
+    assert got[100] == "block" and got[101] == "block" and got[0] == "allow"
+
+
+def test_mixing_with_columns_named_like_results(spark, stages):
+    docs = spark.createDataFrame(
+        [(i, f"word {i} " * (1 + i % 40), "en" if i % 3 else "de", f"s{i % 4}") for i in range(300)] + [(None, None, None, None), (7, "x" * 3_000_000, "en", "s1")],
+        "doc_id long, text string, lang string, source string",
+    )
+    own = docs.withColumns({f"mix_{c}": F.lit("own") for c in mixing.RESULTS}).withColumn("tokens", F.lit(1))
+    mix = mixing.Mix(budget=0.5)
+    kept = mixing.sample(own, mix, stages)
+    assert kept.columns == own.columns and {r["mix_weight"] for r in kept.collect()} == {"own"}
+    told = mixing.calibrated(own, mix, stages)
+    assert sorted(map(repr, told.where("mix_kept").select(docs.columns).collect())) == sorted(map(repr, kept.select(docs.columns).collect()))
+    assert told.schema["mix_probability"].dataType.simpleString() == "double" and told.where("mix_probability IS NULL").isEmpty()
+
+
+def test_mixing_tells_how_near_it_came(spark, stages):
+    docs = spark.createDataFrame(
+        [(i, "word " * (20 + i % 7), "en" if i % 3 else "de", f"s{i % 2}") for i in range(600)], "doc_id long, text string, lang string, source string"
+    )
+    loose = mixing.Mix(targets={"lang": {"en": 0.5, "de": 0.5}}, budget=0.4)
+    assert mixing.largest_error(docs, loose, stages) < 1e-6
+    # a third of the tokens can't be nine tenths of four fifths of them
+    tight = mixing.Mix(targets={"lang": {"en": 0.1, "de": 0.9}}, budget=0.8)
+    assert mixing.largest_error(docs, tight, stages) > 0.3
+    assert mixing.largest_error(docs.where("false"), loose, stages) == 0.0
+
+
+def test_kept_share_does_not_fall_with_a_rare_cell(spark, stages):
+    rows = [(i, "word " * (20 + i % 7), "en", "s0") for i in range(400)]
+    schema = "doc_id long, text string, lang string, source string"
+    for more in ([], [(-1, "rare", "xx", "new")]):
+        told = mixing.calibrated(spark.createDataFrame(rows + more, schema), OP7_MIX, stages)
+        share = told.agg(F.sum(F.col("mix_tokens") * F.col("mix_probability")) / F.sum("mix_tokens")).first()[0]
+        assert share == pytest.approx(0.5, rel=1e-6)

@@ -196,6 +196,40 @@ def components(edges: DataFrame, stages: Stages) -> DataFrame:
     return labels if labels is not None else edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
 
 
+# Parts that the members of a bucket are dealt over by their hash.
+BUCKET_PARTS = 64
+
+# Leaves per block of a group that is joined with itself.
+LEAVES_PER_BLOCK = 1000
+
+
+def meeting_places(stars: DataFrame, sets: DataFrame, params: NearDup) -> DataFrame:
+    """center, token, df, and node, component, n, d and at of the leaves that have to meet there, see ``leaf_pairs``."""
+    p = params.percent
+    own = sets.select("node", "s")
+    middle = sets.select(F.col("node").alias("center"), F.col("s").alias("c"))
+    both = stars.select("center", "node", "component").join(own, "node").join(middle, "center")
+    added, missing = F.array_except("s", "c"), F.transform(F.array_except("c", "s"), lambda x: F.bitwise_not(x))
+    told = both.select("center", "node", "component", F.size("s").alias("n"), F.concat(added, missing).alias("delta"))
+    told = told.withColumn("d", F.size("delta"))
+    # no partner at this centre differs from it in fewer places
+    least = told.groupBy("center").agg(F.min("d").alias("least"))
+    told = told.join(least, "center")
+    tokens = told.select("center", "node", "component", F.explode("delta").alias("token"))
+    often = tokens.groupBy("center", "token").agg(
+        F.count(F.lit(1)).alias("df"), F.min("component").alias("low"), F.max("component").alias("high")
+    ).where("low < high").drop("low", "high")
+    shared = tokens.drop("component").join(often, ["center", "token"])
+    by_node = Window.partitionBy("center", "node")
+    # differences that nobody of another component has come first
+    placed = shared.withColumns({"__shared": F.count(F.lit(1)).over(by_node), "__k": F.row_number().over(by_node.orderBy("df", "token"))})
+    placed = placed.join(told.drop("delta"), ["center", "node"]).withColumn("at", F.col("d") - F.col("__shared") + F.col("__k") - 1)
+    largest = F.col("n") + F.floor(F.col("n") * 100 / p)
+    widest = largest - 2 * F.ceil(largest * p / (100 + p)) + 2  # no D is above it, whatever the partner's size
+    reach = (F.col("d") - F.col("at")) * 2 >= F.col("d") + F.col("least") - widest
+    return placed.where(reach).select("center", "token", "df", "node", "component", "n", "d", "at")
+
+
 def leaf_pairs(stars: DataFrame, sets: DataFrame, params: NearDup) -> DataFrame:
     """Pairs (a, b) of nodes around one centre, of different components, that can be similar enough: none that is, is missing.
 
@@ -206,29 +240,24 @@ def leaf_pairs(stars: DataFrame, sets: DataFrame, params: NearDup) -> DataFrame:
     more than (d1 + d2 - D) / 2 of these if they are similar, D being the
     largest symmetric difference of similar sets of their sizes; that is above 0
     unless both are similar to the centre. So they meet in a shared difference.
-    Differences are ordered from rare to frequent, and the places of the shared
-    one bound the number that can be shared.
+    Only differences that leaves of several components have can be shared by such
+    a pair. They are ordered from rare to frequent; the places of the first shared
+    one bound the number that can be shared, so a leaf goes only to places from
+    which enough can follow. Leaves of one component that share a passage meet
+    nowhere. What meets in one place is divided into numbered blocks, which meet
+    pairwise in different tasks.
     """
     p = params.percent
-    own = sets.select("node", "s")
-    middle = sets.select(F.col("node").alias("center"), F.col("s").alias("c"))
-    both = stars.join(own, "node").join(middle, "center")
-    added, missing = F.array_except("s", "c"), F.transform(F.array_except("c", "s"), lambda x: F.bitwise_not(x))
-    told = both.select("center", "node", F.size("s").alias("n"), F.concat(added, missing).alias("delta"))
-    told = told.select("center", "node", "n", F.size("delta").alias("d"), F.explode("delta").alias("token"))
-    often = told.groupBy("center", "token").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
-    shared = told.join(often, ["center", "token"])
-    by_node = Window.partitionBy("center", "node")
-    rare = F.col("d") - F.count(F.lit(1)).over(by_node)  # differences of this node alone come first
-    placed = shared.withColumn("at", rare + F.row_number().over(by_node.orderBy("df", "token")) - 1)
-    placed = placed.join(stars.select("center", "node", "component"), ["center", "node"])
+    placed = meeting_places(stars, sets, params).withColumn("blocks", F.ceil(F.col("df") / LEAVES_PER_BLOCK).cast("int"))
+    block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     columns = ("node", "component", "n", "d", "at")
-    a = placed.select("center", "token", *(F.col(c).alias(f"{c}_a") for c in columns))
-    b = placed.select("center", "token", *(F.col(c).alias(f"{c}_b") for c in columns))
+    a = placed.select("center", "token", *(F.col(c).alias(f"{c}_a") for c in columns), block.alias("here"), every.alias("there"))
+    b = placed.select("center", "token", *(F.col(c).alias(f"{c}_b") for c in columns), block.alias("there"), every.alias("here"))
     whole = (F.col("n_a") + F.col("n_b")).cast("long")
     apart = whole - 2 * F.ceil(whole * p / (100 + p))  # D
     most = F.least(F.col("d_a") - F.col("at_a"), F.col("d_b") - F.col("at_b"))
-    met = a.join(b, ["center", "token"]).where(
+    met = a.join(b, ["center", "token", "here", "there"]).where(
         (F.col("node_a") > F.col("node_b"))
         & (F.col("component_a") != F.col("component_b"))
         & (F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * p)
@@ -251,10 +280,14 @@ def _decided(docs: DataFrame, stages: Stages, params: NearDup) -> DataFrame:
     nodes = stages.write(classes.withColumn("node", F.monotonically_increasing_id()), "nodes")
 
     # buckets of several nodes
-    placed = nodes.select("node", "n", F.explode("bands").alias("key"))
-    counted = placed.groupBy("key").agg(F.min("node").alias("center"), F.count(F.lit(1)).alias("size"))
+    # a bucket may hold a third of all nodes, so its members stay in numbered parts: the least of a part, then the least of parts
+    part = F.pmod(F.xxhash64("node"), F.lit(BUCKET_PARTS)).cast("int").alias("part")
+    placed = nodes.select("node", "n", part, F.explode("bands").alias("key"))
+    counted = placed.groupBy("key", "part").agg(F.min("node").alias("center"), F.count(F.lit(1)).alias("size"))
+    whole = Window.partitionBy("key")
+    counted = counted.withColumns({"center": F.min("center").over(whole), "size": F.sum("size").over(whole)})
     live = stages.write(counted.where("size > 1"), "buckets")
-    members = stages.write(placed.join(live, "key"), "members")
+    members = stages.write(placed.join(live, ["key", "part"]), "members")
 
     # stars, confirmed on full sets
     sizes = nodes.select(F.col("node").alias("center"), F.col("n").alias("n_center"))
@@ -267,9 +300,10 @@ def _decided(docs: DataFrame, stages: Stages, params: NearDup) -> DataFrame:
 
     # buckets that the stars left in several pieces
     pieces = members.where("size > 2").join(first, "node", "left")
-    pieces = pieces.select("key", "center", "node", F.coalesce("component", "node").alias("component"))
+    pieces = pieces.select("key", "part", "center", "node", F.coalesce("component", "node").alias("component"))
     split = pieces.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
-    left = pieces.join(split.select("key"), "key", "left_semi").where("node <> center")
+    split = live.select("key", "part").join(split.select("key"), "key", "left_semi")
+    left = pieces.join(split, ["key", "part"], "left_semi").where("node <> center")
     left = stages.write(left.select("center", "node", "component").distinct(), "left")
     rest = stages.write(leaf_pairs(left, sets, params), "rest")
     more = confirmed(rest, sets, p)

@@ -2,6 +2,7 @@
 
 import random
 import re
+from collections import Counter
 from itertools import combinations
 
 import numpy as np
@@ -227,3 +228,47 @@ def test_components_of_a_long_path(spark, stages):
     edges = spark.createDataFrame([(a, b) for a, b in zip(path, path[1:])] + [(1000, 1001)], "a bigint, b bigint")
     got = {r["node"]: r["component"] for r in neardup.components(edges, stages).collect()}
     assert got == {i: 0 for i in range(n)} | {1000: 1000, 1001: 1000}
+
+
+def test_leaves_that_share_a_passage_do_not_meet(spark):
+    """2,000 leaves of one component with one added passage make no joined rows; those of another one meet only where they can be similar."""
+    params = neardup.NearDup(percent=80)
+    center = list(range(1, 101))
+    passage = list(range(1000, 1005))
+    sets = [(0, center)] + [(i, center[3:] + passage + [10_000 + i]) for i in range(1, 2001)]
+    stars = [(0, i, 0) for i in range(1, 2001)]
+    schema = "center long, node long, component long"
+    frame = spark.createDataFrame(sets, "node long, s array<bigint>")
+    assert neardup.meeting_places(spark.createDataFrame(stars, schema), frame, params).isEmpty()
+    # three far leaves: 2001 and 2002 share most of theirs and the passage, 2003 the passage only
+    far = [(2001, center[40:] + passage + list(range(3000, 3060))), (2002, center[40:] + passage + list(range(3000, 3059)) + [9]),
+           (2003, center[60:] + passage + list(range(4000, 4060)))]
+    frame = spark.createDataFrame(sets + far, "node long, s array<bigint>")
+    stars += [(0, n, n) for n, _ in far]
+    places = neardup.meeting_places(spark.createDataFrame(stars, schema), frame, params).collect()
+    got = {tuple(r) for r in neardup.leaf_pairs(spark.createDataFrame(stars, schema), frame, params).collect()}
+    assert (2002, 2001) in got
+    by_id = dict(sets + far)
+    similar = {(a, b) for a, _ in far for b in by_id if a > b > 0 and len(set(by_id[a]) & set(by_id[b])) * 180 >= 80 * (len(by_id[a]) + len(by_id[b]))}
+    assert similar <= got and len(got) < 10
+    pairs = Counter((r["center"], r["token"]) for r in places)
+    assert sum(n * n for n in pairs.values()) < 40_000_000 and len(places) < 20_000
+
+
+def test_blocks_lose_no_pair(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "LEAVES_PER_BLOCK", 2)
+    params = neardup.NearDup(percent=80)
+    rng = random.Random(4)
+    base = list(range(60))
+    sets, stars = [(0, base)], []
+    for i in range(1, 60):
+        family = i % 6
+        s = base[20:] + [100 + 50 * family + k for k in range(25)] + [9000 + rng.randrange(40) for _ in range(3)]
+        sets.append((i, sorted(set(s))))
+        stars.append((0, i, i))
+    frame = spark.createDataFrame(sets, "node long, s array<bigint>")
+    got = {tuple(r) for r in neardup.leaf_pairs(spark.createDataFrame(stars, "center long, node long, component long"), frame, params).collect()}
+    similar = {
+        (a, b) for a, x in sets[1:] for b, y in sets[1:] if a > b and len(set(x) & set(y)) * 180 >= 80 * (len(x) + len(y))
+    }
+    assert similar and similar <= got

@@ -2,11 +2,12 @@
 
 Base kinds are email, ip, card and phone; their matches that pass their check
 (address parts, length and Luhn sum, number of digits) are always reported.
-Further kinds need evidence: iban (mod-97 sum), ssn (number ranges) and tel
-(local telephone numbers) start from a prior, gain by a passed check and by
-words like "iban" or "call" shortly before the span, lose by words like "order"
-or "version", and are reported from ``threshold`` on, unless a base span covers
-part of them.
+Further kinds need evidence: iban (mod-97 sum), ssn (number ranges), tel (local
+telephone numbers), key (access keys of known shapes) and secret (assigned values
+whose characters are as mixed as random ones) start from a prior, gain by a passed
+check and by words like "iban", "call" or "password" shortly before the span, lose
+by words like "order" or "version", and are reported from ``threshold`` on, unless
+a base span covers part of them. The score of every span is reported with it.
 
 Each text is scanned once from end to end in time linear in its length: an email
 is found from its ``@``, and runs of digits are matched without stepping back.
@@ -19,9 +20,13 @@ passed through.
 
 from __future__ import annotations
 
+import math
 import re
+from bisect import bisect_left
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import accumulate
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -29,7 +34,7 @@ from pyspark.sql import functions as F
 
 # --- fixed values ------------------------------------------------------------
 BASE = ("email", "ip", "card", "phone")
-ADDED = ("iban", "ssn", "tel")
+ADDED = ("iban", "ssn", "tel", "key", "secret")
 CONTEXT = {
     "email": ("mail", "e-mail", "email", "contact", "write"),
     "ip": ("ip", "address", "host", "server", "login"),
@@ -38,10 +43,12 @@ CONTEXT = {
     "iban": ("iban", "account", "bank", "konto", "cuenta", "compte"),
     "ssn": ("ssn", "social", "security"),
     "tel": ("phone", "tel", "call", "mobile", "fax", "telefon"),
+    "key": ("key", "access", "aws", "token"),
+    "secret": ("password", "passwd", "pwd", "secret", "token", "key", "apikey", "credential", "auth", "bearer"),
 }
 AGAINST = ("order", "invoice", "version", "isbn", "page", "serial", "item")
-PRIOR = {"email": 0.8, "ip": 0.5, "card": 0.4, "phone": 0.6, "iban": 0.3, "ssn": 0.35, "tel": 0.35}
-CHECKED = {"email": 0.0, "ip": 0.2, "card": 0.4, "phone": 0.1, "iban": 0.5, "ssn": 0.1, "tel": 0.0}
+PRIOR = {"email": 0.8, "ip": 0.5, "card": 0.4, "phone": 0.6, "iban": 0.3, "ssn": 0.35, "tel": 0.35, "key": 0.6, "secret": 0.2}
+CHECKED = {"email": 0.0, "ip": 0.2, "card": 0.4, "phone": 0.1, "iban": 0.5, "ssn": 0.1, "tel": 0.0, "key": 0.1, "secret": 0.2}
 NEAR, FAR_OFF = 0.25, -0.2  # what a word for or against adds
 # characters of an international account number by country
 IBAN_SIZES = {
@@ -65,15 +72,19 @@ _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _IBAN = re.compile(r"(?<![A-Za-z0-9])(?=([A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30})(?![A-Za-z0-9]))")
 _SSN = re.compile(r"(?<![0-9-])([0-9]{3})-([0-9]{2})-([0-9]{4})(?![0-9-])")
 _TEL = re.compile(r"(?<![0-9+(])(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9])")
+# access keys whose issuers document their shape, and the head of a private key
+_KEY = re.compile(r"(?<![A-Za-z0-9])(?:(?:AKIA|ASIA)[A-Z0-9]{16}|gh[pousr]_[A-Za-z0-9]{36}|xox[abprs]-[A-Za-z0-9-]{10,}+)(?![A-Za-z0-9])|-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----")
+_ASSIGNED = re.compile(r"[=:][ \t]*+[\"']?([A-Za-z0-9+/_.~-]{12,}+)")
 _WORD = re.compile(r"[^\W\d_]+(?:-[^\W\d_]+)?")
 
 
 @dataclass(frozen=True)
 class PiiParams:
-    """``window``: characters before a span that are searched for context words."""
+    """``window``: characters before a span that are searched for context words; ``least_bits``: entropy of a secret's characters."""
 
     threshold: float = 0.6
     window: int = 48
+    least_bits: float = 2.6
 
 
 @dataclass(frozen=True)
@@ -152,6 +163,18 @@ def ibans(text: str) -> list[tuple[int, int]]:
     return sorted(found)
 
 
+def entropy(text: str) -> float:
+    """Bits per character."""
+    n = len(text)
+    return -sum(k / n * math.log2(k / n) for k in Counter(text).values()) if n else 0.0
+
+
+def _secret_ok(value: str, params: "PiiParams") -> bool:
+    """Letters and digits, and as many bits per character as random text of that length has at least."""
+    kinds = any(c.isdigit() for c in value) + any(c.isalpha() for c in value)
+    return kinds == 2 and entropy(value) >= params.least_bits
+
+
 def _ssn_ok(m: re.Match) -> bool:
     return m[1] not in ("000", "666") and m[1] < "900" and m[2] != "00" and m[3] != "0000"
 
@@ -161,6 +184,11 @@ def spans(text: str | None, params: PiiParams = PiiParams()) -> list[Span]:
     text = text or ""
     base = _base_spans(text)
     taken = sorted(s for found in base.values() for s in found)
+    starts, reached = [a for a, _ in taken], list(accumulate((b for _, b in taken), max))
+
+    def covered(start: int, end: int) -> bool:
+        before = bisect_left(starts, end)
+        return before > 0 and reached[before - 1] > start
 
     def score(kind: str, start: int) -> float:
         words = {w.lower() for w in _WORD.findall(text[max(0, start - params.window) : start])}
@@ -173,16 +201,17 @@ def spans(text: str | None, params: PiiParams = PiiParams()) -> list[Span]:
         "iban": ibans(text),
         "ssn": [m.span() for m in _SSN.finditer(text) if _ssn_ok(m)],
         "tel": [m.span() for m in _TEL.finditer(text)],
+        "key": [m.span() for m in _KEY.finditer(text)],
+        "secret": [m.span(1) for m in _ASSIGNED.finditer(text) if _secret_ok(m[1], params)],
     }
     for kind in ADDED:
         for s, e in proposed[kind]:
             value = score(kind, s)
-            if value >= params.threshold and not any(a < e and s < b for a, b in taken):
+            if value >= params.threshold and not covered(s, e):
                 out.append(Span(kind, s, e, value, False))
     return out
 
 
-
 FOUND = "array<struct<kind:string,start:int,`end`:int,score:double,base:boolean>>"
 
 
@@ -198,7 +227,7 @@ def with_spans(docs: DataFrame, params: PiiParams = PiiParams()) -> DataFrame:
 
 
 def digested(found: DataFrame) -> DataFrame:
-    """Counts by base kind, the digest of the base spans and the list of all spans, from ``pii``."""
+    """Counts by base kind, the digest of the base spans, the list of all spans and that of their scores, from ``pii``."""
     shown = F.transform("pii", lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string")))
     base = F.transform(
         F.filter("pii", lambda s: s["base"]),
@@ -212,4 +241,5 @@ def digested(found: DataFrame) -> DataFrame:
         "doc_id", *(count(k) for k in BASE),
         F.sha2(F.concat_ws(",", base).cast("binary"), 256).alias("base_sha256"),
         F.concat_ws(",", shown).alias("spans"),
+        F.concat_ws(",", F.transform("pii", lambda s: F.format_string("%.3f", s["score"]))).alias("scores"),
     )

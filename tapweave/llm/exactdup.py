@@ -13,6 +13,9 @@ once is checked on the full bytes: the least and the greatest normalised text of
 its members must be the same string, again combined in each task first. Members
 of a digest that fails the check are told apart by their whole texts.
 
+A caller's ``home`` folder keeps digests, state and checkpoints, so that a later
+run, in another session too, goes on where the last one ended.
+
 Texts are equal when identical after deleting blanks, tabs and line ends
 (U+0020, U+0009 to U+000D). The member with most code points stays, then the
 smallest id (null ids last), then the first by file and row.
@@ -102,27 +105,41 @@ def _run(rows: DataFrame, mode: str, folder: str, saved: str) -> None:
         query.start().awaitTermination()
 
 
+def _folder(stages: Stages, home: str | None, name: str) -> str:
+    """A folder of the run, or one that lives on in ``home``."""
+    return stages.path(name) if home is None else f"{home.rstrip('/')}/{name}"
+
+
 def stream_digests(
     spark: SparkSession, path: str, stages: Stages, key: str = "doc_id",
-    digest: Callable[[Column], Column] = sha256, files_per_batch: int = FILES_PER_BATCH,
+    digest: Callable[[Column], Column] = sha256, files_per_batch: int = FILES_PER_BATCH, home: str | None = None,
 ) -> tuple[str, str]:
-    """Land the key, ``__at``, ``__n`` and ``__digest`` of every row at ``path``: their folder and schema."""
+    """Land the key, ``__at``, ``__n`` and ``__digest`` of every row at ``path``: their folder and schema.
+
+    With ``home``, files that an earlier call with it has landed are not read again.
+    """
     schema = spark.read.parquet(path).schema
     # a pattern, so that a table may also be a single file
     source = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(path[:-1] + f"[{path[-1]}]")
     rows = _with_digest(_with_locator(source.select(key, "text", "_metadata")), digest).select(key, "__at", "__n", "__digest")
-    folder = stages.path("digests")
-    _run(rows, "append", folder, stages.path("landing"))
+    folder = _folder(stages, home, "digests")
+    _run(rows, "append", folder, _folder(stages, home, "landing"))
     return f"{folder}/*", _ddl(rows)
 
 
-def state_of(spark: SparkSession, landed: tuple[str, str], stages: Stages, key: str = "doc_id", files_per_batch: int = FILES_PER_BATCH):
-    """Run the stateful stream over landed digests and return its state: __digest, first (who stays), members."""
+def state_of(
+    spark: SparkSession, landed: tuple[str, str], stages: Stages, key: str = "doc_id",
+    files_per_batch: int = FILES_PER_BATCH, home: str | None = None,
+) -> DataFrame:
+    """Run the stateful stream over landed digests and return its state: __digest, first (who stays), members.
+
+    With ``home``, the state that an earlier call has saved there goes on: only new rows are read, and they meet all earlier ones.
+    """
     path, schema = landed
     rows = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(path)
     states = rows.groupBy("__digest").agg(F.min(_order(key)).alias("first"), F.count(F.lit(1)).alias("members"))
-    folder = stages.path("states")
-    _run(states, "update", folder, stages.path("stream"))
+    folder = _folder(stages, home, "states")
+    _run(states, "update", folder, _folder(stages, home, "stream"))
     changes = spark.read.schema(f"batch long, {_ddl(states)}").option("basePath", folder).parquet(f"{folder}/*")
     last = changes.groupBy("__digest").agg(F.max(F.struct("batch", "members", "first")).alias("s"))
     return last.select("__digest", "s.first", "s.members")
@@ -130,15 +147,16 @@ def state_of(spark: SparkSession, landed: tuple[str, str], stages: Stages, key:
 
 def stream_state(
     spark: SparkSession, path: str, stages: Stages, key: str = "doc_id",
-    digest: Callable[[Column], Column] = sha256, files_per_batch: int = FILES_PER_BATCH,
+    digest: Callable[[Column], Column] = sha256, files_per_batch: int = FILES_PER_BATCH, home: str | None = None,
 ) -> DataFrame:
     """Run both streams over all files at ``path`` and return the state."""
-    return state_of(spark, stream_digests(spark, path, stages, key, digest, files_per_batch), stages, key, files_per_batch)
+    landed = stream_digests(spark, path, stages, key, digest, files_per_batch, home)
+    return state_of(spark, landed, stages, key, files_per_batch, home)
 
 
 def duplicates(
     spark: SparkSession, path: str, stages: Stages, key: str = "doc_id",
-    digest: Callable[[Column], Column] = sha256, files_per_batch: int = FILES_PER_BATCH,
+    digest: Callable[[Column], Column] = sha256, files_per_batch: int = FILES_PER_BATCH, home: str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """The landed digests of the rows at ``path``, and the written table of groups with several members.
 
@@ -146,9 +164,9 @@ def duplicates(
     its digest stands for different texts), ``first`` and ``members``. Texts are
     read again only for the rows of such groups.
     """
-    landed = stream_digests(spark, path, stages, key, digest, files_per_batch)
+    landed = stream_digests(spark, path, stages, key, digest, files_per_batch, home)
     told = spark.read.schema(landed[1]).parquet(landed[0])
-    hits = stages.write(state_of(spark, landed, stages, key, files_per_batch).where("members > 1"), "hits")
+    hits = stages.write(state_of(spark, landed, stages, key, files_per_batch, home).where("members > 1"), "hits")
     body = normalised(text_or_empty())
     places = likely(told, hits, "__digest").join(hits, "__digest", "left_semi")
     members = likely(_texts(spark, path).select("text", "__at"), places, "__at").withColumn("__body", body)
@@ -171,13 +189,13 @@ def duplicates(
 
 def judged(
     spark: SparkSession, path: str, stages: Stages, key: str = "doc_id",
-    digest: Callable[[Column], Column] = sha256, files_per_batch: int = FILES_PER_BATCH,
+    digest: Callable[[Column], Column] = sha256, files_per_batch: int = FILES_PER_BATCH, home: str | None = None,
 ) -> DataFrame:
     """``__at``, the key, keep_id, group_size, kept and text_digest of every row at ``path``.
 
     Rows whose digest was seen once pass without a shuffle.
     """
-    told, groups = duplicates(spark, path, stages, key, digest, files_per_batch)
+    told, groups = duplicates(spark, path, stages, key, digest, files_per_batch, home)
 
     def told_by(df: DataFrame, keep_id: Column, size: Column, kept: Column) -> DataFrame:
         return df.select(
@@ -205,10 +223,15 @@ def judged(
 
 def mark(
     spark: SparkSession, path: str, stages: Stages, key: str = "doc_id",
-    digest: Callable[[Column], Column] = sha256, files_per_batch: int = FILES_PER_BATCH,
+    digest: Callable[[Column], Column] = sha256, files_per_batch: int = FILES_PER_BATCH, home: str | None = None,
 ) -> DataFrame:
-    """One row for each row at ``path``: its key, keep_id, group_size, kept and text_digest."""
-    return judged(spark, path, stages, key, digest, files_per_batch).drop("__at")
+    """One row for each row at ``path``: its key, keep_id, group_size, kept and text_digest.
+
+    ``home`` is a shared folder that keeps the state from call to call. Files that
+    were added to ``path`` since the last call meet the saved state, earlier ones
+    are not streamed again, and the rows returned are those of all arrivals.
+    """
+    return judged(spark, path, stages, key, digest, files_per_batch, home).drop("__at")
 
 
 def keep_first(docs: DataFrame, stages: Stages, key: str = "doc_id") -> DataFrame:

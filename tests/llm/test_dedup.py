@@ -69,13 +69,35 @@ def test_keep_first_returns_its_input_columns(spark, stages):
     assert exactdup.keep_first(docs.where("false"), stages).collect() == []
 
 
-def test_state_lives_on_disk_and_stays(spark, stages):
-    """The state is in the checkpoint folder and knows what an earlier run has seen."""
-    path = landed(spark, stages, ROWS)
-    state = exactdup.stream_state(spark, path, stages).collect()
-    assert sum(r["members"] for r in state) == len(ROWS)
-    provider = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
-    assert "RocksDB" not in provider  # the session's own setting is back
+def test_state_lives_on_disk_and_meets_a_second_arrival(spark, tmp_path):
+    """Rows added later meet the saved state; earlier files are not streamed again, also after a stop in between."""
+    path, home = str(tmp_path / "docs"), str(tmp_path / "home")
+    later = [(100 + i, text, "y", 100 + i) for i, (_, text, *_) in enumerate(ROWS)] + [(200, "only here", "y", 200), (None, "only here", "y", 0)]
+    seen = []
+    for rows in (ROWS, later, [(300, "third", "z", 1)]):
+        seen += rows
+        spark.createDataFrame(rows, SCHEMA).repartition(3).write.mode("append").parquet(path)
+        with Stages(spark) as stages:  # what a run wrote for itself is gone with it
+            out = exactdup.mark(spark, path, stages, home=home).collect()
+        assert sorted(((r["doc_id"], r["keep_id"], r["group_size"]) for r in out), key=repr) == brute(seen)
+    landed = spark.read.option("basePath", f"{home}/digests").parquet(f"{home}/digests/*")
+    assert sorted(r["count"] for r in landed.groupBy("batch").count().collect()) == sorted([len(ROWS), len(later), 1])
+    kept = [p for p in (tmp_path / "home" / "stream" / "state").rglob("*") if p.suffix in (".zip", ".changelog")]
+    assert kept
+    # a run that stopped after landing goes on with the state stream
+    spark.createDataFrame([(400, "third", "z", 1)], SCHEMA).write.mode("append").parquet(path)
+    with Stages(spark) as stages:
+        exactdup.stream_digests(spark, path, stages, home=home)
+    with Stages(spark) as stages:
+        state = exactdup.stream_state(spark, path, stages, home=home)
+        assert state.where("first.id = 300").first()["members"] == 2
+        assert state.agg(F.sum("members")).first()[0] == len(seen) + 1
+    assert "RocksDB" not in spark.conf.get("spark.sql.streaming.stateStore.providerClass")  # the session's own setting is back
+
+
+def test_mark_of_an_empty_table(spark, stages):
+    path = landed(spark, stages, ROWS[:0])
+    assert exactdup.mark(spark, path, stages).collect() == []
 
 
 # ---------------------------------------------------------------- near duplicates

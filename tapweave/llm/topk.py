@@ -6,10 +6,13 @@ distance from below, and with the norms the inner product from above:
 
     distance^2 >= sum over segments of  len * (mean - mean')^2 + (dev - dev')^2
 
-Levels go from one segment to many. After each level only pairs whose bound
-reaches the query's k-th best score so far go on; the exact product is computed
-for the survivors. Scores of components are integers, so results are exact, and
-bounds are widened by their rounding error before they may drop a pair.
+Dimensions are ordered by their energy, so that a segment holds like ones. Levels
+go from one segment to many. After each level only pairs whose bound reaches the
+query's k-th best score so far go on; the exact product is computed for the
+survivors. Scores of components are integers, so results are exact, and bounds
+are widened by their rounding error before they may drop a pair. Clustered
+vectors are mostly dropped by one segment; vectors without structure, in which no
+segment says more than another, only by the finest level.
 
 Queries are dealt to blocks, candidates to parts; a task sees one block and one
 part, in Arrow batches, and returns k rows per query; the best k of those are
@@ -47,7 +50,7 @@ class TopK:
     block: int = 1024
     part: int = 8192
     chunk: int = 2048
-    levels: tuple[int, ...] = (1, 4, 16)
+    levels: tuple[int, ...] = (1, 4, 16, 48)
 
 
 def scaled(vector: str, scale: int) -> Column:
@@ -70,22 +73,48 @@ def segment_statistics(x: np.ndarray, segments: int) -> tuple[np.ndarray, np.nda
     return np.stack(means, axis=1), np.stack(devs, axis=1)
 
 
-def _alive(query_stats, cand_stats, at: slice, floor: np.ndarray, slack: np.ndarray) -> np.ndarray:
-    """Pairs whose upper bound reaches the floor on every level, coarse to fine."""
+def _alive(query_stats, cand_stats, at: slice, floor: np.ndarray, slack: np.ndarray, dropped: np.ndarray) -> np.ndarray:
+    """Pairs whose upper bound reaches the floor on every level, coarse to fine; ``dropped`` counts those that a level drops."""
     alive = np.ones(slack.shape, bool)
-    for (qm, qd), (cm, cd) in zip(query_stats, cand_stats):
+    for level, ((qm, qd), (cm, cd)) in enumerate(zip(query_stats, cand_stats)):
         columns = np.flatnonzero(alive.any(axis=0))
+        rows = np.flatnonzero(alive.any(axis=1))
         if len(columns) == 0:
             break
         # from the distance bound: products of means and of deviations, summed over segments
-        upper = qm @ cm[at][columns].T + qd @ cd[at][columns].T
-        alive[:, columns] &= upper + slack[:, columns] >= floor[:, None]
+        upper = qm[rows] @ cm[at][columns].T + qd[rows] @ cd[at][columns].T
+        square = np.ix_(rows, columns)
+        before = alive[square]
+        after = before & (upper + slack[square] >= floor[rows, None])
+        dropped[level] += int(before.sum() - after.sum())
+        alive[square] = after
     return alive
 
 
-def search(queries: np.ndarray, query_ids: np.ndarray, cands: np.ndarray, ids: np.ndarray, params: TopK):
-    """Row of the query, id and score of the best k candidates of every query."""
+def _products(q: np.ndarray, c: np.ndarray, r: np.ndarray, j: np.ndarray, size: int = 50_000) -> np.ndarray:
+    """Exact products of single pairs, some at a time."""
+    out = np.empty(len(r), q.dtype)
+    for lo in range(0, len(r), size):
+        part = slice(lo, lo + size)
+        out[part] = np.einsum("ij,ij->i", q[r[part]], c[j[part]])
+    return out
+
+
+def search(
+    queries: np.ndarray, query_ids: np.ndarray, cands: np.ndarray, ids: np.ndarray, params: TopK, dropped: np.ndarray | None = None
+):
+    """Row of the query, id and score of the best k candidates of every query.
+
+    Dimensions are ordered by their energy, so that segments hold like ones, and
+    candidates by their norm, so that high scores and with them high floors come
+    early. Where few pairs of a chunk survive, only their products are computed.
+    ``dropped`` (one place a level) is added up with the pairs that each level drops.
+    """
+    dropped = np.zeros(len(params.levels), np.int64) if dropped is None else dropped
     n, k = len(queries), params.k
+    energy = np.argsort(-np.square(cands.astype(np.float64)).sum(axis=0), kind="stable")
+    by_norm = np.argsort(-np.square(cands.astype(np.float64)).sum(axis=1), kind="stable")
+    queries, cands, ids = queries[:, energy], cands[by_norm][:, energy], ids[by_norm]
     largest = float(np.abs(queries).max(initial=0)) * float(np.abs(cands).max(initial=0)) * queries.shape[1]
     kind = np.float64 if largest < 1 << 52 else np.int64  # sums of whole numbers are exact either way
     low = kind(-(1 << 62))
@@ -96,22 +125,31 @@ def search(queries: np.ndarray, query_ids: np.ndarray, cands: np.ndarray, ids: n
     c_stats = [segment_statistics(cf, s) for s in params.levels]
     rows, best, score = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, kind)
     floor = np.full(n, low)
-    for lo in range(0, len(c), params.chunk):
-        at = slice(lo, lo + params.chunk)
+    lo, size = 0, max(k + 1, params.chunk // 8)
+    while lo < len(c):
+        at = slice(lo, lo + size)
+        lo, size = lo + size, min(2 * size, params.chunk)
         slack = 1e-9 * (q_norm[:, None] + c_norm[None, at] + 1)
-        alive = _alive(q_stats, c_stats, at, floor.astype(np.float64), slack)
+        alive = _alive(q_stats, c_stats, at, floor.astype(np.float64), slack, dropped)
         alive &= query_ids[:, None] != ids[None, at]
         columns = np.flatnonzero(alive.any(axis=0))
         if len(columns) == 0:
             continue
-        found = np.where(alive[:, columns], q @ c[at][columns].T, low)
-        least = floor
-        if len(columns) > k:
-            least = np.maximum(floor, np.partition(found, len(columns) - k, axis=1)[:, len(columns) - k])
-        r, j = np.nonzero((found >= least[:, None]) & (found > low))
+        if alive.sum() * 5 < n * len(columns):
+            r, j = np.nonzero(alive)
+            found = _products(q, c[at], r, j)
+            good = found >= floor[r]
+            r, j, found = r[good], j[good], found[good]
+        else:
+            square = np.where(alive[:, columns], q @ c[at][columns].T, low)
+            least = floor
+            if len(columns) > k:
+                least = np.maximum(floor, np.partition(square, len(columns) - k, axis=1)[:, len(columns) - k])
+            r, place = np.nonzero((square >= least[:, None]) & (square > low))
+            j, found = columns[place], square[r, place]
         rows = np.concatenate([rows, r])
-        best = np.concatenate([best, ids[at][columns[j]]])
-        score = np.concatenate([score, found[r, j]])
+        best = np.concatenate([best, ids[at][j]])
+        score = np.concatenate([score, found])
         order = np.lexsort((best, -score, rows))
         rows, best, score = rows[order], best[order], score[order]
         start = np.searchsorted(rows, np.arange(n))

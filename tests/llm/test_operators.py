@@ -506,3 +506,35 @@ def test_registered_query(spark, name):
             assert r["offset"] == ends[r["sequence_id"]]
             ends[r["sequence_id"]] += r["length"]
         assert max(ends.values()) <= 1024
+
+
+# ---------------------------------------------------------------- what bounds drop
+
+
+@pytest.mark.parametrize("kind,least", [("clustered", 0.7), ("plain", 0.3), ("ties", 0.0)])
+def test_levels_drop_pairs_and_no_result(kind, least):
+    rng = np.random.default_rng(4)
+    if kind == "clustered":
+        centres = rng.normal(size=(30, 64)) * np.exp(-np.arange(64) / 12) * 6
+        x = centres[rng.integers(0, 30, 3000)] + rng.normal(size=(3000, 64)) * 0.3
+    elif kind == "plain":
+        x = rng.normal(size=(3000, 64))
+    else:
+        x = rng.integers(-1, 2, size=(600, 8)) / 64
+    x = np.floor(64 * x).astype(np.int64)
+    ids = rng.permutation(len(x)).astype(np.int64)
+    queries, names = x[::20], ids[::20]
+    params = topk.TopK(chunk=512)
+    dropped = np.zeros(len(params.levels), np.int64)
+    rows, best, score = topk.search(queries, names, x, ids, params, dropped)
+    products = queries @ x.T
+    want = set()
+    for i in range(len(queries)):
+        every = sorted((-int(products[i, j]), int(ids[j])) for j in range(len(x)) if ids[j] != names[i])[: params.k]
+        want |= {(i, b, -s) for s, b in every}
+    assert set(zip(rows.tolist(), best.tolist(), score.astype(np.int64).tolist())) == want
+    share = dropped / (len(queries) * len(x))
+    assert share.sum() >= least
+    if kind == "clustered":
+        assert share[0] > 0.2 and (share > 0).all()
+

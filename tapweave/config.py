@@ -54,6 +54,8 @@ class Settings:
     allow_interlining: bool = True
     allow_no_stops: bool = False
     keep_first_stop: bool = False
+    # trips of a day without a block count as one block, as in the original method
+    null_blocks: bool = True
     # scale: length of the slices that cards are cut into
     slice_seconds: int = 900
     # scale: groups of visits or trips with more rows are cut into slices

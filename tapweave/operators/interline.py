@@ -31,11 +31,24 @@ def trip_ends(visits: DataFrame) -> DataFrame:
     )
 
 
-def link_blocks(ends: DataFrame, hot: DataFrame | None = None, rows: int = GROUP_ROWS) -> DataFrame:
+def link_blocks(
+    ends: DataFrame, hot: DataFrame | None = None, rows: int = GROUP_ROWS, null_blocks: bool = True
+) -> DataFrame:
     """The next trip of the block, and whether the vehicle interlines with it.
 
-    It does when it starts where this trip ends and the route changes.
+    It does when it starts where this trip ends and the route changes. Trips of a
+    day without a block count as one block, as in the original method; without
+    ``null_blocks`` they have no next trip.
     """
+    if not null_blocks:
+        none = ends.where(F.col("block_id").isNull()).withColumns(
+            {
+                "route_id_next": F.lit(None).cast(ends.schema["route_id"].dataType),
+                "start_stop_id_next": F.lit(None).cast(ends.schema["start_stop_id"].dataType),
+                "interlines_with_trip_id": F.lit(None).cast(ends.schema["trip_id"].dataType),
+            }
+        )
+        return link_blocks(ends.where(F.col("block_id").isNotNull()), hot, rows).unionByName(none)
     ahead = near_window(
         ends,
         BLOCK_KEYS,

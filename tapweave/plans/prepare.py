@@ -69,7 +69,7 @@ def prepare_chains(located: DataFrame, s: Settings) -> DataFrame:
     if s.staged:  # one row per trip
         ends = stage(ends, "ends")
     hot = hot_groups(ends, interline.BLOCK_KEYS, s.window_rows)
-    blocks = interline.link_blocks(ends, hot, s.window_rows)
+    blocks = interline.link_blocks(ends, hot, s.window_rows, s.null_blocks)
     return interline.chain_trips(blocks, hot, s.window_rows)
 
 

@@ -138,3 +138,13 @@ def test_one_read_and_one_shuffle(located):
     near = near_window(rows, visits.HEADWAY_KEYS, [F.col("arrive_datetime")], 1, lambda w: {"n": F.lead("trip_id").over(w)}, *by_stop)
     # the table of cuts is a second, small file
     assert scans_and_shuffles(near) == (2, 1)
+
+
+def test_trips_without_a_block_can_be_left_unlinked(located):
+    ends = interline.trip_ends(located)
+    every, some = interline.link_blocks(ends), interline.link_blocks(ends, null_blocks=False)
+    assert some.columns == every.columns and some.count() == every.count()
+    assert every.where("block_id IS NULL AND interlines_with_trip_id IS NOT NULL").count() > 0
+    assert some.where("block_id IS NULL AND route_id_next IS NOT NULL").count() == 0
+    same(some.where("block_id IS NOT NULL"), every.where("block_id IS NOT NULL"))
+    assert interline.chain_trips(some).count() == ends.count()

@@ -52,12 +52,13 @@ _BAD = re.compile(r"[\x00-\x20\x7f]")
 
 @dataclass(frozen=True)
 class WarcParams:
-    """``block_lines``: index lines per compressed block; ``shard_rows``: pages aimed at per writing task."""
+    """``block_lines``: index lines per compressed block; ``shard_rows`` and ``shard_bytes``: pages and payload aimed at per writing task."""
 
     revisit_bytes: int = 0
     file_bytes: int = 512 << 20
     block_lines: int = 256
     shard_rows: int = 20_000
+    shard_bytes: int = 128 << 20
     level: int = 1
     date: str = "2024-01-01T00:00:00Z"
 
@@ -130,7 +131,8 @@ MANIFEST = "folder string, name string, files array<string>, records bigint, fir
 def write_archives(pages: DataFrame, folder: str, stages: Stages, params: WarcParams = WarcParams()) -> DataFrame:
     """Write archives and index below ``folder``; the manifest, a written table with one row per shard."""
     rows = planned(pages, stages, params)
-    shards = max(1, -(-pages.count() // params.shard_rows))
+    number, size = pages.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("html").cast("long")), F.lit(0))).first()
+    shards = max(1, -(-number // params.shard_rows), -(-size // params.shard_bytes))
     dealt = rows.repartitionByRange(shards, "key", "page_id").sortWithinPartitions("key", "page_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

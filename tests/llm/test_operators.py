@@ -538,3 +538,10 @@ def test_levels_drop_pairs_and_no_result(kind, least):
     if kind == "clustered":
         assert share[0] > 0.2 and (share > 0).all()
 
+
+def test_large_pages_make_more_shards(spark, stages):
+    pages = spark.createDataFrame([(i, f"http://h{i}.org/", "x" * 4000 + str(i)) for i in range(40)], "page_id long, url string, html string")
+    few = warc.write_archives(pages, stages.path("w"), stages).count()
+    many = warc.write_archives(pages, stages.path("w"), stages, warc.WarcParams(shard_bytes=20_000))
+    assert few == 1 and many.count() > 4 and warc.read_records(pages, many).count() == 40
+

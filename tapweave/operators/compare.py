@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from tapweave.config import FEET_PER_METER, PLATFORM_REPORT_LINES
 from tapweave.functions.geo import great_circle_meters
-from tapweave.functions.quantiles import approximate_quantiles
+from tapweave.functions.quantiles import quantile_columns
+from tapweave.functions.windows import left_lookup
 from tapweave.operators.journeys import event_order
 
 STEPS = tuple(p / 100 for p in range(0, 120, 20))
@@ -74,10 +75,9 @@ def single_leg_summary(trips: DataFrame) -> DataFrame:
 
     The share comes from a window over the few grouped rows.
     """
-    quantiles = approximate_quantiles("alighting_distance_to_next_stop", STEPS, "percentile_distance")
-    grouped = trips.groupBy("is_single_stop_ride", "alight_at_next_start_location").agg(
-        F.count(F.lit(1)).alias("n_journeys"), *quantiles
-    )
+    by = ["is_single_stop_ride", "alight_at_next_start_location"]
+    quantiles = quantile_columns(trips, by, "alighting_distance_to_next_stop", STEPS, "percentile_distance")
+    grouped = left_lookup(trips.groupBy(*by).agg(F.count(F.lit(1)).alias("n_journeys")), by, quantiles)
     feet = {
         c: F.col(c).cast("int") * FEET_PER_METER for c in grouped.columns if c.startswith("percentile_distance")
     }
@@ -138,9 +138,8 @@ def confidence_spread(trips: DataFrame) -> DataFrame:
 
 
 def confidence_quantiles(trips: DataFrame, by: str) -> DataFrame:
-    return trips.groupBy(by).agg(
-        F.count(F.lit(1)).alias("n"), *approximate_quantiles("confidence_next", STEPS, "percentile")
-    )
+    quantiles = quantile_columns(trips, [by], "confidence_next", STEPS, "percentile")
+    return left_lookup(trips.groupBy(by).agg(F.count(F.lit(1)).alias("n")), [by], quantiles)
 
 
 def platform_lines_per_stop(following: DataFrame, lines: Sequence[int] = PLATFORM_REPORT_LINES) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tapweave import Settings
 from tapweave.functions.clock import service_clock, service_slice
 from tapweave.functions.geo import great_circle_meters
-from tapweave.functions.quantiles import exact_quantiles
+from tapweave.functions.quantiles import exact_quantiles, quantile_columns
 from tapweave.functions.stage import stage
 from tapweave.operators import alighting, boarding, interline, journeys, relational, rules, schedule, taps, visits
 from tapweave.plans.prepare import prepare_taps
@@ -518,3 +518,15 @@ def test_quantile_bins_are_even_whatever_the_tail(spark):
     assert max(sizes) <= 2 * len(set(values)) / BINS
     got = {r["prob"]: r["quantile"] for r in exact_quantiles(frame, ["g"], "v", [0.0, 0.25, 0.5, 0.999, 1.0]).collect()}
     assert got == {p: pytest.approx(float(np.quantile(values, p))) for p in got}
+
+
+def test_discrete_quantiles_are_exact_at_any_size(spark):
+    rng = np.random.default_rng(2)
+    values = np.concatenate([rng.normal(size=30_000), np.repeat(1.5, 9_000), [7.0]])
+    frame = spark.createDataFrame([("a", float(v)) for v in values] + [("b", 3.0), ("b", None)], "g string, v double")
+    row = {r["g"]: r for r in quantile_columns(frame, ["g"], "v", [0.0, 0.2, 0.5, 0.9, 1.0], "q").collect()}
+    ordered = np.sort(values)
+    for percent in (0, 20, 50, 90, 100):
+        assert row["a"][f"q_{percent}"] == ordered[max(1, int(np.ceil(len(ordered) * percent / 100))) - 1]
+        assert row["b"][f"q_{percent}"] == 3.0
+

@@ -268,28 +268,25 @@ def impact_table(profiles: DataFrame, above: Column, segment: Column, counts: di
     medians = exact_quantiles(long, ["segment", "side", "statistic"], "v", [0.5]).select(
         "segment", "side", "statistic", F.col("quantile").alias("figure")
     )
+    everything = F.max(F.when(F.col("side") == "all", F.col("figure"))).alias("all_journeys")
+    kept = F.max(F.when(F.col("side") == "above", F.col("figure"))).alias("above_cutoff")
+    medians = medians.groupBy("segment", "statistic").agg(everything, kept)
+
+    # both sides of the plain figures come from one pass, without a copy of the rows
+    over = F.col("above")
     plain = {
-        "Number of Journeys": F.count(F.lit(1)).cast("double"),
-        "Mean Number of Transfers": F.avg("n_legs") - 1,
-        **{n: F.count_if(F.col(n)).cast("double") for n in counts},
+        "Number of Journeys": (F.count(F.lit(1)), F.count_if(over)),
+        "Mean Number of Transfers": (F.avg("n_legs") - 1, F.avg(F.when(over, F.col("n_legs"))) - 1),
+        **{n: (F.count_if(F.col(n)), F.count_if(F.col(n) & over)) for n in counts},
     }
-    tallies = both.groupBy("segment", "side").agg(*[c.alias(n) for n, c in plain.items()])
-    tallies = tallies.select(
-        "segment",
-        "side",
-        F.inline(F.array(*[F.struct(F.lit(n).alias("statistic"), F.col(n).alias("figure")) for n in plain])),
-    )
-    everything = F.max(F.when(F.col("side") == "all", F.col("figure")))
-    kept = F.max(F.when(F.col("side") == "above", F.col("figure")))
-    return (
-        medians.unionByName(tallies)
-        .groupBy("segment", "statistic")
-        .agg(everything.alias("all_journeys"), kept.alias("above_cutoff"))
-        .withColumn(
-            "percent_change",
-            F.try_divide((F.col("above_cutoff") - F.col("all_journeys")) * 100, F.col("all_journeys")),
-        )
-    )
+    some = F.count_if(over) > 0
+    figures = [
+        F.struct(F.lit(n).alias("statistic"), every.cast("double").alias("all_journeys"), F.when(some, part.cast("double")).alias("above_cutoff"))
+        for n, (every, part) in plain.items()
+    ]
+    tallies = rows.groupBy("segment").agg(F.array(*figures).alias("figures")).select("segment", F.inline("figures"))
+    change = F.try_divide((F.col("above_cutoff") - F.col("all_journeys")) * 100, F.col("all_journeys"))
+    return medians.unionByName(tallies).withColumn("percent_change", change)
 
 
 def _mode_counts() -> dict[str, Column]:

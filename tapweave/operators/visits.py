@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from tapweave.functions.clock import epoch, service_clock
@@ -127,20 +127,29 @@ def location_periods(stops: DataFrame) -> DataFrame:
     ).drop("day")
 
 
-def add_stop_locations(visits: DataFrame, stops: DataFrame) -> DataFrame:
+def _in_period(date: str) -> Column:
+    twice = F.unix_date(date) * 2
+    return (F.col("after").isNull() | (twice > F.col("after"))) & (F.col("upto").isNull() | (twice <= F.col("upto")))
+
+
+def add_stop_locations(visits: DataFrame, stops: DataFrame, dates: DataFrame | None = None) -> DataFrame:
     """Stop position from the release nearest to the service date.
 
     The periods of a stop do not overlap, so the join finds at most one row per
-    visit and no choice among candidates is left to make.
+    visit and no choice among candidates is left to make. With ``dates`` (the
+    distinct service dates of the visits, one per calendar day) the positions are
+    resolved per stop and date first, and the visits are joined on both: if the
+    positions are too many to broadcast, a busy stop is as many keys as it has days.
     """
     periods = location_periods(stops).withColumnRenamed("stop_id", "__stop")
-    twice = F.unix_date("service_date") * 2
-    on = (
-        (F.col("stop_id") == F.col("__stop"))
-        & (F.col("after").isNull() | (twice > F.col("after")))
-        & (F.col("upto").isNull() | (twice <= F.col("upto")))
-    )
-    return visits.join(periods, on, "left").drop("__stop", "after", "upto")
+    if dates is None:
+        on = (F.col("stop_id") == F.col("__stop")) & _in_period("service_date")
+        return visits.join(periods, on, "left").drop("__stop", "after", "upto")
+    days = F.broadcast(dates.select(F.col("service_date").alias("__date")).distinct())
+    # dealt by both, or the visits would follow the periods' layout by stop alone
+    placed = periods.join(days, _in_period("__date")).drop("after", "upto").repartition("__stop", "__date")
+    on = (F.col("stop_id") == F.col("__stop")) & (F.col("service_date") == F.col("__date"))
+    return visits.join(placed, on, "left").drop("__stop", "__date")
 
 
 def merge_repeated_stops(visits: DataFrame, hot: DataFrame | None = None, rows: int = GROUP_ROWS) -> DataFrame:

@@ -52,7 +52,7 @@ def located_visits(
     df = visits.add_trip_data(df, trips)
     df = visits.numeric_routes(df if watch is None else visits.watch_trip_data(df, watch))
     df = visits.add_source(df, VISIT_SOURCE)
-    return visits.add_stop_locations(df, taps.upper_case_columns(stops))
+    return visits.add_stop_locations(df, taps.upper_case_columns(stops), tapped)
 
 
 def prepare_visits(located: DataFrame, s: Settings) -> DataFrame:

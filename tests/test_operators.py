@@ -530,3 +530,18 @@ def test_discrete_quantiles_are_exact_at_any_size(spark):
         assert row["a"][f"q_{percent}"] == ordered[max(1, int(np.ceil(len(ordered) * percent / 100))) - 1]
         assert row["b"][f"q_{percent}"] == 3.0
 
+
+def test_locations_per_stop_and_date(spark):
+    releases = [(s, date(2024, 1, d), 45.0 + d, -122.0 - s) for s in (1, 2) for d in (2, 10, 11, 30)] + [(3, date(2023, 1, 1), 1.0, 1.0)]
+    stops = spark.createDataFrame(releases, "stop_id int, release_date date, stop_lat double, stop_lon double")
+    seen = spark.createDataFrame([(i, 1 + i % 4, date(2024, 1, 1 + i % 31)) for i in range(200)], "trip_id int, stop_id int, service_date date")
+    plain = visits.add_stop_locations(seen, stops)
+    by_date = visits.add_stop_locations(seen, stops, seen)
+    assert by_date.columns == plain.columns and sorted(map(str, by_date.collect())) == sorted(map(str, plain.collect()))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = visits.add_stop_locations(seen, stops, seen)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert [x for x in plan.splitlines() if "Exchange hashpartitioning(" in x and "stop_id" in x and "service_date" in x], plan
+

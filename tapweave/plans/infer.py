@@ -88,8 +88,8 @@ def infer(prepared: Prepared, settings: Settings | None = None, strict: bool = T
     """Rider events, failed events and metrics.
 
     ``strict`` fails the run when a rider event has a null; events are checked
-    as written, so nothing is computed twice. With ``Settings.staged`` off nothing
-    is written, and the check computes the events a second time.
+    as written, so nothing is computed twice. With ``Settings.staged`` off the
+    events are not written, and the check computes them a second time.
     """
     s = settings or Settings()
     judged, runs = judged_legs(prepared, s)

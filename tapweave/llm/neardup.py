@@ -8,6 +8,7 @@
 3. *Stars.* The nodes of a bucket (equal band key) are linked to the bucket's
    smallest node only, so pairs grow with the rows. Each is confirmed on the
    full sets.
+   Buckets left in pieces get stars around further centres, twice.
 4. *The rest.* A bucket of three or more nodes whose star did not join all of
    them may hide a link between two leaves. All leaves of such buckets go
    through an exact join on how they differ from their centre (``leaf_pairs``):
@@ -196,6 +197,9 @@ def components(edges: DataFrame, stages: Stages) -> DataFrame:
     return labels if labels is not None else edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
 
 
+# Rounds of stars around further centres, before what is left is joined exactly.
+SECOND_STARS = 2
+
 # Parts that the members of a bucket are dealt over by their hash.
 BUCKET_PARTS = 64
 
@@ -266,6 +270,24 @@ def leaf_pairs(stars: DataFrame, sets: DataFrame, params: NearDup) -> DataFrame:
     return met.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
 
 
+def _second_stars(members: DataFrame, live: DataFrame, first: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) around a second centre of every bucket in pieces: its least node that is not connected with the first.
+
+    Where a large group's first centre lies apart from the others, this joins them at a row each.
+    """
+    pieces = members.where("size > 2").join(first, "node", "left")
+    pieces = pieces.select("key", "part", "node", "n", F.coalesce("component", "node").alias("component"))
+    # the first centre is the least node; its component comes from the same aggregate
+    told = pieces.groupBy("key").agg(F.min_by("component", "node").alias("home"), F.min("component").alias("low"), F.max("component").alias("high"))
+    split = live.select("key", "part").join(told.where("low < high").select("key", "home"), "key")
+    others = pieces.join(split, ["key", "part"]).where("component <> home")
+    second = others.groupBy("key").agg(F.min(F.struct("node", "n", "component")).alias("s"))
+    seconds = live.select("key", "part").join(second, "key")
+    near = F.least("n", "s.n") * 100 >= F.greatest("n", "s.n") * percent
+    pairs = others.join(seconds, ["key", "part"]).where((F.col("component") != F.col("s.component")) & near)
+    return pairs.select(F.col("node").alias("a"), F.col("s.node").alias("b")).distinct()
+
+
 def groups(docs: DataFrame, stages: Stages, params: NearDup = NearDup()) -> DataFrame:
     """doc_id, n_shingles, component_id and kept (doc_id = component_id) of every row of ``docs``."""
     return _decided(docs, stages, params).drop("digest")
@@ -298,6 +320,13 @@ def _decided(docs: DataFrame, stages: Stages, params: NearDup) -> DataFrame:
     links = stages.write(confirmed(star, sets, p), "links")
     first = components(links, stages)
 
+    for _ in range(SECOND_STARS):
+        more = stages.write(_second_stars(members, live, first, p), "second")
+        if more.isEmpty():
+            break
+        links = stages.write(links.unionByName(confirmed(more, sets, p)), "links")
+        first = components(links, stages)
+
     # buckets that the stars left in several pieces
     pieces = members.where("size > 2").join(first, "node", "left")
     pieces = pieces.select("key", "part", "center", "node", F.coalesce("component", "node").alias("component"))

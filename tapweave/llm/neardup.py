@@ -198,7 +198,7 @@ def components(edges: DataFrame, stages: Stages) -> DataFrame:
 
 
 # Rounds of stars around further centres, before what is left is joined exactly.
-SECOND_STARS = 2
+FURTHER_STARS = 2
 
 # Parts that the members of a bucket are dealt over by their hash.
 BUCKET_PARTS = 64
@@ -270,21 +270,25 @@ def leaf_pairs(stars: DataFrame, sets: DataFrame, params: NearDup) -> DataFrame:
     return met.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
 
 
-def _second_stars(members: DataFrame, live: DataFrame, first: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) around a second centre of every bucket in pieces: its least node that is not connected with the first.
+def _further_centres(members: DataFrame, live: DataFrame, labels: DataFrame, centres: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Members that are not connected with any centre (key, node) of their bucket so far, and the least of them by bucket as s.
 
-    Where a large group's first centre lies apart from the others, this joins them at a row each.
+    Where a large bucket's first centre lies apart from the others, a star around a further one joins these at a row each.
     """
-    pieces = members.where("size > 2").join(first, "node", "left")
+    pieces = members.where("size > 2").join(labels, "node", "left")
     pieces = pieces.select("key", "part", "node", "n", F.coalesce("component", "node").alias("component"))
-    # the first centre is the least node; its component comes from the same aggregate
-    told = pieces.groupBy("key").agg(F.min_by("component", "node").alias("home"), F.min("component").alias("low"), F.max("component").alias("high"))
-    split = live.select("key", "part").join(told.where("low < high").select("key", "home"), "key")
-    others = pieces.join(split, ["key", "part"]).where("component <> home")
-    second = others.groupBy("key").agg(F.min(F.struct("node", "n", "component")).alias("s"))
-    seconds = live.select("key", "part").join(second, "key")
+    split = pieces.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
+    homes = centres.join(labels, "node", "left").groupBy("key").agg(F.collect_set(F.coalesce("component", "node")).alias("homes"))
+    told = live.select("key", "part").join(split.select("key").join(homes, "key"), "key")
+    apart = pieces.join(told, ["key", "part"]).where(~F.array_contains("homes", F.col("component"))).drop("homes")
+    return apart, apart.groupBy("key").agg(F.min(F.struct("node", "n", "component")).alias("s"))
+
+
+def _further_stars(apart: DataFrame, live: DataFrame, seconds: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of the members of ``apart`` and their bucket's next centre that can be similar enough."""
+    told = live.select("key", "part").join(seconds, "key")
     near = F.least("n", "s.n") * 100 >= F.greatest("n", "s.n") * percent
-    pairs = others.join(seconds, ["key", "part"]).where((F.col("component") != F.col("s.component")) & near)
+    pairs = apart.join(told, ["key", "part"]).where((F.col("component") != F.col("s.component")) & near)
     return pairs.select(F.col("node").alias("a"), F.col("s.node").alias("b")).distinct()
 
 
@@ -320,11 +324,15 @@ def _decided(docs: DataFrame, stages: Stages, params: NearDup) -> DataFrame:
     links = stages.write(confirmed(star, sets, p), "links")
     first = components(links, stages)
 
-    for _ in range(SECOND_STARS):
-        more = stages.write(_second_stars(members, live, first, p), "second")
-        if more.isEmpty():
+    centres = live.select("key", F.col("center").alias("node")).distinct()
+    for _ in range(FURTHER_STARS):
+        apart, seconds = _further_centres(members, live, first, centres)
+        seconds = stages.write(seconds, "seconds")
+        if seconds.isEmpty():
             break
-        links = stages.write(links.unionByName(confirmed(more, sets, p)), "links")
+        more = confirmed(_further_stars(apart, live, seconds, p), sets, p)
+        links = stages.write(links.unionByName(more), "links")
+        centres = centres.unionByName(seconds.select("key", "s.node"))
         first = components(links, stages)
 
     # buckets that the stars left in several pieces

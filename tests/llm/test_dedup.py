@@ -294,3 +294,20 @@ def test_blocks_lose_no_pair(spark, monkeypatch):
         (a, b) for a, x in sets[1:] for b, y in sets[1:] if a > b and len(set(x) & set(y)) * 180 >= 80 * (len(x) + len(y))
     }
     assert similar and similar <= got
+
+
+def test_further_centres_join_what_the_first_is_not_connected_with(spark):
+    # bucket 1: centre 1 lies apart, 2 and 3 are joined elsewhere; bucket 2 is whole; bucket 3 has two members
+    rows = [(1, 0, n, 10, 4) for n in (1, 2, 3, 4)] + [(2, 0, 5, 10, 3), (2, 1, 6, 10, 3), (2, 1, 7, 10, 3), (3, 0, 8, 10, 2), (3, 0, 9, 10, 2)]
+    members = spark.createDataFrame(rows, "key int, part int, node bigint, n int, size int")
+    live = members.groupBy("key", "part").agg(F.min("node").alias("center"))
+    labels = spark.createDataFrame([(2, 2), (3, 2), (5, 5), (6, 5), (7, 5)], "node bigint, component bigint")
+    centres = spark.createDataFrame([(1, 1), (2, 5), (3, 8)], "key int, node bigint")
+    apart, seconds = neardup._further_centres(members, live, labels, centres)
+    assert sorted((r.key, r.node) for r in apart.collect()) == [(1, 2), (1, 3), (1, 4)]
+    assert [(r.key, r.s.node) for r in seconds.collect()] == [(1, 2)]
+    assert [(r.a, r.b) for r in neardup._further_stars(apart, live, seconds, 85).collect()] == [(4, 2)]
+    # the next round has another centre, also where nobody was joined to this one
+    apart, seconds = neardup._further_centres(members, live, labels, centres.unionByName(seconds.select("key", "s.node")))
+    assert [(r.key, r.s.node) for r in seconds.collect()] == [(1, 4)]
+    assert neardup._further_stars(apart, live, seconds, 85).isEmpty()

@@ -8,7 +8,7 @@
 3. *Stars.* The nodes of a bucket (equal band key) are linked to the bucket's
    smallest node only, so pairs grow with the rows. Each is confirmed on the
    full sets.
-   Buckets left in pieces get stars around further centres, twice.
+   Buckets left in pieces get stars around up to two further centres.
 4. *The rest.* A bucket of three or more nodes whose star did not join all of
    them may hide a link between two leaves. All leaves of such buckets go
    through an exact join on how they differ from their centre (``leaf_pairs``):

@@ -83,7 +83,7 @@ class World:
 
     @cached_property
     def reached(self) -> DataFrame:
-        return alighting.alighting_candidates(self.candidates, self.runs)
+        return plan.reached_stops(self.candidates, self.runs, S)
 
     @cached_property
     def walked(self) -> DataFrame:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from math import ceil
+
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from tapweave.config import PLATFORM_LINE
@@ -33,17 +35,24 @@ def _stops_ahead(visits: DataFrame) -> DataFrame:
 BROADCAST_RUNS = 1_000_000
 
 
-def crowded_runs(boardings: DataFrame, visits: DataFrame, pairs: int = 1_000_000) -> DataFrame | None:
+def crowded_runs(
+    boardings: DataFrame, visits: DataFrame, pairs: int = 1_000_000, watch: Observation | None = None
+) -> DataFrame | None:
     """Runs with more than ``pairs`` pairs of boardings and stops, and the ``parts`` to divide them into; None without any.
 
     Counted at once, from the date and run columns of both written tables,
-    combined ahead of the shuffle. The wide rows are not touched.
+    combined ahead of the shuffle. The wide rows are not touched. ``watch`` notes
+    the pairs of all runs, see ``run_tasks``.
     """
     keys = ["service_date", "run_id"]
     taps = boardings.where(F.col("run_id").isNotNull()).groupBy(*keys).agg(F.count(F.lit(1)).alias("taps"))
     stops = visits.groupBy(*keys).agg(F.count(F.lit(1)).alias("stops"))
-    parts = F.ceil(F.col("taps") * F.col("stops") / pairs).cast("int")
-    counted = taps.join(stops, keys).select(
+    of_run = F.col("taps") * F.col("stops")
+    matched = taps.join(stops, keys)
+    if watch is not None:
+        matched = matched.observe(watch, F.sum(of_run).alias("pairs"))
+    parts = F.ceil(of_run / pairs).cast("int")
+    counted = matched.select(
         F.col("service_date").alias("p_date"), F.col("run_id").alias("p_run"), parts.alias("parts")
     )
     crowded = stage(counted.where("parts > 1"), "crowded")
@@ -53,7 +62,14 @@ def crowded_runs(boardings: DataFrame, visits: DataFrame, pairs: int = 1_000_000
     return F.broadcast(crowded) if size <= BROADCAST_RUNS else crowded
 
 
-def alighting_candidates(boardings: DataFrame, visits: DataFrame, crowded: DataFrame | None = None) -> DataFrame:
+def run_tasks(watch: Observation, pairs: int = 1_000_000) -> int:
+    """Tasks for the runs ``crowded_runs`` has counted, one for every ``pairs`` pairs of boardings and stops."""
+    return max(1, ceil((watch.get["pairs"] or 0) / pairs))
+
+
+def alighting_candidates(
+    boardings: DataFrame, visits: DataFrame, crowded: DataFrame | None = None, tasks: int | None = None
+) -> DataFrame:
     """Later stops of the boarded run that are reached before the next tap.
 
     Both sides share only date and run, and the rows of one run stay together
@@ -61,7 +77,8 @@ def alighting_candidates(boardings: DataFrame, visits: DataFrame, crowded: DataF
     a made-up key each, so that they spread instead of meeting under null.
     ``crowded`` runs are divided by card into parts, with their stops repeated
     for each part; what part a row belongs to is told by a broadcast, so no row is
-    moved by date and run alone.
+    moved by date and run alone. The runs are dealt over ``tasks`` tasks: the few
+    rows ahead of the join do not tell Spark how many come out of it.
     """
     stray = -1 - F.pmod(F.xxhash64("card_id", "datetime"), F.lit(2**31))
     left = boardings.withColumns(
@@ -90,7 +107,8 @@ def alighting_candidates(boardings: DataFrame, visits: DataFrame, crowded: DataF
     )
     # Partitioned ahead of the join, whatever join is chosen: the rows multiply
     # after this shuffle and stay in place for all windows of the run.
-    return left.repartition(*keys).join(right, on, "left").drop("a_date", "a_run", "a_part", "run_found")
+    dealt = left.repartition(*keys) if tasks is None else left.repartition(tasks, *keys)
+    return dealt.join(right, on, "left").drop("a_date", "a_run", "a_part", "run_found")
 
 
 def add_transfer_walk(candidates: DataFrame, speed: float) -> DataFrame:

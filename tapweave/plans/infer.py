@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tapweave.config import PLATFORM_LINE, Settings
@@ -48,15 +48,25 @@ _BEFORE_SCORING = ("walk_all_seconds", "next_lat", "next_lon", "stop_id_old", "t
 _AFTER_SCORING = ("alight_depart_s", "travel_seconds", "max_travel_seconds", "stop_probability", "not_left_probability")
 
 
+def reached_stops(candidates: DataFrame, runs: DataFrame, s: Settings) -> DataFrame:
+    """Boardings with the stops ahead, in tasks of about ``Settings.task_pairs`` pairs each.
+
+    Fewer tasks than cores are left to adaptive execution.
+    """
+    watch = Observation()
+    crowded = alighting.crowded_runs(candidates, runs, s.task_pairs, watch)
+    tasks = alighting.run_tasks(watch, s.task_pairs)
+    few = tasks <= candidates.sparkSession.sparkContext.defaultParallelism
+    return alighting.alighting_candidates(candidates, runs, crowded, None if few else tasks)
+
+
 def choose_rides(candidates: DataFrame, runs: DataFrame, s: Settings) -> DataFrame:
     """One ride per tap.
 
     Stops are joined, scored and reduced under the partitioning of the run;
     only the winners per run are shuffled on, by card.
     """
-    crowded = alighting.crowded_runs(candidates, runs, s.task_pairs)
-    reached = alighting.alighting_candidates(candidates, runs, crowded)
-    walked = alighting.add_transfer_walk(reached, s.walking_speed).drop(*_BEFORE_SCORING)
+    walked = alighting.add_transfer_walk(reached_stops(candidates, runs, s), s.walking_speed).drop(*_BEFORE_SCORING)
     scored = alighting.add_alighting_probability(alighting.add_travel_times(walked), s.allow_no_stops)
     best = alighting.best_stop_per_run(scored.drop(*_AFTER_SCORING)).repartition("card_id")
     return alighting.choose_alighting(alighting.add_confidence(best))

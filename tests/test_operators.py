@@ -315,6 +315,18 @@ def test_hot_runs_give_the_same_candidates(spark):
     assert sorted(plain.drop("part").collect()) == sorted(salted.drop("part").collect())
 
 
+def test_alighting_tasks_grow_with_the_pairs(spark):
+    from tapweave.plans.infer import reached_stops
+
+    c, stops = crowd(spark)
+    plain = alighting.alighting_candidates(c, stops).drop("part")
+    dealt = reached_stops(c, stops, Settings(task_pairs=10))
+    pairs = c.join(stops.select("service_date", "run_id"), ["service_date", "run_id"]).count()
+    plan = dealt._jdf.queryExecution().executedPlan().toString()
+    assert pairs > 100 and f"{-(-pairs // 10)}), REPARTITION_BY_NUM" in plan
+    assert sorted(map(str, plain.collect())) == sorted(map(str, dealt.drop("part").collect()))
+
+
 def test_first_arrival_wins_when_the_route_weight_is_null(spark):
     # no position at the next tap: a stop without dwell scores 0, the rest null,
     # and the weight of the route makes all of them null

@@ -104,11 +104,26 @@ def run_number(trip_id: Column) -> Column:
     return F.when(wide > top, (wide - turn).cast("decimal(38,0)")).otherwise(wide).cast("long")
 
 
+# More trips of chains than this are joined, not broadcast.
+BROADCAST_TRIPS = 2_000_000
+
+
+def linked_trips(chains: DataFrame) -> DataFrame:
+    """The trips of chains of two and more, with the id of the chain."""
+    return chains.where(F.col("interlining_trip_id") != F.col("trip_id"))
+
+
+def few_linked(chains: DataFrame, most: int = BROADCAST_TRIPS) -> bool:
+    """True when the linked trips of the written ``chains`` can be broadcast; the size of that table, which has every trip, does not tell."""
+    return linked_trips(chains).count() <= most
+
+
 def insert_chains(
     visits: DataFrame,
     chains: DataFrame | None,
     allow: bool = True,
     keep_first_stop: bool = False,
+    few: bool = False,
 ) -> DataFrame:
     """Visits with chained trips merged into one long trip.
 
@@ -116,13 +131,14 @@ def insert_chains(
     arrival and the second departure. ``keep_first_stop`` also keeps the first
     stop of a chain, which the default drops as the original method does. Only
     visits of chains of two and more trips go through windows. A chain is one row
-    of its trips in ``chains``, so its visits are not many.
+    of its trips in ``chains``, so its visits are not many. ``few`` linked trips are
+    broadcast, and then no visit is shuffled to tell the two sorts apart.
     """
     if not allow:
         return visits.withColumns(
             {"trip_type": F.lit(SINGLE), "stop_type": F.lit(SINGLE), "run_id": run_number(F.col("trip_id"))}
         )
-    linked = chains.where(F.col("interlining_trip_id") != F.col("trip_id"))
+    linked = F.broadcast(linked_trips(chains)) if few else linked_trips(chains)
     trip_keys = ["service_date", "trip_id"]
     whole = F.col("trip_id").cast("decimal(38,0)")
     alone = visits.join(linked, trip_keys, "left_anti").withColumns(

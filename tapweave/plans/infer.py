@@ -23,7 +23,8 @@ class Inferred:
 
 def chained_visits(prepared: Prepared, tapped: DataFrame, s: Settings) -> DataFrame:
     seen = visits.keep_tapped_dates(prepared.visits, tapped)
-    return interline.insert_chains(seen, prepared.chains, s.allow_interlining, s.keep_first_stop)
+    few = s.allow_interlining and interline.few_linked(prepared.chains)
+    return interline.insert_chains(seen, prepared.chains, s.allow_interlining, s.keep_first_stop, few)
 
 
 def build_legs(tapped: DataFrame, runs: DataFrame, s: Settings) -> DataFrame:

@@ -194,6 +194,20 @@ def test_chain_merges_meeting_stop(spark):
     assert col(kept, "stop_id", "stop_sequence") == [7, 8, 9]
 
 
+def test_few_linked_trips_move_no_visits(spark):
+    """However large the written chains are, of which most trips are alone."""
+    rows, chains = (stage(df, n) for df, n in zip(chain_visits(spark), ("visits", "chains")))
+    assert interline.few_linked(chains) and not interline.few_linked(chains, 0)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1")
+    try:
+        joined, told = (interline.insert_chains(rows, chains, few=few) for few in (False, True))
+        assert "SortMergeJoin" in joined._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" not in told._jdf.queryExecution().executedPlan().toString()
+        assert sorted(map(str, joined.collect())) == sorted(map(str, told.collect()))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_run_number_covers_64_bits(spark):
     df = spark.sql("SELECT CAST(x AS decimal(38,0)) AS x FROM VALUES ('5'), ('18446744073709551615'), ('9223372036854775808') AS t(x)")
     assert col(df.select(interline.run_number(F.col("x")).alias("n")), "n") == [5, -1, -(2**63)]

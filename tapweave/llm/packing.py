@@ -28,7 +28,7 @@ import bisect
 import re
 import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -60,12 +60,32 @@ class PackParams:
 # tokenised blank by blank: no token of the vocabulary's pattern spans a word's
 # leading blank.
 _PLAIN = re.compile("[\\x00-\\x1b\\x20-\\x7eÀ-ÖØ-öø-ɏ]*")
-_BLANKS = re.compile("\\s | \\s")
+_OTHER_SPACE = "\t\n\v\f\r"  # all other white space among these characters
+
+
+def _blanks_touch(text: str) -> bool:
+    """True when a plain text has a blank next to other white space."""
+    return "  " in text or any(c in text and (" " + c in text or c + " " in text) for c in _OTHER_SPACE)
+
 
 # Fixed value: the vocabulary's pattern.
 _PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
+class _Known(dict):
+    """Ids of words; those not there are made, and kept while there is room."""
+
+    def __init__(self, make: Callable[[str], bytes], most: int):
+        super().__init__()
+        self.make, self.most = make, most
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self.make(word)
+        if len(self) < self.most:
+            self[word] = ids
+        return ids
+
+
 class Encoder:
     """Ids of whole texts as little-endian 32-bit numbers; remembers the ids of words."""
 
@@ -78,9 +98,11 @@ class Encoder:
             import public_tokenizers
 
             path, ranks = (public_tokenizers.path(f"byte_bpe_50k.{kind}") for kind in ("json", "tiktoken"))
-        self.tokenizer, self.kept = Tokenizer.from_file(path), params.words_kept
+        self.tokenizer = Tokenizer.from_file(path)
         self.specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.inner: dict[str, bytes] = {}
+        # a few texts start with the same word, so few of these are worth keeping
+        self.first = _Known(self._ids, params.words_kept // 10)
+        self.inner = _Known(lambda word: self._word(" " + word), params.words_kept)
         self.single = None
         if ranks is not None:
             with open(ranks, "rb") as f:
@@ -97,16 +119,10 @@ class Encoder:
         return struct.pack(f"<{len(ids)}I", *ids)
 
     def __call__(self, text: str) -> bytes:
-        if not _PLAIN.fullmatch(text) or _BLANKS.search(text) or any(s in text for s in self.specials):
+        if not _PLAIN.fullmatch(text) or _blanks_touch(text) or any(s in text for s in self.specials):
             return self._ids(text)
         first, *words = text.split(" ")
-        known = self.inner
-        new = {w: self._word(" " + w) for w in set(words).difference(known)}
-        if new and len(known) < self.kept:
-            known.update(new)
-        if new:
-            return self._ids(first) + b"".join([new[w] if w in new else known[w] for w in words])
-        return self._ids(first) + b"".join(map(known.__getitem__, words))
+        return self.first[first] + b"".join(map(self.inner.__getitem__, words))
 
 
 _ENCODERS: dict[PackParams, Encoder] = {}  # of this Python worker

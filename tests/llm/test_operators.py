@@ -324,6 +324,17 @@ def test_sample_keeps_columns_and_the_empty_table(spark, stages):
 # ---------------------------------------------------------------- packing
 
 
+def test_first_words_are_tokenised_once(monkeypatch):
+    plain, calls = packing.Encoder._ids, []
+    monkeypatch.setattr(packing.Encoder, "_ids", lambda self, text: calls.append(text) or plain(self, text))
+    encode = packing.Encoder(packing.PackParams(words_kept=20))
+    texts = ["The cat", "The dog  sat", "The dog\n sat", "The dog \tsat", "The\tdog sat ", "The", "", "The " + " ".join(map(str, range(60)))]
+    assert [encode(t) for t in texts * 2] == [plain(encode, t) for t in texts * 2]
+    assert calls.count("The") == 1 and len(encode.inner) == 20
+    # blanks that touch other white space: as a whole, each time
+    assert [calls.count(t) for t in texts[1:4]] == [2, 2, 2]
+
+
 def test_encoder_equals_the_tokenizer():
     encode = packing.Encoder(packing.PackParams())
     rng = random.Random(4)

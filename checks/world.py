@@ -133,7 +133,7 @@ class World:
 
     @cached_property
     def profiles(self) -> DataFrame:
-        return stage(profiles.journey_profiles(self.events, self.visits), "profiles")
+        return stage(profiles.journey_profiles(self.events, self.visits, following=self.following), "profiles")
 
     def lone_of(self, events: DataFrame) -> DataFrame:
         return compare.single_leg_trips(compare.on_platform(compare.look_ahead(events, self.following)))

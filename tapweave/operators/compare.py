@@ -27,7 +27,8 @@ def look_ahead(events: DataFrame, following: DataFrame) -> DataFrame:
     )
     card = Window.partitionBy("card_id").orderBy(*event_order())
     same = Window.partitionBy("card_id", "journey_id", "datetime", "event").orderBy("stop_id", "line_id")
-    once = events.withColumn("__n", F.row_number().over(same)).where("__n = 1").drop("__n")
+    # both windows run on this shuffle
+    once = events.repartition("card_id").withColumn("__n", F.row_number().over(same)).where("__n = 1").drop("__n")
     seen = F.struct("stop_id", "stop_lat", "stop_lon", "datetime", "event", "event_type", "confidence")
     ahead = once.withColumns({"one": F.lead(seen, 1).over(card), "two": F.lead(seen, 2).over(card)})
 

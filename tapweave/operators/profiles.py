@@ -11,6 +11,7 @@ from tapweave.config import FEET_PER_METER, FEET_PER_MILE, PLATFORM_REPORT_LINES
 from tapweave.functions.clock import epoch
 from tapweave.functions.geo import great_circle_meters
 from tapweave.functions.quantiles import exact_quantiles
+from tapweave.functions.stage import stage
 from tapweave.operators.journeys import event_order
 
 RIDE_EVENTS = ("BOARDED", "ALIGHTED")
@@ -37,9 +38,11 @@ def next_stops(visits: DataFrame) -> DataFrame:
 def _leads(events: DataFrame) -> DataFrame:
     """Following events, per journey and per card, as struct columns.
 
-    Every window is partitioned by the card first, so all of them and the
-    aggregation that follows run on one shuffle.
+    The events are dealt by the card first, so all windows and the aggregation
+    that follows run on one shuffle; left to itself, Spark deals by the keys of the
+    first window and shuffles again for those without the journey.
     """
+    events = events.repartition("card_id")
     ride = F.col("event").isin(*RIDE_EVENTS)
     place = F.struct("stop_lat", "stop_lon", "datetime")
     events = events.withColumns(
@@ -120,14 +123,18 @@ def journey_profiles(
     visits: DataFrame,
     platform_lines: Sequence[int] = PLATFORM_REPORT_LINES,
     one_row_per_journey: bool = False,
+    following: DataFrame | None = None,
 ) -> DataFrame:
     """The profile table.
 
     A journey whose legs differ in validity score has one row per score, as in
     the original table; ``one_row_per_journey`` keeps its first score only.
+    ``following`` is the table of ``next_stops`` where it is written already; else it is
+    written here, so that its size tells Spark whether to broadcast it.
     """
     figures = journey_figures(events, platform_lines)
-    follow = next_stops(visits).withColumnsRenamed(
+    following = stage(next_stops(visits), "following") if following is None else following
+    follow = following.withColumnsRenamed(
         {"line_id": "f_line", "stop_id": "f_stop", "direction_id": "f_direction"}
     )
     # journeys without a lone leg match nothing; a made-up line each keeps them from meeting under null

@@ -535,6 +535,42 @@ def test_choosing_rides_moves_no_row_by_run_alone(spark):
     assert shuffles and all("part" in x.split("hashpartitioning(")[1].split(")")[0] for x in shuffles)
 
 
+def shuffles_of(df):
+    """Lines of the plan that shuffle by keys."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return [x for x in plan.splitlines() if "Exchange hashpartitioning(" in x]
+
+
+def rider_events(spark, cards=3):
+    schema = (
+        "card_id string, journey_id string, datetime timestamp, stop_id int, line_id int, direction_id int, stop_lat double,"
+        " stop_lon double, event string, event_type string, validity_score double, confidence double"
+    )
+    rows = []
+    for c in range(cards):
+        for j in range(2):
+            for k, (event, kind) in enumerate((("BOARDED", "ORIGIN"), ("ALIGHTED", "DESTINATION"))):
+                rows.append((f"c{c}", f"j{c}{j}", at(5000 * j + 600 * k), 1 + k + j, 4, 0, 45.0 + k / 10, -122.0, event, kind, 0.5, 0.9))
+    return stage(spark.createDataFrame(rows, schema), "rider_events")
+
+
+def test_figures_and_look_ahead_shuffle_once_by_card(spark):
+    from tapweave.operators import compare, profiles
+
+    events = rider_events(spark)
+    figures = profiles.journey_figures(events)
+    assert len(shuffles_of(figures)) == 1 and "(card_id" in shuffles_of(figures)[0]
+    got = {r["journey_id"]: (r["n_legs"], r["journey_time_seconds"], r["max_inter_boarding_time_seconds"]) for r in figures.collect()}
+    assert got == {f"j{c}{j}": (1, 600, 5000 if j == 0 else None) for c in range(3) for j in range(2)}
+    schema = "line_id int, stop_id int, direction_id int, trip_stop_id_next int"
+    following = stage(spark.createDataFrame([(4, 1, 0, 2)], schema), "following")
+    ahead = compare.look_ahead(events, following)
+    by_events = [x for x in shuffles_of(ahead) if "card_id" in x]
+    assert len(by_events) == 1 and "journey_id" not in by_events[0].split(")")[0]
+    lone = compare.single_leg_trips(ahead).collect()
+    assert {(r["journey_id"], r["is_single_stop_ride"]) for r in lone} == {(f"j{c}0", "Y") for c in range(3)}
+
+
 def test_quantile_bins_are_even_whatever_the_tail(spark):
     from tapweave.functions.quantiles import BINS, binned_values
 

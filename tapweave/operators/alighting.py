@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tapweave.config import PLATFORM_LINE
 from tapweave.functions.clock import epoch
 from tapweave.functions.geo import great_circle_meters
-from tapweave.functions.stage import stage
+from tapweave.functions.stage import noted, stage
 
 # walking follows the street grid, not the straight line
 GRID_FACTOR = 2**0.5
@@ -64,7 +64,7 @@ def crowded_runs(
 
 def run_tasks(watch: Observation, pairs: int = 1_000_000) -> int:
     """Tasks for the runs ``crowded_runs`` has counted, one for every ``pairs`` pairs of boardings and stops."""
-    return max(1, ceil((watch.get["pairs"] or 0) / pairs))
+    return max(1, ceil((noted(watch).get("pairs") or 0) / pairs))
 
 
 def alighting_candidates(

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from tapweave.functions.geo import great_circle_meters
+from tapweave.functions.stage import noted
 from tapweave.operators.rules import reasons
 from tapweave.operators.taps import null_counts, require_no_nulls
 
@@ -44,14 +45,15 @@ def attach_choices(legs: DataFrame, chosen: DataFrame) -> DataFrame:
     """Every leg with the ride chosen for it; legs that no ride was looked for stay, without one.
 
     A tap without a readable time or line has no candidates. Its own columns
-    are kept, and the rules then give the reasons.
+    are kept, and the rules then give the reasons. Card and time are those of the leg, so
+    the rows still lie by card for the windows that follow.
     """
     ride = chosen.withColumnsRenamed({c: f"__{c}" for c in chosen.columns})
     on = (F.col("card_id") == F.col("__card_id")) & (F.col("datetime") == F.col("__datetime"))
     both = legs.join(ride, on, "left")
     taken = {c: F.col(f"__{c}") for c in chosen.columns if c not in legs.columns}
     found = F.col("__card_id").isNotNull()
-    shared = {c: F.when(found, F.col(f"__{c}")).otherwise(F.col(c)) for c in chosen.columns if c in legs.columns}
+    shared = {c: F.when(found, F.col(f"__{c}")).otherwise(F.col(c)) for c in chosen.columns if c in legs.columns and c not in ("card_id", "datetime")}
     return both.withColumns(taken | shared).select(*dict.fromkeys([*legs.columns, *chosen.columns]))
 
 
@@ -107,6 +109,10 @@ def split_journeys(judged: DataFrame) -> tuple[DataFrame, DataFrame]:
     return possible, judged.where(bad).drop("is_impossible")
 
 
+# What ``add_validity_score`` adds.
+SCORE_COLUMNS = ("origin_origin_meters", "max_transfer_meters", "validity_score")
+
+
 def add_validity_score(legs: DataFrame, whole_journey: bool = False) -> DataFrame:
     """``1 / (1 + longest transfer / distance to the next origin)``, 0 without distance.
 
@@ -276,3 +282,15 @@ def null_report(events: DataFrame) -> DataFrame:
 
 def require_complete(events: DataFrame) -> DataFrame:
     return require_no_nulls(events, events.columns)
+
+
+def watch_complete(events: DataFrame, watch: Observation) -> DataFrame:
+    """The events, whose nulls per column ``watch`` counts while somebody writes them."""
+    return events.observe(watch, *[F.count_if(F.col(c).isNull()).alias(c) for c in events.columns])
+
+
+def require_watched(watch: Observation) -> None:
+    """The error of ``require_complete``; call it after the write."""
+    bad = [column for column, nulls in noted(watch).items() if nulls]
+    if bad:
+        raise ValueError(f"nulls found in {', '.join(bad)}")

@@ -488,7 +488,7 @@ def _(w):
 
 @query("A2_in_array_form", f"SELECT {', '.join(TAP_RUN)}, {r6s('boarding_probability')} FROM board_onboard")
 def _(w):
-    return boarding.scored_onboard_candidates(w.tap_keys(False), w.runs).selectExpr(*TAP_RUN, *r6("boarding_probability"))
+    return boarding.scored_onboard_candidates(w.tap_keys(False), w.runs, w.slice_seconds).selectExpr(*TAP_RUN, *r6("boarding_probability"))
 
 
 @query("A3_transfer_walk", f"SELECT {', '.join(TAP_RUN)}, alight_sequence, {r4s('transfer_meters', 'transfer_seconds', 'walk_all_seconds')} FROM walked")

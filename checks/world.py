@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from checks.fixtures import FIXTURE_SETTINGS, fixture
@@ -35,7 +35,10 @@ class World:
     @cached_property
     def located(self) -> DataFrame:
         raw = (self.raw(n) for n in ("stop_events", "trips", "stops"))
-        return stage(prep.located_visits(*raw, self.taps, S), "located")
+        watch = Observation()
+        located = stage(prep.located_visits(*raw, self.taps, S, watch=watch), "located")
+        visits.require_watched(watch)
+        return located
 
     @cached_property
     def merged(self) -> DataFrame:
@@ -65,17 +68,21 @@ class World:
     def alternatives(self) -> DataFrame:
         return boarding.platform_alternatives(self.runs, S.alternative_meters, S.extra_platform_stops)
 
+    @cached_property
+    def slice_seconds(self) -> int:
+        return boarding.slice_seconds(self.runs)
+
     def tap_keys(self, platform: bool) -> DataFrame:
         mode = F.col("line_id") == PLATFORM_LINE
         return boarding.tap_keys(self.legs, mode if platform else ~mode)
 
     @cached_property
     def platform(self) -> DataFrame:
-        return boarding.platform_candidates(self.tap_keys(True), self.runs, self.alternatives)
+        return boarding.platform_candidates(self.tap_keys(True), self.runs, self.alternatives, self.slice_seconds)
 
     @cached_property
     def onboard(self) -> DataFrame:
-        return boarding.onboard_candidates(self.tap_keys(False), self.runs)
+        return boarding.onboard_candidates(self.tap_keys(False), self.runs, self.slice_seconds)
 
     @cached_property
     def candidates(self) -> DataFrame:
@@ -99,20 +106,19 @@ class World:
 
     @cached_property
     def rides(self) -> DataFrame:
-        return stage(journeys.attach_choices(self.legs, plan.choose_rides(self.candidates, self.runs, S)), "rides")
+        return journeys.attach_choices(self.legs, plan.choose_rides(self.candidates, self.runs, S))
 
     @cached_property
     def judged(self) -> DataFrame:
-        built = journeys.build_journeys(self.rides, S.wait_minutes)
-        return stage(journeys.judge_journeys(built, S.max_days_to_destination), "judged")
+        return stage(plan.judge(self.rides, S), "judged")
 
     @cached_property
     def valid(self) -> DataFrame:
-        return journeys.add_validity_score(journeys.split_journeys(self.judged)[0])
+        return journeys.split_journeys(self.judged)[0]
 
     @cached_property
     def failed(self) -> DataFrame:
-        return journeys.split_journeys(self.judged)[1]
+        return plan.failed_of(self.judged)
 
     @cached_property
     def ride_events(self) -> DataFrame:

@@ -3,15 +3,19 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from math import ceil
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tapweave.config import PLATFORM_LINE
-from tapweave.functions.clock import epoch, service_slice
+from tapweave.functions.clock import DAY_SECONDS, epoch, service_slice
 from tapweave.functions.geo import great_circle_meters, sphere_cell
 
+# Taps and visits meet in slices of the day of at most this length, see ``slice_seconds``.
 SLICE_SECONDS = 900
+# Mean gaps between vehicles that a slice is long.
+GAPS_PER_SLICE = 4
 
 # What a candidate keeps of the visit that was boarded.
 _BOARDED = {
@@ -101,22 +105,39 @@ def _visit_times(visits: DataFrame) -> DataFrame:
     )
 
 
-def _slices(first: Column, last: Column) -> Column:
+def slice_seconds(visits: DataFrame, longest: int = SLICE_SECONDS) -> int:
+    """Length of the slices for these visits: a few mean gaps between the vehicles of a stop, line and direction.
+
+    With slices of a fixed length the pairs of taps and spans in a slice grow with
+    the square of how densely stops are served. The gaps shrink as it rises, so a
+    tap always meets about as many spans; and a span, which lasts one gap, is in few
+    slices, so that these are at most about half as many again as there are spans.
+    Counted at once from the key columns, combined ahead of the shuffle.
+    """
+    keys = ["service_date", "stop_id", "route_id", "route_id_old", "direction_id"]
+    groups = visits.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    seen = groups.agg(F.count(F.lit(1)).alias("groups"), F.sum("n").alias("visits")).first()
+    if not seen["visits"]:
+        return longest
+    return max(1, min(longest, ceil(GAPS_PER_SLICE * DAY_SECONDS * seen["groups"] / seen["visits"])))
+
+
+def _slices(first: Column, last: Column, width: int) -> Column:
     """Slice numbers of a time span of the service day; nothing for an empty span."""
-    low = F.coalesce(service_slice(F.col("v_date"), first, SLICE_SECONDS), F.lit(0))
-    top = service_slice(F.col("v_date"), F.lit(2**40), SLICE_SECONDS)
-    high = F.coalesce(service_slice(F.col("v_date"), last, SLICE_SECONDS), top)
+    low = F.coalesce(service_slice(F.col("v_date"), first, width), F.lit(0))
+    top = service_slice(F.col("v_date"), F.lit(2**40), width)
+    high = F.coalesce(service_slice(F.col("v_date"), last, width), top)
     return F.when(F.coalesce(first, F.lit(-(2**40))) <= F.coalesce(last, F.lit(2**40)), F.sequence(low, high))
 
 
-def _attach(taps: DataFrame, spans: DataFrame) -> DataFrame:
+def _attach(taps: DataFrame, spans: DataFrame, width: int) -> DataFrame:
     """Left join of taps to the span ``from_s .. to_s`` that holds the tap, one row per visit in ``near``.
 
-    Taps and spans meet in a slice of the day, so a busy stop spreads over many
+    Taps and spans meet in a slice of the day, ``width`` seconds long, so a busy stop spreads over many
     keys and a tap is tested against the visits around it only. Each tap falls
     in at most one span per key: no pairs of all taps and visits are made.
     """
-    tap_slice = service_slice(F.col("service_date"), F.col("tap_s"), SLICE_SECONDS)
+    tap_slice = service_slice(F.col("service_date"), F.col("tap_s"), width)
     on = (
         (F.col("service_date") == F.col("v_date"))
         & (F.col("stop_id") == F.col("v_stop"))
@@ -136,7 +157,9 @@ def _visit_struct() -> Column:
     return F.struct("arrive_s", "depart_s", *_BOARDED)
 
 
-def platform_candidates(taps: DataFrame, visits: DataFrame, alternatives: DataFrame) -> DataFrame:
+def platform_candidates(
+    taps: DataFrame, visits: DataFrame, alternatives: DataFrame, width: int = SLICE_SECONDS
+) -> DataFrame:
     """The two next departures per route and direction for taps made before boarding.
 
     Each visit is given the span of tap times for which it is the next
@@ -150,8 +173,8 @@ def platform_candidates(taps: DataFrame, visits: DataFrame, alternatives: DataFr
         (F.lag("depart_s").over(order) + 1).alias("from_s"),
         F.col("depart_s").alias("to_s"),
         F.array_compact(F.array(_visit_struct(), F.lead(_visit_struct()).over(order))).alias("near"),
-    ).withColumn("slices", _slices(F.col("from_s"), F.col("to_s")))
-    found = _attach(use_alternatives(taps, alternatives), spans)
+    ).withColumn("slices", _slices(F.col("from_s"), F.col("to_s"), width))
+    found = _attach(use_alternatives(taps, alternatives), spans, width)
     each = found.withColumn("v", F.explode_outer("near")).select("*", "v.*").drop("near", "v")
     # alternatives may serve the same route: two per route and direction in all
     best = Window.partitionBy("card_id", "datetime", "board_route", "board_direction_id").orderBy(
@@ -172,7 +195,7 @@ def score_platform_boarding(candidates: DataFrame) -> DataFrame:
     ).drop("__p")
 
 
-def _onboard_found(taps: DataFrame, visits: DataFrame) -> DataFrame:
+def _onboard_found(taps: DataFrame, visits: DataFrame, width: int) -> DataFrame:
     order = Window.partitionBy("v_date", "v_stop", "v_line").orderBy("arrive_s", "run_id", "board_sequence")
     served = _visit_times(visits).where(F.col("arrive_s").isNotNull() & (F.col("v_line") != PLATFORM_LINE))
     spans = served.select(
@@ -182,17 +205,17 @@ def _onboard_found(taps: DataFrame, visits: DataFrame) -> DataFrame:
         F.array_compact(
             F.array(_visit_struct(), *[F.lag(_visit_struct(), k).over(order) for k in (1, 2)])
         ).alias("near"),
-    ).withColumn("slices", _slices(F.col("from_s"), F.col("to_s")))
-    return _attach(taps.withColumn("stop_id_old", F.col("stop_id")), spans)
+    ).withColumn("slices", _slices(F.col("from_s"), F.col("to_s"), width))
+    return _attach(taps.withColumn("stop_id_old", F.col("stop_id")), spans, width)
 
 
-def onboard_candidates(taps: DataFrame, visits: DataFrame) -> DataFrame:
+def onboard_candidates(taps: DataFrame, visits: DataFrame, width: int = SLICE_SECONDS) -> DataFrame:
     """The three latest arrivals for taps made in the vehicle.
 
     Each visit has the span of tap times up to the next arrival and carries the
     two arrivals before it, so no ranking after the join is needed.
     """
-    found = _onboard_found(taps, visits)
+    found = _onboard_found(taps, visits, width)
     return found.withColumn("v", F.explode_outer("near")).select("*", "v.*").drop("near", "v")
 
 
@@ -211,13 +234,13 @@ def _onboard_chance(tap: Column, arrive: Column, h: Column) -> Column:
     return scale * F.exp(F.try_divide(-(tap - arrive), h))
 
 
-def scored_onboard_candidates(taps: DataFrame, visits: DataFrame) -> DataFrame:
+def scored_onboard_candidates(taps: DataFrame, visits: DataFrame, width: int = SLICE_SECONDS) -> DataFrame:
     """Candidates and probability together.
 
     The visits of a tap are still one array when the probabilities are
     normalised, which saves the shuffle that a window per tap costs.
     """
-    found = _onboard_found(taps, visits)
+    found = _onboard_found(taps, visits, width)
     chances = F.transform("near", lambda v: _onboard_chance(F.col("tap_s"), v["arrive_s"], v["board_headway"]))
     total = F.aggregate(
         F.filter("__p", lambda p: p.isNotNull()), F.lit(0.0), lambda a, p: a + p

@@ -21,10 +21,19 @@ class Inferred:
     metrics: DataFrame
 
 
+# What the steps after the chains read of a visit; all else is left in the prepared table.
+RUN_COLUMNS = (
+    "service_date", "run_id", "stop_id", "stop_sequence", "route_id", "route_id_old", "direction_id",
+    "arrive_datetime", "departure_datetime", "stop_lat", "stop_lon", "mean_boarding_interval_seconds",
+    "trip_type", "stop_type",
+)
+
+
 def chained_visits(prepared: Prepared, tapped: DataFrame, s: Settings) -> DataFrame:
     seen = visits.keep_tapped_dates(prepared.visits, tapped)
     few = s.allow_interlining and interline.few_linked(prepared.chains)
-    return interline.insert_chains(seen, prepared.chains, s.allow_interlining, s.keep_first_stop, few)
+    chained = interline.insert_chains(seen, prepared.chains, s.allow_interlining, s.keep_first_stop, few)
+    return chained.select(*RUN_COLUMNS)
 
 
 def build_legs(tapped: DataFrame, runs: DataFrame, s: Settings) -> DataFrame:
@@ -40,8 +49,10 @@ def boarding_candidates(legs: DataFrame, runs: DataFrame, s: Settings) -> DataFr
     alternatives = boarding.platform_alternatives(runs, s.alternative_meters, s.extra_platform_stops)
     if s.staged:  # pairs of near stops: their written size decides on a broadcast
         alternatives = stage(alternatives, "alternatives")
-    platform = boarding.score_platform_boarding(boarding.platform_candidates(on_platform, runs, alternatives))
-    return platform.unionByName(boarding.scored_onboard_candidates(on_board, runs))
+    # counted from the written visits
+    width = boarding.slice_seconds(runs) if s.staged else boarding.SLICE_SECONDS
+    platform = boarding.score_platform_boarding(boarding.platform_candidates(on_platform, runs, alternatives, width))
+    return platform.unionByName(boarding.scored_onboard_candidates(on_board, runs, width))
 
 
 # Columns that no later step reads; the multiplied rows are sorted without them.
@@ -73,8 +84,22 @@ def choose_rides(candidates: DataFrame, runs: DataFrame, s: Settings) -> DataFra
     return alighting.choose_alighting(alighting.add_confidence(best))
 
 
+def judge(rides: DataFrame, s: Settings) -> DataFrame:
+    """Rides with journey, reasons and validity score.
+
+    A journey is possible or impossible as a whole, so the scores of the possible ones are the
+    same before the split, where the rides still lie by card.
+    """
+    built = journeys.build_journeys(rides, s.wait_minutes)
+    return journeys.add_validity_score(journeys.judge_journeys(built, s.max_days_to_destination))
+
+
+def failed_of(judged: DataFrame) -> DataFrame:
+    return journeys.split_journeys(judged)[1].drop(*journeys.SCORE_COLUMNS)
+
+
 def judged_legs(prepared: Prepared, settings: Settings) -> tuple[DataFrame, DataFrame]:
-    """Legs with journey and reasons, and the visits they were matched to."""
+    """Legs with journey, reasons and score, and the visits they were matched to."""
     s = settings
     keep = stage if s.staged else (lambda df, _: df)
     tapped = taps.select_months(prepared.taps, "service_date", s.year_months)
@@ -82,35 +107,36 @@ def judged_legs(prepared: Prepared, settings: Settings) -> tuple[DataFrame, Data
     legs = keep(build_legs(tapped, runs, s), "legs")
     candidates = keep(boarding_candidates(legs, runs, s), "candidates")
     rides = journeys.attach_choices(legs, choose_rides(candidates, runs, s))
-    judged = journeys.judge_journeys(journeys.build_journeys(rides, s.wait_minutes), s.max_days_to_destination)
-    return keep(judged, "judged"), runs
+    return keep(judge(rides, s), "judged"), runs
 
 
 def events_of(judged: DataFrame, runs: DataFrame, s: Settings) -> DataFrame:
     """Rider events before the sequence check."""
     possible, _ = journeys.split_journeys(judged)
-    scored = journeys.add_validity_score(possible)
-    changes = interline.interline_events(scored, runs, s.allow_interlining)
-    events = journeys.add_event_type(journeys.journey_events(scored, changes))
+    changes = interline.interline_events(possible, runs, s.allow_interlining)
+    events = journeys.add_event_type(journeys.journey_events(possible, changes))
     return journeys.tag_loops(events, s.loop_meters)
 
 
 def infer(prepared: Prepared, settings: Settings | None = None, strict: bool = True) -> Inferred:
     """Rider events, failed events and metrics.
 
-    ``strict`` fails the run when a rider event has a null; events are checked
-    as written, so nothing is computed twice. With ``Settings.staged`` off the
+    ``strict`` fails the run when a rider event has a null; the check rides on the
+    write of the events, so nothing is computed twice. With ``Settings.staged`` off the
     events are not written, and the check computes them a second time.
     """
     s = settings or Settings()
     judged, runs = judged_legs(prepared, s)
     events = events_of(judged, runs, s)
-    if strict and s.staged:
-        events = stage(events, "checked")
-    if strict:
+    watch = Observation() if strict and s.staged else None
+    if watch is not None:
+        events = journeys.watch_complete(events, watch)
+    elif strict:
         journeys.require_complete(events)
     events = journeys.add_start_date(journeys.drop_odd_sequences(events))
     if s.staged:
         events = stage(events, "events")
-    _, failed = journeys.split_journeys(judged)
+    if watch is not None:
+        journeys.require_watched(watch)
+    failed = failed_of(judged)
     return Inferred(events, journeys.failed_events(failed), failed, metrics.run_metrics(events, failed))

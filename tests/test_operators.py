@@ -341,6 +341,15 @@ def test_alighting_tasks_grow_with_the_pairs(spark):
     assert sorted(map(str, plain.collect())) == sorted(map(str, dealt.drop("part").collect()))
 
 
+def test_boardings_without_any_run_have_one_task(spark):
+    from tapweave.plans.infer import reached_stops
+
+    c, stops = crowd(spark)
+    lost = stage(c.withColumn("run_id", F.lit(None).cast("long")), "lost")
+    for few in (lost, c.where("card_id = ''")):
+        assert reached_stops(few, stops, Settings()).count() == few.count()
+
+
 def test_first_arrival_wins_when_the_route_weight_is_null(spark):
     # no position at the next tap: a stop without dwell scores 0, the rest null,
     # and the weight of the route makes all of them null
@@ -571,6 +580,74 @@ def test_figures_and_look_ahead_shuffle_once_by_card(spark):
     assert {(r["journey_id"], r["is_single_stop_ride"]) for r in lone} == {(f"j{c}0", "Y") for c in range(3)}
 
 
+def test_attached_rides_stay_by_card(spark):
+    legs = stage(spark.createDataFrame([("a", at(0), 1, 4), ("a", at(90), 2, 4), ("b", at(5), 1, None)], "card_id string, datetime timestamp, stop_id int, line_id int"), "legs")
+    ride = "card_id string, datetime timestamp, stop_id int, board_headway double, next_s long, alight_s long, transfer_seconds double"
+    chosen = stage(spark.createDataFrame([("a", at(0), 7, 600.0, 90, 60, 5.0), ("a", at(90), None, None, None, None, None)], ride), "chosen")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        built = journeys.build_journeys(journeys.attach_choices(legs, chosen.repartition("card_id")), 15)
+        assert len(shuffles_of(built)) == 2, "one of either side of the join"
+        got = {(r["card_id"], r["datetime"], r["stop_id"], r["alight_s"]) for r in built.collect()}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert got == {("a", at(0), 7, 60), ("a", at(90), None, None), ("b", at(5), 1, None)}
+
+
+def test_scores_of_possible_journeys_do_not_need_the_split(spark):
+    from tapweave.plans import infer as plan
+
+    schema = (
+        "card_id string, journey_id string, datetime timestamp, stop_lat double, stop_lon double, stop_lat_next double,"
+        " stop_lon_next double, transfer_meters double, is_impossible boolean, reasons_for_impossibility array<string>"
+    )
+    rows = [("a", f"j{j}", at(60 * i), 45.0, -122.0, 45.1 + i / 10, -122.0, 10.0 * (3 - i) if i else None, j == 1, ["x"] * (j == 1)) for j in range(2) for i in range(3)]
+    judged = stage(spark.createDataFrame(rows, schema), "judged")
+    scored = journeys.add_validity_score(judged)
+    before, after = journeys.add_validity_score(journeys.split_journeys(judged)[0]), journeys.split_journeys(scored)[0]
+    assert before.columns == after.columns and sorted(map(str, before.collect())) == sorted(map(str, after.collect()))
+    failed = journeys.split_journeys(judged)[1]
+    assert plan.failed_of(scored).columns == failed.columns and plan.failed_of(scored).count() == failed.count() == 3
+
+
+def test_null_check_rides_on_the_write(spark):
+    from pyspark.sql import Observation
+
+    events = rider_events(spark)
+    broken = events.withColumn("stop_lat", F.when(F.col("journey_id") != "j00", F.col("stop_lat")))
+    for rows, bad in ((events, None), (events.where("stop_id > 99"), None), (broken, "stop_lat")):
+        watch = Observation()
+        written = stage(journeys.add_start_date(journeys.drop_odd_sequences(journeys.watch_complete(rows, watch))), "events")
+        assert written.count() == rows.count()
+        if bad is None:
+            journeys.require_watched(watch)
+        else:
+            with pytest.raises(ValueError, match=f"nulls found in {bad}$"):
+                journeys.require_watched(watch)
+
+
+def test_slices_shrink_as_stops_are_served_more_densely(spark):
+    def served(times, line, old):
+        rows = [visit(i, 7200 * i // times, line=line, old=old, depart=7200 * i // times + 5) for i in range(times)]
+        return spark.createDataFrame(rows, VISIT)
+
+    assert boarding.slice_seconds(served(24, 4, 4)) == 900
+    assert boarding.slice_seconds(served(24, 4, 4).where("run_id < 0")) == 900
+    thin, dense = (boarding.slice_seconds(served(n, 4, 4)) for n in (1_000, 10_000))
+    assert thin == 346 and dense == 35
+    visits_, taps_ = served(300, 4, 4), keys(spark, [(f"c{t}", t, 9999, 4, 1) for t in range(-50, 7500, 83)])
+    one = boarding.scored_onboard_candidates(taps_, visits_)
+    for width in (1, 7, 900):
+        other = boarding.scored_onboard_candidates(taps_, visits_, width)
+        assert sorted(map(str, one.collect())) == sorted(map(str, other.collect()))
+    visits_, taps_ = served(300, 200, 90), keys(spark, [(f"c{t}", t, 9999, 200, 1) for t in range(-50, 7500, 83)])
+    near = pairs(spark, [(1, 1, 45.0, -122.0)])
+    one = boarding.platform_candidates(taps_, visits_, near)
+    for width in (1, 7):
+        other = boarding.platform_candidates(taps_, visits_, near, width)
+        assert sorted(map(str, one.collect())) == sorted(map(str, other.collect()))
+
+
 def test_quantile_bins_are_even_whatever_the_tail(spark):
     from tapweave.functions.quantiles import BINS, binned_values
 

@@ -14,8 +14,8 @@ at 1 stay whole, and the raking lets the others of their margin values make up
 for what these lack; a value without enough tokens stays short of its target.
 
 Everything is built from DataFrame operations. Only the cells (distinct
-combinations, pre-aggregated in each task) are iterated on; the factors of each
-margin are small written tables.
+combinations, pre-aggregated in each task) are iterated on; they are written
+after each step with the factors of their margins.
 
 Defined results: null sources, languages and topics are values of their own
 (shown as empty text); a null or empty text has one token; a null id has the
@@ -111,27 +111,34 @@ def rake(cells: DataFrame, mix: Mix, stages: Stages) -> DataFrame:
     """Add ``weight`` (share of the raked mixture) to a written table of cells.
 
     With a budget a cell counts with no more than all its tokens while its margins are scaled; ``weight`` is before that limit.
+    The cells carry their targets and factors along, so that a step is one sum and one join, whatever the number of margins:
+    the plans and broadcasts of the steps are the driver's to hold.
     """
     total = cells.agg(F.sum("tokens").cast("double")).first()[0] or 1.0
-    wanted = {m: stages.write(targets(cells, m, mix), f"target_{m}") for m in MARGINS}
-    factors: dict[str, DataFrame] = {}
+    state = cells
+    for m in MARGINS:
+        state = state.join(stages.write(targets(cells, m, mix), f"target_{m}"), m)
+    state = stages.write(state, "state")
+    scaled: list[str] = []  # margins with a factor, in the order of multiplication
 
     def weighted() -> DataFrame:
-        df, weight = cells, F.col("tokens") / F.lit(total)
-        for m, table in factors.items():
-            df, weight = df.join(table, m), weight * F.col(f"factor_{m}")
-        return df.withColumn("weight", weight)
+        weight = F.col("tokens") / F.lit(total)
+        for m in scaled:
+            weight = weight * F.col(f"factor_{m}")
+        return state.withColumn("weight", weight)
 
     for _ in range(mix.sweeps):
         for m in MARGINS:
             if mix.budget is None:
-                factors.pop(m, None)
+                scaled = [x for x in scaled if x != m]
                 sums = weighted().groupBy(m).agg(F.sum("weight").alias("now"))
                 factor = F.try_divide(f"target_{m}", "now")
             else:
                 sums, factor = _limited(weighted(), m, total * mix.budget)
-            table = wanted[m].join(sums, m).select(m, F.coalesce(factor, F.lit(0.0)).alias(f"factor_{m}"))
-            factors[m] = stages.write(table, f"factor_{m}")
+            told = state.drop(f"factor_{m}").join(sums, m).withColumn(f"factor_{m}", F.coalesce(factor, F.lit(0.0)))
+            state = stages.write(told.drop(*(c for c in sums.columns if c != m)), "state")
+            if m not in scaled:
+                scaled = [*scaled, m]
     return weighted().select(*cells.columns, "weight")
 
 

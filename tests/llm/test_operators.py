@@ -556,3 +556,22 @@ def test_large_pages_make_more_shards(spark, stages):
     many = warc.write_archives(pages, stages.path("w"), stages, warc.WarcParams(shard_bytes=20_000))
     assert few == 1 and many.count() > 4 and warc.read_records(pages, many).count() == 40
 
+
+@pytest.mark.parametrize("budget", [None, 0.5])
+def test_a_step_of_the_raking_is_one_join(spark, budget):
+    """The driver holds the plan and the broadcasts of every step."""
+    joins = []
+
+    class Noting(Stages):
+        def write(self, df, name, *partition_by):
+            joins.append(df._jdf.queryExecution().optimizedPlan().toString().count("Join "))
+            return super().write(df, name, *partition_by)
+
+    rows = [(i, "wxyz"[i % 4], ("en", "de")[i % 3 > 0], "word " * (i * 37 % 900)) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, lang string, text string")
+    with Noting(spark) as stages:
+        mix = mixing.Mix(budget=budget)
+        out = mixing.calibrated(docs, mix, stages).collect()
+        share = sum(r["mix_probability"] * r["mix_tokens"] for r in out) / sum(r["mix_tokens"] for r in out)
+        assert len(out) == 60 and (max(r["mix_probability"] for r in out) == 1.0 if budget is None else abs(share - budget) < 1e-6)
+    assert max(joins) <= 3 and sum(joins) <= 3 * mix.sweeps + 3

@@ -17,6 +17,7 @@ import time
 from checks.compare_all import session
 from checks.fixtures import FIXTURE_SETTINGS, prepared_tables
 from checks.world import World
+from tapweave.functions.stage import stage
 from tapweave.operators import alighting, boarding, interline, journeys, profiles, taps, visits
 from tapweave.plans import infer as plan
 
@@ -47,15 +48,16 @@ def main() -> None:
         discard(result.failed_events)
 
     flagship()
-    for step in ("taps", "located", "merged", "visits", "chains", "runs", "legs", "candidates", "rides", "judged", "events"):
+    for step in ("taps", "scheduled", "merged", "chains", "runs", "legs", "candidates", "rides", "judged", "events"):
         getattr(w, step)
+    located, prepared_visits = stage(w.located, "located"), stage(w.visits, "visits")
 
     operators = {
         "drop_bursts": lambda: taps.drop_bursts(taps.parse_datetime(w.raw("taps")), s.burst_seconds),
         "nearest_release": lambda: visits.add_stop_locations(visits.add_visit_times(w.raw("stop_events")), w.raw("stops")),
         "headways": lambda: visits.add_headways(w.merged),
-        "chains": lambda: interline.chain_trips(interline.link_blocks(interline.trip_ends(w.located))),
-        "insert_chains": lambda: interline.insert_chains(w.visits, w.chains),
+        "chains": lambda: interline.chain_trips(interline.link_blocks(interline.trip_ends(located))),
+        "insert_chains": lambda: interline.insert_chains(prepared_visits, w.chains),
         "platform_asof_top2": lambda: boarding.score_platform_boarding(w.platform),
         "onboard_asof_top3": lambda: boarding.scored_onboard_candidates(w.tap_keys(False), w.runs),
         "alighting_band_join": lambda: alighting.alighting_candidates(w.candidates, w.runs),
@@ -63,7 +65,7 @@ def main() -> None:
         "journeys_and_rules": lambda: journeys.judge_journeys(
             journeys.build_journeys(w.rides, s.wait_minutes), s.max_days_to_destination
         ),
-        "journey_profiles": lambda: profiles.journey_profiles(w.events, w.visits),
+        "journey_profiles": lambda: profiles.journey_profiles(w.events, prepared_visits),
     }
     seconds = {"flagship": timed(flagship, 1)}
     for name, build in operators.items():

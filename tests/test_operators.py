@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from checks.world import World
 from tapweave import Settings
 from tapweave.functions.clock import service_clock, service_slice
 from tapweave.functions.geo import great_circle_meters
@@ -684,3 +685,51 @@ def test_locations_per_stop_and_date(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert [x for x in plan.splitlines() if "Exchange hashpartitioning(" in x and "stop_id" in x and "service_date" in x], plan
 
+
+
+def test_departures_are_dealt_once_and_ranked_in_pairs(spark):
+    """Visits by date, stop and line for windows and join; what was found goes on by tap, two departures to a row."""
+    v = stage(spark.createDataFrame([visit(i, 60 * i, line=200) for i in range(5)], VISIT), "visits")
+    k = stage(keys(spark, [("a", 5, 999, 200, 1), ("b", 70, 999, 200, 1)]), "keys")
+    near = stage(pairs(spark, [(1, 1, 45.0, -122.0)]), "near")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        lines = shuffles_of(boarding.score_platform_boarding(boarding.platform_candidates(k, v, near)))
+        on_board = shuffles_of(boarding.scored_onboard_candidates(k, v))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert not [x for x in lines if "slice" in x or "board_route" in x], lines
+    assert len([x for x in lines if "hashpartitioning(v_date" in x]) == 1, lines
+    assert len([x for x in lines if "hashpartitioning(card_id" in x and "REPARTITION_BY_COL" in x]) == 1, lines
+    # ahead of the structs of the window, not behind them
+    assert len([x for x in on_board if "hashpartitioning(v_date" in x and "REPARTITION_BY_COL" in x]) == 1, on_board
+
+
+def test_legs_are_dealt_before_they_are_paired(spark):
+    t = stage(spark.createDataFrame([("a", at(0), 1), ("a", at(60), 2)], "card_id string, datetime timestamp, stop_id int"), "taps")
+    legs = taps.pair_with_next(t, ("datetime", "stop_id"))
+    lines = shuffles_of(legs)
+    assert len(lines) == 1 and "REPARTITION_BY_COL" in lines[0], lines
+    assert sorted((r.stop_id, r.stop_id_next) for r in legs.collect()) == [(1, 2), (2, None)]
+
+
+def test_rides_by_card_carry_no_columns_of_the_run(spark):
+    from tapweave.plans.infer import choose_rides
+
+    c, stops = crowd(spark)
+    chosen = choose_rides(c, stops, Settings())
+    by_card = [x for x in shuffles_of(chosen) if "hashpartitioning(card_id" in x]
+    assert len(by_card) == 1 and not {"run_key", "part"} & set(chosen.columns)
+    rows = chosen.collect()
+    assert len(rows) == 20 and all(r.tap_s == epoch_of(r.datetime) for r in rows)
+    assert all(r.transfer_seconds == r.transfer_meters / Settings().walking_speed for r in rows)
+
+
+def test_lines_of_journeys_need_one_shuffle(spark):
+    """Events dealt by journey ahead of their windows, as the query on lines has them."""
+    class Rides(World):
+        ride_events = stage(rider_events(spark).drop("event_type"), "rides")
+
+    events = Rides(spark, "").events_by_journey
+    lines = shuffles_of(events.select("journey_id", "line_id").distinct())
+    assert len(lines) == 1 and "hashpartitioning(journey_id" in lines[0], lines

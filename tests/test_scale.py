@@ -1,15 +1,20 @@
 """Sliced windows give what plain windows give."""
 
 from datetime import date, datetime, timedelta
+from glob import glob
 import random
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from tapweave import Settings
+from tapweave.functions import windows
 from tapweave.functions.stage import stage
 from tapweave.functions.windows import cut_table, hot_groups, near_window, running_sum
 from tapweave.operators import interline, visits
+from tapweave.plans import prepare
 
 T0 = datetime(2024, 1, 5)
 
@@ -148,3 +153,68 @@ def test_trips_without_a_block_can_be_left_unlinked(located):
     assert some.where("block_id IS NULL AND route_id_next IS NOT NULL").count() == 0
     same(some.where("block_id IS NOT NULL"), every.where("block_id IS NOT NULL"))
     assert interline.chain_trips(some).count() == ends.count()
+
+
+def test_marked_stops_and_merged_stops(located):
+    marked = visits.mark_repeated_stops(located)
+    assert marked.count() == located.count() and marked.where("is_repeated").count() > 0
+    same(visits.drop_repeated_stops(marked), visits.merge_repeated_stops(located))
+    same(marked, visits.mark_repeated_stops(located, *cut(located, visits.TRIP_KEYS)))
+
+
+def shuffles_without_broadcasts(spark, build):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = build()._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    return [x for x in plan.splitlines() if "Exchange hashpartitioning(" in x]
+
+
+def test_trip_data_and_repeated_stops_share_a_shuffle(spark):
+    """Of the given columns, by trip; headways take the second one, and nothing derived is in either."""
+    raw = spark.createDataFrame(
+        [(t, str(1 + n // 2), n, f"08:{n:02d}:00", f"08:{n:02d}:30", date(2024, 1, 5)) for t in range(6) for n in range(9)],
+        "trip_id int, stop_id string, stop_sequence int, actual_arrive_time string, actual_departure_time string, service_date date",
+    )
+    trips = spark.createDataFrame([(t, f"{t}a", "A", 0, 1) for t in range(6)], "trip_id int, route_id string, service_id string, direction_id int, block_id int")
+    stops = spark.createDataFrame([(n, date(2024, 1, 1), 45.0 + n, -122.0) for n in range(1, 6)], "stop_id int, release_date date, stop_lat double, stop_lon double")
+    tapped = spark.createDataFrame([(date(2024, 1, 5),)], "service_date date")
+    raw, trips = stage(raw, "raw"), stage(trips, "trips")
+    s = Settings()
+    scheduled = lambda: prepare.scheduled_visits(raw, trips, tapped, s, strict=False)
+    # the visits, and the trips on the other side of the join
+    lines = [x.lower() for x in shuffles_without_broadcasts(spark, scheduled)]
+    assert len([x for x in lines if "(trip_id#" in x]) == 2 and not [x for x in lines if ", trip_id#" in x], lines
+    positions = stage(prepare.stop_positions(stops, tapped), "positions")
+    written = stage(scheduled(), "scheduled")
+    done = prepare.prepare_visits(written, positions, s)
+    assert scans_and_shuffles(done.select("trip_id", "stop_lat", "mean_boarding_interval_seconds"))[1] == 1
+    # without headways there is nothing to shuffle for
+    assert scans_and_shuffles(done.select("trip_id", "stop_id", "stop_lat"))[1] == 0
+    old = visits.add_stop_locations(visits.numeric_routes(visits.add_trip_data(visits.add_visit_times(raw), trips)), stops, tapped)
+    same(prepare.located_visits(written, positions).select("trip_id", "stop_sequence", "route_id", "stop_lat", "arrive_datetime"),
+         old.select("trip_id", "stop_sequence", "route_id", "stop_lat", "arrive_datetime"))
+    same(done.select("trip_id", "stop_sequence"), visits.merge_repeated_stops(old).select("trip_id", "stop_sequence"))
+
+
+def test_no_table_is_written_where_no_group_is_hot(rows, monkeypatch):
+    def fail(*_):
+        raise AssertionError("written")
+
+    monkeypatch.setattr(windows, "stage", fail)
+    assert hot_groups(rows, ["k"], 10_000) is None
+    with pytest.raises(AssertionError):
+        hot_groups(rows, ["k"], 700)
+
+
+def test_staged_times_are_small(spark):
+    """Whole seconds in order and hashes: a few bits a time, half of a hash."""
+    df = spark.range(0, 200_000, 1, 1).selectExpr("timestamp_seconds(1704067200 + 7 * id) AS t", "sha2(CAST(id AS string), 256) AS h")
+    files = glob(f"{stage(df, 'times').inputFiles()[0].removeprefix('file://').rsplit('/', 1)[0]}/*.parquet")
+    size = {}
+    for column in (c for f in files for g in range(pq.ParquetFile(f).num_row_groups) for c in [pq.ParquetFile(f).metadata.row_group(g)]):
+        for i in range(column.num_columns):
+            part = column.column(i)
+            size[part.path_in_schema] = size.get(part.path_in_schema, 0) + part.total_compressed_size
+    assert size["t"] < 2 * 200_000 and size["h"] < 40 * 200_000, size

@@ -436,7 +436,7 @@ def _(w):
 
 @query("W15_distinct", "SELECT DISTINCT journey_id, line_id FROM rider_events")
 def _(w):
-    return w.events.select("journey_id", "line_id").distinct()
+    return w.events_by_journey.select("journey_id", "line_id").distinct()
 
 
 # ---------------------------------------------------------------- interlining
@@ -769,7 +769,7 @@ def _profile_query(name: str, columns: list[str]) -> None:
     @query(name, oracle)
     def _(w):
         if name.startswith("K1_"):
-            df = profiles.journey_profiles(w.events, w.visits, one_row_per_journey=True)
+            df = profiles.journey_profiles(w.events_by_journey, w.visits, one_row_per_journey=True)
         else:
             df = profiles.journey_figures(w.events)
         return df.selectExpr("journey_id", *[_shown(c, True) for c in columns])

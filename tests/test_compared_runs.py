@@ -50,8 +50,10 @@ def test_placed_candidates_choose_the_same_rides(spark, pairs):
     ways = alighting.alighting_candidates(c, stops, placed=True).where("run_id IS NOT NULL")
     assert {r.one_way for r in ways.select("one_way").distinct().collect()} == {True, False}
     shown = ["card_id", "datetime", "run_id", "stop_id", "board_sequence", "alight_stop_id", "alight_sequence", "confidence"]
-    quick = choose_rides(c, stops, s).select(*shown).collect()
-    assert len(quick) == 60 and sorted(map(str, quick)) == sorted(map(str, chosen_plainly(c, stops, s).select(*shown).collect()))
+    plain = sorted(map(str, chosen_plainly(c, stops, s).select(*shown).collect()))
+    for narrow in (False, True):
+        quick = choose_rides(c, stops, s, narrow).select(*shown).collect()
+        assert len(quick) == 60 and sorted(map(str, quick)) == plain
 
 
 def test_pairs_are_moved_in_few_columns(spark):
@@ -78,7 +80,7 @@ def test_judging_needs_one_sort_by_journey(spark):
     judged = judge(rides, Settings())
     sorts = [x for x in judged._jdf.queryExecution().executedPlan().toString().splitlines() if "Sort [" in x and "journey_id" in x]
     assert len(sorts) == 1, sorts
-    plain = journeys.add_validity_score(journeys.judge_journeys(journeys._with_journey_ids(rides, 15), 7))
+    plain = journeys.add_validity_score(journeys.judge_journeys(journeys.build_journeys(rides, 15), 7))
     assert judged.columns[: len(rides.columns)] == rides.columns and set(judged.columns) == set(plain.columns)
     assert sorted(map(str, judged.collect())) == sorted(map(str, plain.select(judged.columns).collect()))
 
